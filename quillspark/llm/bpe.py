@@ -349,6 +349,16 @@ class Coder:
     def pieces(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Start of each pre-token, first pre-token of each text, number of ids of each pre-token, all ids."""
         start, end, first = pretokens(data, off)
+        count, ids = self._ids(data, start, end)
+        return start, first, count, ids
+
+    def counts(self, data: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """Number of ids of each pre-token, all of data being cut at start."""
+        return self._ids(data, start, np.append(start[1:], len(data)))[0]
+
+    def _ids(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(start):
+            return np.zeros(0, np.int64), np.zeros(0, np.int32)
         rank = self.lookup(data, start, end)
         new = np.flatnonzero(rank < 0)
         whole, ranks = data.tobytes(), self.ranks
@@ -372,7 +382,7 @@ class Coder:
         pool = np.concatenate([self.word_ids, new_ids])
         into = np.cumsum(count) - count
         ids = pool[np.repeat(begin - into, count) + np.arange(int(count.sum()))]
-        return start, first, count, ids
+        return count, ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids, the first id of each text (n + 1), and whether each text comes back from them."""
