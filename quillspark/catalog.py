@@ -1,9 +1,579 @@
-"""The registered queries of the reference's own operators."""
+"""Registered queries: each operator on the driver's tables, beside the SQL that gives the same rows.
 
+The tables hold no papers, so a document stands for one: its first line is the title, its other lines are sections,
+sentences are what ends in . ! or ?; benchmark items are the second collection, labels the ids to keep, orders cite parts.
+"""
 
-def queries():
-    return {}
+from __future__ import annotations
 
+from collections.abc import Callable
 
-def oracle_sql():
-    return {}
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from quillspark.functions import similarity as M
+from quillspark.functions import text as T
+from quillspark.operators import dedup, filters, multilevel, search, spans, stats, tree
+from quillspark.operators import ids as I  # noqa: E741
+from quillspark.sources import readers
+
+Query = Callable[[SparkSession, str], DataFrame]
+_queries: dict[str, Query] = {}
+_sql: dict[str, str] = {}
+
+
+def _register(sql: str | None):
+    def take(f: Query) -> Query:
+        _queries[f.__name__] = f
+        if sql is not None:
+            _sql[f.__name__] = sql
+        return f
+
+    return take
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _titled(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.substring_index("text", "\n", 1).alias("title"))
+
+
+def _bench(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "benchmark").select(F.col("item_id").alias("id"), F.substring_index("text", "\n", 1).alias("title"))
+
+
+def _edges(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("citing"), F.col("l_partkey").alias("cited"))
+
+
+def _nodes(spark: SparkSession, d: str) -> DataFrame:
+    return tree.text_tree(_t(spark, d, "documents"))
+
+
+def _path(c: str = "path") -> Column:
+    return F.array_join(F.transform(F.col(c), lambda x: x.cast("string")), ".").alias("path")
+
+
+# ---- SQL pieces -------------------------------------------------------------------------------------------------
+def norm_sql(s: str) -> str:
+    folded = s
+    for a, b in T.LIGATURES:
+        folded = f"replace({folded}, '{a}', '{b}')"
+    folded = f"translate({folded}, '{T.FOLD_FROM}', '{T.FOLD_TO}')"
+    return f"lower(regexp_replace({folded}, '[\\W_]+', ' ', 'g'))"
+
+
+def _collapse(s: str) -> str:
+    return f"array_to_string(list_transform(range(1, len({s}) + 1), lambda i: case when i = 1 or {s}[i] <> {s}[i - 1] then {s}[i] else '' end), '')"
+
+
+def _tokens_cte(name: str, table: str, key: str, text: str = "split_part(text, chr(10), 1)") -> str:
+    return f"""{name}0 as (select {key} as id, {text} as title from {table}),
+    {name}1 as (select id, title, {norm_sql('title')} as bare from {name}0),
+    {name}2 as (select id, title, case when trim(bare) = '' then lower(title) else bare end as bare from {name}1),
+    {name} as (select id, title, {_collapse('bare')} as norm from {name}2)"""
+
+
+_SETS = "list_sort(list_distinct(list_filter(string_split_regex(norm, '\\s+'), lambda x: x <> '')))"
+_SCORE = """2.0 * (i / (na + nb - i)) * (i / least(na, nb)) / ((i / (na + nb - i)) + (i / least(na, nb)))"""
+_TREE = r"""l as (select doc_id, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') as ls from documents),
+    s as (select doc_id, unnest(range(0, len(ls) - 1)) as i, ls from l where len(ls) > 1),
+    sec as (select doc_id, i, ls[i + 2] as line from s),
+    w as (select doc_id, i, list_filter(string_split_regex(regexp_replace(line, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') as ss from sec),
+    leaf as (select doc_id, i, unnest(range(0, len(ss))) as j, ss from w),
+    nodes as (select doc_id, '' as path, 0 as depth, case when len(ls) > 1 then 2 else 0 end as height, ls[1] as headline, null::varchar as text, null::bigint as top from l
+      union all select doc_id, i::varchar, 1, 1, regexp_extract(line, '^(\S+)', 1), null, i from sec
+      union all select doc_id, i || '.' || j, 2, 0, null, ss[j + 1], i from leaf)"""
+
+
+# ---- text -------------------------------------------------------------------------------------------------------
+@_register(f"with {_tokens_cte('d', 'documents', 'doc_id')} select id, norm, array_to_string(list_filter(string_split_regex(norm, '\\s+'), lambda x: x <> ''), ' ') as tokens from d")
+def normalize_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return _titled(spark, d).select("id", T.normalize_string(F.col("title")).alias("norm"), F.array_join(T.tokens(F.col("title")), " ").alias("tokens"))
+
+
+@_register(f"""with {_tokens_cte('d', 'documents', 'doc_id')}, t as (select id, list_filter(string_split_regex(norm, '\\s+'), lambda x: x <> '') as ts from d)
+select id, array_to_string(list_sort(list_distinct(ts)), ' ') as full_form, array_to_string(list_sort(list_distinct(list_transform(range(1, len(ts) + 1), lambda i: case when i < len(ts) then left(ts[i], 1) else ts[i] end))), ' ') as initials from t""")
+def author_initials(spark: SparkSession, d: str) -> DataFrame:
+    a = F.array("title")
+    return _titled(spark, d).select("id", F.array_join(T.author_sets(a)[0], " ").alias("full_form"), F.array_join(T.author_initials(a)[0], " ").alias("initials"))
+
+
+@_register(r"""select doc_id as id, regexp_replace(t, '(?is)\W?\s*\b(?:arxiv|corr|doi|math|archive number)\W{0,3}\s*(?:abs/|pr/|number)?\W{0,2}\s*[0-9].*$', '') as title from
+(select doc_id, split_part(text, chr(10), 1) || case doc_id % 4 when 0 then ' arXiv:1234.5678 [cs]' when 1 then '. doi: 10.1/x' when 2 then ', CoRR abs/99' else '' end as t from documents)""")
+def clean_title(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("id") % 4
+    tail = F.when(k == 0, " arXiv:1234.5678 [cs]").when(k == 1, ". doi: 10.1/x").when(k == 2, ", CoRR abs/99").otherwise("")
+    return _titled(spark, d).select("id", T.clean_title(F.concat("title", tail)).alias("title"))
+
+
+@_register("select doc_id as id, len(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> ''))::bigint as words, length(text)::bigint as chars, round(case when length(text) > 0 then length(regexp_replace(text, '[^A-Za-z]', '', 'g')) / length(text) else 0.0 end, 9) as latin from documents")
+def text_counts(spark: SparkSession, d: str) -> DataFrame:
+    t = F.col("text")
+    return _t(spark, d, "documents").select(F.col("doc_id").alias("id"), T.word_count(t).alias("words"), F.length(t).cast("bigint").alias("chars"), F.round(T.latin_share(t), 9).alias("latin"))
+
+
+@_register("select conv_id, turn, ascii(upper(left(role, 1))) - 64 as letter from conversations")
+def letter_numbers(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "conversations").select("conv_id", "turn", T.letter_to_int(F.left("role", F.lit(1))).alias("letter"))
+
+
+# ---- similarity and search ---------------------------------------------------------------------------------------
+@_register(f"""with {_tokens_cte('d', 'documents', 'doc_id')}, s as (select id, {_SETS} as a from d),
+u as (select distinct a, len(a) as n from s where len(a) > 0),
+p as (select x.a as a, y.a as b, len(list_intersect(x.a, y.a))::double as i, x.n as na, y.n as nb from u x, u y where y.n between x.n * 0.6 - 1e-9 and x.n / 0.6 + 1e-9),
+q as (select a, b, {_SCORE} as score from p where i > 0)
+select l.id as id_a, r.id as id_b, round(score, 6) as score from q join s l on l.a = q.a join s r on r.a = q.b where l.id < r.id and score >= 0.75""")
+def title_similarity_join(spark: SparkSession, d: str) -> DataFrame:
+    return search.self_similarity_join(_titled(spark, d), 0.75).withColumn("score", F.round("score", 6))
+
+
+_MATCH = f"""with {_tokens_cte('d', 'documents', 'doc_id')}, {_tokens_cte('e', 'benchmark', 'item_id')}, a as (select id, {_SETS} as a from d), b as (select id, {_SETS} as b from e),
+p as (select a.id as probe_id, b.id as id, len(list_intersect(a, b))::double as i, len(a) as na, len(b) as nb from a, b where len(a) > 0 and len(b) > 0),
+q as (select probe_id, id, {_SCORE} as score from p where i > 0),
+best as (select * from (select *, row_number() over (partition by probe_id order by score desc, id) as r from q where score >= 0.3) where r = 1)"""
+
+
+def _matches(spark: SparkSession, d: str) -> DataFrame:
+    none = (F.lit(None).cast("int").alias("year"), F.array().cast("array<string>").alias("authors"))
+    probes = _titled(spark, d).select(F.col("id").alias("probe_id"), "title", *none)
+    return search.search(probes, _bench(spark, d).select("id", "title", *none), threshold=0.3, match_authors=False)
+
+
+@_register(f"{_MATCH} select a.id as probe_id, best.id as id, round(score, 6) as score from a left join best on best.probe_id = a.id")
+def best_match(spark: SparkSession, d: str) -> DataFrame:
+    return _matches(spark, d).withColumn("score", F.round("score", 6))
+
+
+@_register(f"{_MATCH} select id, max(probe_id) as probe_id from best group by id")
+def inverse_mapping(spark: SparkSession, d: str) -> DataFrame:
+    return search.inverse_mapping(_matches(spark, d))
+
+
+@_register(f"{_MATCH} select a.id as id from a left join best on best.probe_id = a.id where best.id is null")
+def extension_subset(spark: SparkSession, d: str) -> DataFrame:
+    return I.extension_subset(_titled(spark, d).select("id"), _matches(spark, d))
+
+
+_WORDS = "list_distinct(list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> ''))"
+
+
+@_register(f"""with a as (select item_id as a, {_WORDS} as x from benchmark) select l.a, r.a as b, round(len(list_intersect(l.x, r.x)) / least(len(l.x), len(r.x)), 6) as containment from a l, a r where l.a < r.a""")
+def containment(spark: SparkSession, d: str) -> DataFrame:
+    x = _t(spark, d, "benchmark").select(F.col("item_id").alias("a"), F.array_distinct(F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda w: w != "")).alias("x"))
+    y = x.select(F.col("a").alias("b"), F.col("x").alias("y"))
+    return x.crossJoin(y).where("a < b").select("a", "b", F.round(M.containment(F.col("x"), F.col("y")), 6).alias("containment"))
+
+
+@_register("""with t as (select item_id as id, unnest(list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '')) as w from benchmark), c as (select id, w, count(*) as c from t group by 1, 2), n as (select id, count(*) as n from t group by 1)
+select x.id as a, y.id as b, round(2.0 * sum(least(x.c, y.c)) / (any_value(nx.n) + any_value(ny.n)), 6) as dice from c x join c y on x.w = y.w and x.id < y.id join n nx on nx.id = x.id join n ny on ny.id = y.id group by 1, 2""")
+def dice_multiset(spark: SparkSession, d: str) -> DataFrame:
+    w = _t(spark, d, "benchmark").select(F.col("item_id").alias("a"), F.explode(F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda x: x != "")).alias("token"))
+    return M.dice(w, w.withColumnRenamed("a", "b")).where("a < b").select("a", "b", F.round("dice", 6).alias("dice"))
+
+
+@_register(f"""with {_tokens_cte('d', 'documents', 'doc_id')}, p as (select id, norm[1:12] as p from d where norm <> ''),
+q as (select p.id as probe_id, d.id as id, row_number() over (partition by p.id order by d.id) as r from p join d on d.norm <> '' and starts_with(d.norm, {_collapse('p')}))
+select probe_id, id from q where r <= 100""")
+def title_prefix_search(spark: SparkSession, d: str) -> DataFrame:
+    docs = _titled(spark, d)
+    return search.prefix_candidates(docs.select(F.col("id").alias("probe_id"), F.left(T.normalize_string(F.col("title")), F.lit(12)).alias("title")), docs)
+
+
+@_register("""with q as (select a.vec_id as qid, b.vec_id as id, list_dot_product(a.embedding::double[], b.embedding::double[]) as s from embeddings a, embeddings b),
+r as (select *, row_number() over (partition by qid order by s desc, id) as rank from q) select qid, id, round(s, 4) as score, rank::int as rank from r where rank <= 10""")
+def vector_top_k(spark: SparkSession, d: str) -> DataFrame:
+    e = _t(spark, d, "embeddings")
+    q = e.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qv"))
+    return M.top_k(q, e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")), 10).withColumn("score", F.round("score", 4))
+
+
+@_register(f"with {_tokens_cte('d', 'documents', 'doc_id')}, s as (select id, {_SETS} as a from d) select id, case when len(a) > 0 then min(id) over (partition by a) else id end as representative from s")
+def dedup_representatives(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.by_title(_titled(spark, d))
+
+
+@_register(f"""with recursive {_tokens_cte('d', 'documents', 'doc_id')}, s as (select id, {_SETS} as a from d) select id, case when len(a) > 0 then min(id) over (partition by a) else id end as representative from s""")
+def dedup_greedy(spark: SparkSession, d: str) -> DataFrame:
+    """Search, components and the ordered pass; at threshold 1 without authors it must agree with equal word sets."""
+    own = _titled(spark, d).select("id", "title", F.lit(None).cast("int").alias("year"), F.array().cast("array<string>").alias("authors"))
+    return dedup.deduplicate(own, 1.0, 0, match_authors=False)
+
+
+# ---- id algebra --------------------------------------------------------------------------------------------------
+@_register("select distinct o_custkey as old, dense_rank() over (order by o_custkey) - 1 as new from orders")
+def dense_renumber(spark: SparkSession, d: str) -> DataFrame:
+    return I.dense_ids(_t(spark, d, "orders").select(F.col("o_custkey").alias("id")))
+
+
+@_register("""with m as (select p_partkey as old, row_number() over (order by p_partkey) - 1 as new from part), o as (select o_orderkey as old, row_number() over (order by o_orderkey) - 1 as new from orders)
+select distinct o.new as citing, m.new as cited from lineitem join o on o.old = l_orderkey join m on m.old = l_partkey""")
+def translate_ids(spark: SparkSession, d: str) -> DataFrame:
+    parts = I.dense_ids(_t(spark, d, "part").select(F.col("p_partkey").alias("id")))
+    orders = I.dense_ids(_t(spark, d, "orders").select(F.col("o_orderkey").alias("id")))
+    e = _edges(spark, d)
+    return e.join(orders.withColumnRenamed("old", "citing"), "citing").select(F.col("new").alias("citing"), "cited").join(parts.withColumnRenamed("old", "cited"), "cited").select("citing", F.col("new").alias("cited")).distinct()
+
+
+@_register("select l_orderkey as citing, l_partkey as cited from lineitem where l_partkey in (select p_partkey from part where p_size <= 25)")
+def filter_citations(spark: SparkSession, d: str) -> DataFrame:
+    return I.filter_edges(_edges(spark, d), _t(spark, d, "part").where("p_size <= 25").select(F.col("p_partkey").alias("id")))
+
+
+@_register("select l_orderkey as citing, l_partkey as cited from lineitem where l_partkey in (select o_orderkey from orders)")
+def filter_missing_ids(spark: SparkSession, d: str) -> DataFrame:
+    return I.filter_edges(_edges(spark, d), _t(spark, d, "orders").select(F.col("o_orderkey").alias("id")))
+
+
+@_register("""select o_orderkey as id, coalesce(string_agg(l_partkey::varchar, ' ' order by l_partkey, l_linenumber) filter (where l_partkey in (select p_partkey from part where p_size <= 25)), '') as citations
+from orders left join lineitem on l_orderkey = o_orderkey group by 1""")
+def filter_citation_lists(spark: SparkSession, d: str) -> DataFrame:
+    """The same on papers with arrays of citations."""
+    e = I.citation_graph(_edges(spark, d)).select(F.col("citing").alias("id"), F.col("cited").alias("citations"))
+    papers = _t(spark, d, "orders").select(F.col("o_orderkey").alias("id")).join(e, "id", "left").withColumn("citations", F.coalesce("citations", F.array().cast("array<bigint>")))
+    out = I.filter_citations(papers, _t(spark, d, "part").where("p_size <= 25").select(F.col("p_partkey").alias("id")))
+    return out.select("id", F.array_join(F.transform("citations", lambda x: x.cast("string")), " ").alias("citations"))
+
+
+@_register("select doc_id as id, lang, n_chars from documents where doc_id in (select doc_id from labels)")
+def discard_documents(spark: SparkSession, d: str) -> DataFrame:
+    return I.keep_ids(_t(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang", "n_chars"), _t(spark, d, "labels").select(F.col("doc_id").alias("id")))
+
+
+@_register("select p_partkey as id, p_name from part where p_partkey in (select l_partkey from lineitem where l_quantity >= 49)")
+def create_references(spark: SparkSession, d: str) -> DataFrame:
+    bib = _t(spark, d, "lineitem").where("l_quantity >= 49").select(F.col("l_partkey").alias("id"))
+    return I.create_references(bib, _t(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_name"))
+
+
+@_register("select o_orderkey as id, o_totalprice from orders order by id")
+def sort_dataset(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "orders").select(F.col("o_orderkey").alias("id"), "o_totalprice").orderBy("id")
+
+
+@_register("""with k as (select doc_id as id, ((doc_id + 42) * 2654435761) % 4294967296 as k from documents), r as (select id, row_number() over (order by k, id) - 1 as i, count(*) over () as n from k)
+select id, case when i < floor(n * 0.1) then 'val' when i < floor(n * 0.1) + floor(n * 0.2) then 'test' else 'train' end as part from r""")
+def train_val_test_split(spark: SparkSession, d: str) -> DataFrame:
+    return I.split(_t(spark, d, "documents").select(F.col("doc_id").alias("id")), 0.1, 0.2)
+
+
+@_register("select 1000000 as top, (select max(doc_id) from documents) + row_number() over (order by item_id) as id, item_id as row_pos from benchmark")
+def extend_ids(spark: SparkSession, d: str) -> DataFrame:
+    first = _t(spark, d, "documents").select(F.col("doc_id").alias("id"))
+    return I.extend_ids(first, _t(spark, d, "benchmark").select(F.lit(0).alias("id"), F.col("item_id").alias("row_pos")), "row_pos").select(F.lit(1000000).alias("top"), "id", "row_pos")
+
+
+@_register("select doc_id as id, 'a' as part from documents union all select (select max(doc_id) from documents) + row_number() over (order by item_id), 'b' from benchmark")
+def union_extend(spark: SparkSession, d: str) -> DataFrame:
+    first = _t(spark, d, "documents").select(F.col("doc_id").alias("id"))
+    second = I.extend_ids(first, _t(spark, d, "benchmark").select(F.lit(0).alias("id"), F.col("item_id").alias("row_pos")), "row_pos")
+    return first.withColumn("part", F.lit("a")).unionByName(second.select("id", F.lit("b").alias("part")))
+
+
+@_register("select l_orderkey as citing, string_agg(l_partkey::varchar, ' ' order by l_partkey) as cited from lineitem group by 1")
+def citation_graph(spark: SparkSession, d: str) -> DataFrame:
+    return I.citation_graph(_edges(spark, d)).select("citing", F.array_join(F.transform("cited", lambda x: x.cast("string")), " ").alias("cited"))
+
+
+@_register("select o_orderkey as id, case when o_custkey % 3 = 0 then null else o_custkey end as s2orc_id from orders")
+def repair_ids(spark: SparkSession, d: str) -> DataFrame:
+    o = _t(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("row_pos"), F.lit(None).cast("bigint").alias("s2orc_id"))
+    pos = _t(spark, d, "orders").select(F.col("o_orderkey").alias("row_pos"), F.when(F.col("o_custkey") % 3 == 0, -1).otherwise(F.col("o_custkey")).alias("value"))
+    return I.repair_ids(o, pos).select("id", "s2orc_id")
+
+
+@_register("select event_id, user_id, event_type from events order by event_id desc limit 1")
+def last_row(spark: SparkSession, d: str) -> DataFrame:
+    return I.last_row(_t(spark, d, "events").select("event_id", "user_id", "event_type"), "event_id")
+
+
+@_register("""select o_orderkey as corpusid, c_name as abstract, coalesce((select string_agg(distinct l_partkey::varchar, ' ' order by l_partkey::varchar) from lineitem where l_orderkey = o_orderkey), '') as citing from orders left join customer on c_custkey = o_custkey and c_acctbal > 0""")
+def metadata_left_join(spark: SparkSession, d: str) -> DataFrame:
+    o, c = _t(spark, d, "orders"), _t(spark, d, "customer")
+    papers = o.select(F.col("o_orderkey").alias("corpusid"))
+    abstracts = o.join(c.where("c_acctbal > 0"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderkey").alias("corpusid"), F.col("c_name").alias("abstract"))
+    return readers.metadata(papers, abstracts, _edges(spark, d)).select("corpusid", "abstract", F.array_join(F.array_sort(F.transform("citing", lambda x: x.cast("string"))), " ").alias("citing"))
+
+
+@_register("""with r as (select l_orderkey as id, l_partkey as reference_id from lineitem) select id, reference_id from r where reference_id in (select o_orderkey from orders) and id in (select o_orderkey from orders)""")
+def self_references(spark: SparkSession, d: str) -> DataFrame:
+    refs = I.citation_graph(_edges(spark, d)).select(F.col("citing").alias("id"), F.col("cited").alias("references"))
+    papers = _t(spark, d, "orders").select(F.col("o_orderkey").alias("id")).join(refs, "id", "left")
+    return search.with_references(papers)
+
+
+# ---- intervals ---------------------------------------------------------------------------------------------------
+@_register("""with e as (select event_id, user_id, event_type, ts from events), m as (select user_id, ts, event_id as mark from events where event_type = 'purchase')
+select e.event_id, (select max_by(mark, struct_pack(t := m.ts, k := m.mark)) from m where m.user_id = e.user_id and m.ts <= e.ts) as mark from e""")
+def interval_asof(spark: SparkSession, d: str) -> DataFrame:
+    e = _t(spark, d, "events").select("event_id", "user_id", "ts")
+    m = _t(spark, d, "events").where("event_type = 'purchase'").select("user_id", F.col("ts").alias("mts"), F.col("event_id").alias("mark"))
+    return search.last_at_or_before(e, m, ["user_id"], "ts", "mts", "mark").select("event_id", "mark")
+
+
+_SPAN_SQL = "select user_id as k, event_id as id, (event_id % 977)::bigint as \"start\", (event_id % 977 + 5 + event_id % 41)::bigint as \"end\" from events"
+
+
+def _event_spans(spark: SparkSession, d: str) -> DataFrame:
+    e = F.col("event_id")
+    return _t(spark, d, "events").select(F.col("user_id").alias("k"), e.alias("id"), (e % 977).alias("start"), (e % 977 + 5 + e % 41).alias("end"))
+
+
+@_register(f"with s as ({_SPAN_SQL}) select a.k, a.id as a_id, b.id as b_id from s a join s b on a.k = b.k and a.id < b.id and a.\"start\" < b.\"end\" and b.\"start\" < a.\"end\"")
+def span_overlap_join(spark: SparkSession, d: str) -> DataFrame:
+    s = _event_spans(spark, d)
+    return search.overlapping(s, s, ["k"], width=64).where("a_id < b_id").select("k", "a_id", "b_id")
+
+
+@_register(f"with s as ({_SPAN_SQL}) select k, id, \"start\", coalesce(least(\"end\", lead(\"start\") over (partition by k order by \"start\", \"end\", id)), \"end\") as \"end\" from s")
+def clip_crossing_spans(spark: SparkSession, d: str) -> DataFrame:
+    w = Window.partitionBy("k").orderBy("start", "end", "id")
+    return _event_spans(spark, d).withColumn("end", F.coalesce(F.least("end", F.lead("start").over(w)), F.col("end")))
+
+
+@_register("""with p as (select c_custkey as probe, (c_custkey % 30 + 1990)::int as py, c_nationkey as k from customer), q as (select s_suppkey as id, case when s_suppkey % 7 = 0 then null else (s_suppkey % 30 + 1990)::int end as qy, s_nationkey as k from supplier)
+select probe, id from p join q using (k) where qy is null or abs(py - qy) <= 2""")
+def year_band_join(spark: SparkSession, d: str) -> DataFrame:
+    p = _t(spark, d, "customer").select(F.col("c_custkey").alias("probe"), (F.col("c_custkey") % 30 + 1990).alias("py"), F.col("c_nationkey").alias("k"))
+    q = _t(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.when(F.col("s_suppkey") % 7 != 0, F.col("s_suppkey") % 30 + 1990).alias("qy"), F.col("s_nationkey").alias("k"))
+    return p.join(q, "k").where(search.years_compatible(F.col("py"), F.col("qy"), 2)).select("probe", "id")
+
+
+@_register("""with f as (select l_orderkey as o, l_linenumber * 2 as number, min(l_linenumber + case when l_linenumber > 3 then 5 else 0 end) as index from lineitem group by 1, 2),
+g as (select *, index - number as dd, lag(index - number) over (partition by o order by number) as pd from f), i as (select *, sum(case when dd = pd then 0 else 1 end) over (partition by o order by number) as isl from g),
+e as (select o, isl, dd, min(number) as lo, max(number) as hi from i group by 1, 2, 3) select o, n as number, n + dd as index from (select o, dd, unnest(range(lo, hi + 1)) as n from e)""")
+def vancouver_interpolation(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("l_linenumber")
+    found = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o"), (n * 2).alias("number"), (n + F.when(n > 3, 5).otherwise(0)).alias("index"))
+    return spans.vancouver_rows(found, ["o"])
+
+
+
+
+@_register("""with s as (select doc_id, unnest(range(0, 6)) as i, text from documents where length(text) >= 60), p as (select doc_id, i, i * 10 as st, i * 10 + 3 + (doc_id + i) % 8 as en, text from s),
+g as (select *, lag(en) over (partition by doc_id order by st) as pe from p), n as (select doc_id, i, st, case when pe is null or regexp_matches(substr(text, pe + 1, greatest(st - pe, 0)), '\\w') then 1 else 0 end as nw from g)
+select doc_id, i, sum(nw) over (partition by doc_id order by st)::bigint as group_no from n""".replace("\\\\w", "\\w"))
+def citation_groups(spark: SparkSession, d: str) -> DataFrame:
+    s = _t(spark, d, "documents").where("length(text) >= 60").select("doc_id", "text", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("i"))
+    s = s.withColumn("start", F.col("i") * 10).withColumn("end", (F.col("i") * 10 + 3 + (F.col("doc_id") + F.col("i")) % 8).cast("int"))
+    return spans.group(s, ["doc_id"]).select("doc_id", "i", "group_no")
+
+
+@_register(r"""with c as (select doc_id, len(regexp_extract_all(t, '\[\s*\d+\s*\]')) as sq, len(regexp_extract_all(t, '\(\s*\d+\s*\)')) as ro from (select doc_id, text || case doc_id % 3 when 0 then ' as in [1] and [ 2 ]' when 1 then ' see (3)' else '' end as t from documents))
+select doc_id, case when sq > ro then 'VANCOUVER_SQUARE_BRACKETS' when ro > sq then 'VANCOUVER_PARENTHESIS' else 'UNKNOWN' end as style from c""")
+def citation_style(spark: SparkSession, d: str) -> DataFrame:
+    """On texts with citations added; lists, ranges, names and marks can't occur in them."""
+    k = F.col("doc_id") % 3
+    t = F.concat("text", F.when(k == 0, " as in [1] and [ 2 ]").when(k == 1, " see (3)").otherwise(""))
+    return spans.citation_style(_t(spark, d, "documents").select("doc_id", t.alias("text")))
+
+
+@_register("""select o_orderkey as id, array_to_string(list_transform(range(o_custkey % 7 + 1, o_custkey % 7 + 4 + o_orderkey % 3), lambda n: '[' || n || ']'), '') || ' x' as text from orders""")
+def expand_dashed(spark: SparkSession, d: str) -> DataFrame:
+    lo = F.col("o_custkey") % 7 + 1
+    t = _t(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.concat(F.lit("["), lo.cast("string"), F.lit("-"), (lo + 2 + F.col("o_orderkey") % 3).cast("string"), F.lit("] x")).alias("t"))
+    f = spans.kernel(lambda text, own: spans.expand_dashed(text, own, {}))
+    none = F.array().cast("array<struct<index: int, start: int, end: int>>")
+    return t.select("id", f(F.col("t"), none)["text"].alias("text"))
+
+
+@_register("""select o_orderkey as id, '[' || (o_custkey % 7 + 1) || ']-[' || (o_custkey % 7 + 3 + o_orderkey % 3) || '] x' as text from orders""")
+def merge_dashed(spark: SparkSession, d: str) -> DataFrame:
+    lo = F.col("o_custkey") % 7 + 1
+    t = _t(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.concat(F.lit("["), lo.cast("string"), F.lit("-"), (lo + 2 + F.col("o_orderkey") % 3).cast("string"), F.lit("] x")).alias("t"))
+    f = spans.kernel(lambda text, own: spans.merge_dashed(*spans.expand_dashed(text, own, {})))
+    none = F.array().cast("array<struct<index: int, start: int, end: int>>")
+    return t.select("id", f(F.col("t"), none)["text"].alias("text"))
+
+
+# ---- trees -------------------------------------------------------------------------------------------------------
+@_register(f"with {_TREE} select doc_id, path, depth, height, headline, text from nodes")
+def tree_flatten(spark: SparkSession, d: str) -> DataFrame:
+    return _nodes(spark, d).select("doc_id", _path(), "depth", "height", "headline", "text")
+
+
+@_register(f"with {_TREE} select doc_id, path, height from nodes")
+def tree_heights(spark: SparkSession, d: str) -> DataFrame:
+    return tree.heights(_nodes(spark, d)).select("doc_id", _path(), "height")
+
+
+@_register(f"with {_TREE} select doc_id, path, headline from nodes where depth > 0 and height >= 1")
+def tree_sections(spark: SparkSession, d: str) -> DataFrame:
+    return tree.sections(_nodes(spark, d), 1).select("doc_id", _path(), "headline")
+
+
+@_register(f"with {_TREE}, h as (select doc_id, path, row_number() over (partition by doc_id order by top) as r from nodes where depth = 1 and regexp_matches(headline, '^(?:The|La|Der|En)')) select doc_id, path from h where r <= 2")
+def tree_get_part(spark: SparkSession, d: str) -> DataFrame:
+    return tree.get_part(_nodes(spark, d), "The|La|Der|En", 2, 1, 1).select("doc_id", _path())
+
+
+@_register(f"""with {_TREE}, bad as (select doc_id, top from nodes where depth = 1 and length(headline) % 2 = 0), low as (select doc_id from nodes where depth = 0 and height <= 1),
+k as (select n.* from nodes n where n.top is null or not exists (select 1 from bad b where b.doc_id = n.doc_id and b.top = n.top and n.doc_id not in (select doc_id from low))),
+r as (select doc_id, top, row_number() over (partition by doc_id order by top) - 1 as i from k where depth = 1)
+select k.doc_id, case when k.depth = 0 then '' when k.depth = 1 then r.i::varchar else r.i || substr(k.path, strpos(k.path, '.')) end as path, k.headline, k.text from k left join r on r.doc_id = k.doc_id and r.top = k.top""")
+def tree_prune(spark: SparkSession, d: str) -> DataFrame:
+    return tree.prune(_nodes(spark, d), F.length("headline") % 2 == 1, 1).select("doc_id", _path(), "headline", "text")
+
+
+@_register(f"with {_TREE} select doc_id, coalesce(bool_or(length(text) > 0), false) as has_text from nodes group by 1")
+def tree_has_text(spark: SparkSession, d: str) -> DataFrame:
+    return tree.has_text(_nodes(spark, d))
+
+
+@_register(None)
+def tree_rebuild(spark: SparkSession, d: str) -> DataFrame:
+    """Trees as JSON, rebuilt from their nodes."""
+    return tree.rebuild(_nodes(spark, d))
+
+
+# ---- filters -----------------------------------------------------------------------------------------------------
+@_register(f"with {_TREE} select doc_id, coalesce(bool_and(headline is not null and headline <> '') filter (where depth = 1 and height >= 1), true) as passed from nodes group by 1")
+def filter_nonempty_headlines(spark: SparkSession, d: str) -> DataFrame:
+    return filters.nonempty_headlines(_nodes(spark, d), 1)
+
+
+@_register(f"with {_TREE} select doc_id, count(*) filter (where depth = 1) between 3 and 10 as passed from nodes group by 1")
+def filter_number_of_sections(spark: SparkSession, d: str) -> DataFrame:
+    return filters.number_of_sections(_nodes(spark, d), 3, 10, 1)
+
+
+@_register(f"with {_TREE}, c as (select doc_id, top, count(*) filter (where depth = 2) as n from nodes where top is not null group by 1, 2), x as (select doc_id, bool_and(n between 1 and 8) as ok from c group by 1) select l.doc_id, coalesce(ok, true) as passed from l left join x using (doc_id)")
+def filter_text_parts(spark: SparkSession, d: str) -> DataFrame:
+    return filters.text_parts_in_sections(_nodes(spark, d), 1, 8)
+
+
+@_register("select o_orderkey as doc_id, (select count(*) from lineitem where l_orderkey = o_orderkey) between 2 and 4 as passed from orders")
+def filter_number_of_citations(spark: SparkSession, d: str) -> DataFrame:
+    c = I.citation_graph(_edges(spark, d)).select(F.col("citing").alias("doc_id"), F.col("cited").alias("citations"))
+    docs = _t(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id")).join(c, "doc_id", "left").withColumn("citations", F.coalesce("citations", F.array().cast("array<bigint>")))
+    return filters.number_of_citations(docs, 2, 4)
+
+
+@_register("""with s as (select l_orderkey as doc_id, avg(case when p_size <= 25 then 1 else 0 end) as f from lineitem left join part on p_partkey = l_partkey group by 1) select o_orderkey as doc_id, coalesce(f, 0) between 0.5 and 1 as passed from orders left join s on s.doc_id = o_orderkey""")
+def filter_citations_fraction(spark: SparkSession, d: str) -> DataFrame:
+    li = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")).alias("index"), F.col("l_partkey"))
+    ok = _t(spark, d, "part").where("p_size <= 25").select(F.col("p_partkey").alias("l_partkey"), F.col("p_partkey").alias("id"))
+    bib = li.join(ok, "l_partkey", "left").select("doc_id", F.col("index").alias("pos"), "id")
+    return filters.citations_fraction(_t(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id")), li.withColumn("kind", F.lit("cit")), bib, 0.5, 1.0)
+
+
+@_register(f"with {_TREE} select doc_id, lang = 'en' and coalesce(bool_or(length(nodes.text) > 0), false) as passed from nodes join documents using (doc_id) group by doc_id, lang")
+def filter_full_record(spark: SparkSession, d: str) -> DataFrame:
+    docs = _t(spark, d, "documents").select("doc_id", F.col("source").alias("title"), F.when(F.col("lang") == "en", F.array("lang")).otherwise(F.array().cast("array<string>")).alias("authors"))
+    return filters.full_record(docs, _nodes(spark, d))
+
+
+@_register(f"with {_TREE}, t as (select doc_id, min(top) as top from nodes where depth = 1 and regexp_matches(headline, '^(?:A|D|E)') group by 1), n as (select t.doc_id, count(*) as n from t join nodes k on k.doc_id = t.doc_id and k.top = t.top and k.depth = 2 group by 1) select l.doc_id, coalesce(n >= 2, false) as passed from l left join n using (doc_id)")
+def filter_has_headline(spark: SparkSession, d: str) -> DataFrame:
+    return filters.has_headline(_nodes(spark, d), "A|D|E", 2, 1, 1)
+
+
+@_register("""with s as (select l_orderkey as doc_id, avg(case when p_size > 1 and p_size <= 20 then 1 else 0 end) as f from lineitem left join part on p_partkey = l_partkey group by 1) select o_orderkey as doc_id, coalesce(f, 0) >= 0.4 as passed from orders left join s on s.doc_id = o_orderkey""")
+def filter_cited_multi_section(spark: SparkSession, d: str) -> DataFrame:
+    tops = _t(spark, d, "part").where("p_size <= 20").select(F.col("p_partkey").alias("doc_id"), F.col("p_size").alias("n"))
+    return filters.cited_multi_section(_edges(spark, d), _t(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id")), tops, 0.4, 1.0)
+
+
+@_register("select doc_id, lower(lang) in ('en', 'fr') as passed from documents")
+def filter_fields_of_study(spark: SparkSession, d: str) -> DataFrame:
+    docs = _t(spark, d, "documents").select("doc_id", F.array(F.upper("lang"), "source").alias("fields_of_study"))
+    return filters.fields_of_study(docs, ["EN", "fr"])
+
+
+# ---- statistics --------------------------------------------------------------------------------------------------
+_STATS = f"""with {_TREE}, f as (select doc_id, count(*) filter (where height >= 2 and depth > 0) + 1 as sections, count(*) filter (where height = 1 and headline is null) as paragraphs, count(text) as sentences,
+coalesce(sum(len(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> ''))), 0)::bigint as words, coalesce(sum(length(text)), 0)::bigint as chars from nodes group by 1)"""
+
+
+@_register(f"{_STATS} select * from f")
+def tree_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return stats.tree_stats(_nodes(spark, d))
+
+
+@_register(f"{_STATS}, u as (select 'sentences' as metric, sentences as value from f union all select 'words', words from f union all select 'chars', chars from f) select metric, value, count(*) as count from u group by 1, 2")
+def document_stats_hist(spark: SparkSession, d: str) -> DataFrame:
+    return stats.histogram(stats.tree_stats(_nodes(spark, d)), ["sentences", "words", "chars"])
+
+
+@_register(f"""{_STATS}, h as (select words as value, count(*) as c from f group by 1), e as (select min(value) as lo, greatest(1, ceil((max(value) - min(value) + 1) / 40)) as w from h)
+select 'words' as metric, floor((value - lo) / w)::bigint as bucket, sum(c)::bigint as count from h, e group by 2""")
+def stats_buckets(spark: SparkSession, d: str) -> DataFrame:
+    h = stats.histogram(stats.tree_stats(_nodes(spark, d)), ["words"])
+    return stats.render(h).select("metric", F.col("bucket").cast("bigint").alias("bucket"), "count")
+
+
+@_register(f"with {_TREE} select count(distinct w) as vocabulary from (select unnest(list_filter(string_split_regex(lower(text), '\\s+'), lambda x: x <> '')) as w from nodes where text is not null)")
+def vocabulary(spark: SparkSession, d: str) -> DataFrame:
+    return stats.vocabulary(_nodes(spark, d))
+
+
+@_register(f"""{_STATS}, e as (select conv_id as citing, (conv_id * 7 + turn) % 1000 as cited from conversations) select citing, sum(sections)::bigint as sections, sum(paragraphs)::bigint as paragraphs, sum(sentences)::bigint as sentences, sum(words)::bigint as words, sum(chars)::bigint as chars from e join f on f.doc_id = e.cited group by 1""")
+def cited_stats(spark: SparkSession, d: str) -> DataFrame:
+    e = _t(spark, d, "conversations").select(F.col("conv_id").alias("citing"), ((F.col("conv_id") * 7 + F.col("turn")) % 1000).alias("cited"))
+    return stats.cited_stats(e, stats.tree_stats(_nodes(spark, d)))
+
+
+@_register(f"""{_STATS}, t as (select doc_id, count(*) as top_sections from nodes where depth = 1 group by 1), p as (select doc_id, min(n) as min_parts, max(n) as max_parts from (select doc_id, top, count(*) as n from nodes where depth = 2 group by 1, 2) group by 1)
+select f.doc_id, sections, paragraphs, sentences, words, chars, coalesce(top_sections, 0) as top_sections, coalesce(min_parts, 0) as min_parts, coalesce(max_parts, 0) as max_parts from f left join t using (doc_id) left join p using (doc_id)""")
+def filter_features(spark: SparkSession, d: str) -> DataFrame:
+    docs = _t(spark, d, "documents").select("doc_id", F.lit(None).cast("int").alias("year"), F.array("lang").alias("authors"), F.array().cast("array<bigint>").alias("citations"))
+    none = spark.createDataFrame([], "doc_id bigint, path array<int>, kind string, pos int, index int, start int, end int")
+    bib = spark.createDataFrame([], "doc_id bigint, pos int, id bigint, title string, year int, authors array<string>")
+    f = stats.features(docs, _nodes(spark, d), none, bib)
+    return f.select("doc_id", "sections", "paragraphs", "sentences", "words", "chars", "top_sections", "min_parts", "max_parts")
+
+
+# ---- bibliography, levels, markup --------------------------------------------------------------------------------
+@_register(f"""with {_tokens_cte('p', 'part', 'p_partkey', 'p_name')}, s as (select id, {_SETS} as a from p),
+b as (select l_orderkey as doc, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey) - 1 as pos, case when l_partkey % 3 = 0 then null else l_partkey % 50 + 1970 end as y, a from lineitem join s on s.id = l_partkey),
+q as (select * from (select l_orderkey as doc, l_partkey % 50 + 1970 as y, a, row_number() over (partition by l_orderkey order by l_linenumber desc, l_partkey desc) as r from lineitem join s on s.id = l_partkey) where r = 1),
+m as (select q.doc, q.y as qy, b.pos, b.y, len(list_intersect(q.a, b.a))::double as i, len(q.a) as na, len(b.a) as nb from q join b on b.doc = q.doc),
+k as (select * from m where i > 0 and {_SCORE} >= 0.75),
+g as (select doc, min(pos) filter (where y is null or y = qy) as f, count(*) as n, min(pos) as o, count(*) filter (where y is null) as nn, min(pos) filter (where y is null) as op from k group by 1)
+select q.doc as query_id, coalesce(f, case when n = 1 then o when nn = 1 then op end) as pos from q left join g on g.doc = q.doc""")
+def bibliography_index(spark: SparkSession, d: str) -> DataFrame:
+    from quillspark.operators import bibliography as B
+
+    li = _t(spark, d, "lineitem").join(_t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    no = F.array().cast("array<string>").alias("authors")
+    w = Window.partitionBy("l_orderkey")
+    bib = li.select(F.col("l_orderkey").alias("doc_id"), (F.row_number().over(w.orderBy("l_linenumber", "l_partkey")) - 1).alias("pos"), F.col("p_name").alias("title"), F.when(F.col("l_partkey") % 3 != 0, F.col("l_partkey") % 50 + 1970).alias("year"), no)
+    q = li.withColumn("r", F.row_number().over(w.orderBy(F.col("l_linenumber").desc(), F.col("l_partkey").desc()))).where("r = 1").select(F.col("l_orderkey").alias("query_id"), F.col("l_orderkey").alias("doc_id"), F.col("p_name").alias("title"), (F.col("l_partkey") % 50 + 1970).alias("year"), no)
+    return B.lookup(q, bib)
+
+
+@_register(None)
+def multilevel_hierarchy(spark: SparkSession, d: str) -> DataFrame:
+    """Sections of documents get numbers of two levels and are nested by them."""
+    secs = _nodes(spark, d).where("depth = 1").withColumn("i", F.element_at("path", 1))
+    number = F.when(F.col("i") % 3 == 0, (F.col("i") / 3).cast("int") + 1).otherwise(F.concat(((F.col("i") - F.col("i") % 3) / 3 + 1).cast("int").cast("string"), F.lit("."), (F.col("i") % 3).cast("string")))
+    one = F.struct(F.concat(number.cast("string"), F.lit(" "), F.col("headline")).alias("headline"), F.array().cast("array<string>").alias("content"))
+    trees = secs.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("i", one.alias("s")))).alias("x")).select("doc_id", F.to_json(F.struct(F.lit("T").alias("headline"), F.transform("x", lambda y: y["s"]).alias("content"))).alias("hierarchy"))
+    return multilevel.restructure(trees)
+
+
+@_register("""select page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) as title, regexp_extract(html, '<h1>([^<]*)</h1>', 1) as h1, len(regexp_extract_all(html, '<p>'))::int as paragraphs from pages""")
+def page_reader(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract("html", "<h1>([^<]*)</h1>", 1).alias("h1"), F.regexp_count("html", F.lit("<p>")).alias("paragraphs"))
+
+
+@_register("select doc_id, unnest(list_filter(string_split_regex(regexp_replace(split_part(text, chr(10), 2), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> '')) as sentence from documents")
+def sentence_split(spark: SparkSession, d: str) -> DataFrame:
+    line = F.split_part("text", F.lit("\n"), F.lit(2))
+    return _t(spark, d, "documents").select("doc_id", F.explode(F.filter(F.split(line, r"(?<=[.!?])\s+"), lambda x: x != "")).alias("sentence"))
+
+
+@_register("select conv_id, string_agg(role || ': ' || turn, ' ' order by turn) as turns from conversations group by 1")
+def ordered_rebuild(spark: SparkSession, d: str) -> DataFrame:
+    rows = F.array_sort(F.collect_list(F.struct("turn", "role")))
+    return _t(spark, d, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(rows, lambda x: F.concat(x["role"], F.lit(": "), x["turn"].cast("string"))), " ").alias("turns"))
+
+
+def queries() -> dict[str, Query]:
+    return dict(_queries)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_sql)
