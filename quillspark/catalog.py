@@ -547,8 +547,8 @@ def bibliography_index(spark: SparkSession, d: str) -> DataFrame:
 @_register(None)
 def multilevel_hierarchy(spark: SparkSession, d: str) -> DataFrame:
     """Sections of documents get numbers of two levels and are nested by them."""
-    secs = _nodes(spark, d).where("depth = 1").withColumn("i", F.element_at("path", 1))
-    number = F.when(F.col("i") % 3 == 0, (F.col("i") / 3).cast("int") + 1).otherwise(F.concat(((F.col("i") - F.col("i") % 3) / 3 + 1).cast("int").cast("string"), F.lit("."), (F.col("i") % 3).cast("string")))
+    secs = _nodes(spark, d).where("depth = 1").withColumn("i", F.get("path", F.lit(0)))
+    number = F.when(F.col("i") % 3 == 0, ((F.col("i") / 3).cast("int") + 1).cast("string")).otherwise(F.concat(((F.col("i") - F.col("i") % 3) / 3 + 1).cast("int").cast("string"), F.lit("."), (F.col("i") % 3).cast("string")))
     one = F.struct(F.concat(number.cast("string"), F.lit(" "), F.col("headline")).alias("headline"), F.array().cast("array<string>").alias("content"))
     trees = secs.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("i", one.alias("s")))).alias("x")).select("doc_id", F.to_json(F.struct(F.lit("T").alias("headline"), F.transform("x", lambda y: y["s"]).alias("content"))).alias("hierarchy"))
     return multilevel.restructure(trees)

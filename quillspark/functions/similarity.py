@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,14 +53,33 @@ def dice(left: DataFrame, right: DataFrame, key: str = "token") -> DataFrame:
     return met.join(na, "a").join(nb, "b").select("a", "b", (2.0 * F.col("m") / (F.col("na") + F.col("nb"))).alias("dice"))
 
 
-def top_k(queries: DataFrame, base: DataFrame, k: int) -> DataFrame:
-    """For (qid, qv) and (id, v): (qid, id, score, rank) of the k largest inner products, ties by id.
+def top_k(queries: DataFrame, base: DataFrame, k: int, block: int = 1024) -> DataFrame:
+    """For (qid, qv) and (id, v): (qid, id, score, rank) of the k largest inner products, ties by id. Ids are BIGINT.
+
+    Exact. Vectors are packed into blocks; every pair of blocks is one matrix product in a worker, of which k rows a
+    query go on, so what is shuffled grows with the number of blocks and not of pairs."""
+
+    def packed(df: DataFrame, key: str, vec: str, p: str) -> DataFrame:
+        n = max(1, -(-df.count() // block))
+        return df.groupBy(F.pmod(F.xxhash64(key), F.lit(n)).alias(f"{p}b")).agg(F.collect_list(F.struct(F.col(key).alias("i"), F.col(vec).cast("array<double>").alias("v"))).alias(p))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def side(x: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+            rows = x.values
+            ids = rows.field("i").to_numpy(zero_copy_only=False)
+            return ids, rows.field("v").flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+
+        for b in batches:
+            for q, c in zip(b.column("q"), b.column("c"), strict=True):
+                (qi, qv), (ci, cv) = side(q), side(c)
+                score = np.einsum("ij,kj->ik", qv, cv)
+                order = np.lexsort((np.broadcast_to(ci, score.shape), -score), axis=1)[:, :k]
+                yield pa.record_batch({"qid": pa.array(np.repeat(qi, order.shape[1])), "id": pa.array(ci[order].ravel()), "score": pa.array(np.take_along_axis(score, order, 1).ravel())})
 
-    Exact, so every pair is scored; both sides stay distributed and each base partition keeps k rows a query before the
-    shuffle (window group limit)."""
-    scored = queries.crossJoin(base).select("qid", "id", dot(F.col("qv"), F.col("v")).alias("score"))
+    pairs = packed(queries, "qid", "qv", "q").crossJoin(packed(base, "id", "v", "c")).select("q", "c")
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), "id")
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    best = pairs.mapInArrow(run, "qid bigint, id bigint, score double")
+    return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def hashing_vectors(df: DataFrame, text: str = "title", size: int = 64) -> DataFrame:

@@ -21,6 +21,11 @@ def _folded() -> tuple[str, str]:
 FOLD_FROM, FOLD_TO = _folded()
 
 
+def let(value: Column, f) -> Column:
+    """f(value) with value computed once, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def fold(s: Column) -> Column:
     """Latin letters without their marks."""
     for a, b in LIGATURES:
@@ -33,7 +38,8 @@ def normalize_string(s: Column) -> Column:
 
     A string of which nothing would be left is only lower-cased before runs are collapsed."""
     bare = F.lower(F.regexp_replace(fold(s), r"[\W_]+", " "))
-    return F.regexp_replace(F.when(F.trim(bare) == "", F.lower(s)).otherwise(bare), r"(?s)(.)\1+", "$1")
+    whole = let(bare, lambda b: F.when(F.trim(b) == "", F.lower(s)).otherwise(b))
+    return F.regexp_replace(whole, r"(?s)(.)\1+", "$1")
 
 
 def tokens(s: Column) -> Column:
@@ -54,8 +60,7 @@ def author_initials(authors: Column) -> Column:
     """Token set of each author with all words but the last cut to their first letters."""
 
     def one(a: Column) -> Column:
-        t = tokens(a)
-        return F.array_sort(F.array_distinct(F.transform(t, lambda x, i: F.when(i < F.size(t) - 1, F.left(x, F.lit(1))).otherwise(x))))
+        return let(tokens(a), lambda t: F.array_sort(F.array_distinct(F.transform(t, lambda x, i: F.when(i < F.size(t) - 1, F.left(x, F.lit(1))).otherwise(x)))))
 
     return F.transform(authors, one)
 
@@ -99,8 +104,7 @@ def field_names(fields: Column) -> Column:
 
 def dedup_authors(authors: Column) -> Column:
     """The first author of each token set, in order."""
-    sets = author_sets(authors)
-    return F.filter(authors, lambda a, i: ~F.exists(F.slice(sets, F.lit(1), i), lambda s: s == token_set(a)))
+    return let(author_sets(authors), lambda sets: F.filter(authors, lambda a, i: F.array_position(sets, F.get(sets, i)) == i + 1))
 
 
 def names_covered(pattern: str):

@@ -65,10 +65,10 @@ def related_work(nodes: DataFrame, spans: DataFrame, bib: DataFrame, available:
     ids = inside.join(bib.where("id is not null").select("doc_id", F.col("pos").alias("index"), "id"), ["doc_id", "index"]).join(available.select("id").distinct(), "id", "left_semi")
     cites = at.select("doc_id").join(ids.groupBy("doc_id").agg(F.array_sort(F.collect_set("id")).alias("citations")), "doc_id", "left").withColumn("citations", F.coalesce("citations", F.array().cast("array<bigint>")))
     moved = own.join(abstracts, "doc_id")
-    head, first = F.element_at("path", 1), F.element_at("__a", 1)
+    head, first = F.get("path", F.lit(0)), F.get("__a", F.lit(0))
     place = F.when(head == first, F.lit(0)).when(head < first, head + 1).otherwise(head)
     moved = moved.withColumn("path", F.when(F.size("path") > 0, F.concat(F.array(place), F.slice("path", 2, 10_000))).otherwise(F.col("path"))).drop("__a")
-    at2 = at.join(abstracts, "doc_id").select("doc_id", F.when(F.element_at("path", 1) < first, F.array(F.element_at("path", 1) + 1)).otherwise(F.col("path")).alias("path"))
+    at2 = at.join(abstracts, "doc_id").select("doc_id", F.when(F.get("path", F.lit(0)) < first, F.array(F.get("path", F.lit(0)) + 1)).otherwise(F.col("path")).alias("path"))
     refs = bib.join(at.select("doc_id"), "doc_id", "left_semi").where("id is not null").select("id").distinct().join(available.select("id"), "id", "left_semi")
     return {"sections": at, "rest": tree.remove(moved, at2), "target": target, "citations": cites, "references": refs}
 
