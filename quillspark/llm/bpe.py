@@ -26,7 +26,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import raw, shared_dir, span_hashes, text_slices, work_path
+from quillspark.llm.common import raw, span_hashes, text_slices, work_path, work_table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LEXICON_WORDS = 100_000
@@ -457,9 +457,15 @@ def add_lexicon(spark: SparkSession, content: bytes) -> str:
 
 
 def build_lexicon(docs: DataFrame, vocabulary: str = VOCABULARY, words: int = LEXICON_WORDS) -> str:
-    """Compiles the most frequent words of docs, ties in byte order; the name of the file."""
-    shared_dir(docs.sparkSession)
-    top = word_counts(docs).orderBy(F.col("n").desc(), "word").limit(words).select("word")
+    """Compiles the most frequent words of docs, `words` at most, equally frequent ones all or none; the name of the file."""
+    counts = work_table(word_counts(docs).where("n > 1"), "words")  # a sort would send `words` rows of each partition to the driver
+    least, total = 2, 0
+    for r in counts.groupBy("n").count().orderBy(F.col("n").desc()).toLocalIterator():
+        total += r["count"]
+        if total > words:
+            least = r.n + 1
+            break
+    top = counts.where(F.col("n") >= least).select("word")
     return add_lexicon(docs.sparkSession, compile_lexicon((bytes(r.word) for r in top.collect()), read_ranks(vocabulary)))
 
 
