@@ -50,9 +50,11 @@ def work_table(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, max_rows: int) -> DataFrame:
-    """df, which must be cheap to count, marked for broadcast if it has at most max_rows; else left to a shuffled join."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+def small(df: DataFrame, max_rows: int, max_bytes: int = 8 << 20) -> DataFrame:
+    """df, a part of a work table, marked for broadcast if it has at most max_rows and its files at most max_bytes; else
+    left to a shuffled join."""
+    stored = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().__str__())
+    return F.broadcast(df) if stored <= max_bytes and df.count() <= max_rows else df
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import small
+from quillspark.llm.common import small, work_table
 
 SAMPLE, DICTIONARY, BLOCK, LEVEL, MARGIN, GAIN = 200, 64 * 1024, 2048, 6, 0.003, 0.003
 
@@ -30,7 +30,7 @@ def dictionaries(docs: DataFrame, sample: int = SAMPLE, size: int = DICTIONARY)
     own = docs.where("lang is not null and text is not null and text <> ''")
     key = F.xxhash64(F.col("doc_id").cast("bigint"), F.lit("dictionary"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("__key"))
-    ids = own.select("lang", key.alias("__key")).distinct().withColumn("__rank", rank).where(F.col("__rank") <= sample).select("__key")
+    ids = work_table(own.select("lang", key.alias("__key")).distinct().withColumn("__rank", rank).where(F.col("__rank") <= sample).select("__key"), "sample")
     rows = own.select("lang", "text", key.alias("__key")).join(small(ids, 1_000_000), "__key", "left_semi")
     parts: dict[str, list[bytes]] = {}
     # the smallest texts first: what is cut off is then part of few texts, and no text fills a dictionary alone
