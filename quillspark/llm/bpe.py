@@ -26,7 +26,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import raw, span_hashes, text_slices, work_path, work_table
+from quillspark.llm.common import raw, small_batches, span_hashes, text_slices, work_path, work_table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LEXICON_WORDS = 100_000
@@ -408,6 +408,7 @@ _coders: dict[str, Coder] = {}
 def coder(name: str) -> Coder:
     """In a worker: the coder of a file that was added to the session."""
     if name not in _coders:
+        _coders.clear()  # a worker serves one lexicon after the other
         _coders[name] = Coder(SparkFiles.get(name))
     return _coders[name]
 
@@ -439,6 +440,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) of the pre-tokens of at most LONGEST_WORD bytes of all texts."""
+    small_batches(docs.sparkSession)
     own = docs.select(F.col("text").cast("string").alias("text")).where("text is not null")
     return own.mapInArrow(_count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -485,6 +487,7 @@ def _encode(name: str):
 
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY, words: int = LEXICON_WORDS, lexicon: str | None = None) -> DataFrame:
     """(doc_id, ids, n_tokens, exact), a row for each row."""
+    small_batches(docs.sparkSession)
     name = lexicon or build_lexicon(docs, vocabulary, words)
     own = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     return own.mapInArrow(_encode(name), f"doc_id {own.schema['doc_id'].dataType.simpleString()}, ids array<int>, n_tokens bigint, exact boolean")

@@ -7,6 +7,7 @@ Word hashes are computed for whole Arrow batches with NumPy; no Python loop runs
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -18,13 +19,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 U64 = np.uint64
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), 95]] = True
 _WORD[128:] = True
 _LOW = np.array([(1 << (8 * i)) - 1 for i in range(9)], dtype=U64)
 _own_dir: list[str] = []
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -66,6 +68,14 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_B
         hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + most, "right")))
         yield lo, min(hi, n)
         lo = hi
+    release()
+
+
+def release() -> None:
+    """Gives memory that a batch no longer needs back to the system: workers live on, side by side with the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def raw(a: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -163,6 +173,15 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Rec
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of texts of 4 MB at most, unless the session has its own limit: texts differ too much in length for
+    a limit of rows, and a batch is held by the executor, by the worker and once more as its result."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, "67108864b") == "67108864b":
+        spark.conf.set(key, "4m")
+
+
 def ids_only(docs: DataFrame, text: bool = True) -> DataFrame:
     """doc_id as BIGINT and text, whatever other columns there are."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *([F.col("text").cast("string").alias("text")] if text else []))

@@ -20,13 +20,14 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import small, work_table
+from quillspark.llm.common import small, small_batches, text_slices, work_table
 
 SAMPLE, DICTIONARY, BLOCK, LEVEL, MARGIN, GAIN = 200, 64 * 1024, 2048, 6, 0.003, 0.003
 
 
 def dictionaries(docs: DataFrame, sample: int = SAMPLE, size: int = DICTIONARY) -> dict[str, bytes]:
     """language -> dictionary content, from labelled rows (lang not null, text not empty)."""
+    small_batches(docs.sparkSession)
     own = docs.where("lang is not null and text is not null and text <> ''")
     key = F.xxhash64(F.col("doc_id").cast("bigint"), F.lit("dictionary"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("__key"))
@@ -72,7 +73,7 @@ class Compressors:
 def _classify(dicts: dict[str, bytes], margin: float, gain: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = Compressors(dicts)
-        for b in batches:
+        for b in (part.slice(lo, hi - lo) for part in batches for lo, hi in text_slices(part, "__text", 4 << 20)):
             got = [z.judge(t.as_py(), margin, gain) for t in b.column("__text")]
             lang, lead, ok = zip(*got, strict=True) if got else ((), (), ())
             names = [n for n in b.schema.names if n != "__text"]
