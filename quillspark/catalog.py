@@ -125,7 +125,7 @@ def letter_numbers(spark: SparkSession, d: str) -> DataFrame:
 u as (select distinct a, len(a) as n from s where len(a) > 0),
 p as (select x.a as a, y.a as b, len(list_intersect(x.a, y.a))::double as i, x.n as na, y.n as nb from u x, u y where y.n between x.n * 0.6 - 1e-9 and x.n / 0.6 + 1e-9),
 q as (select a, b, {_SCORE} as score from p where i > 0)
-select l.id as id_a, r.id as id_b, round(score, 6) as score from q join s l on l.a = q.a join s r on r.a = q.b where l.id < r.id and score >= 0.75""")
+select l.id as id_a, r.id as id_b, round(score, 6) as score from q join s l on l.a = q.a join s r on r.a = q.b where l.id < r.id and score >= 0.75 - 1e-9""")
 def title_similarity_join(spark: SparkSession, d: str) -> DataFrame:
     return search.self_similarity_join(_titled(spark, d), 0.75).withColumn("score", F.round("score", 6))
 
@@ -133,7 +133,7 @@ def title_similarity_join(spark: SparkSession, d: str) -> DataFrame:
 _MATCH = f"""with {_tokens_cte('d', 'documents', 'doc_id')}, {_tokens_cte('e', 'benchmark', 'item_id')}, a as (select id, {_SETS} as a from d), b as (select id, {_SETS} as b from e),
 p as (select a.id as probe_id, b.id as id, len(list_intersect(a, b))::double as i, len(a) as na, len(b) as nb from a, b where len(a) > 0 and len(b) > 0),
 q as (select probe_id, id, {_SCORE} as score from p where i > 0),
-best as (select * from (select *, row_number() over (partition by probe_id order by score desc, id) as r from q where score >= 0.3) where r = 1)"""
+best as (select * from (select *, row_number() over (partition by probe_id order by score desc, id) as r from q where score >= 0.3 - 1e-9) where r = 1)"""
 
 
 def _matches(spark: SparkSession, d: str) -> DataFrame:

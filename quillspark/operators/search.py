@@ -36,7 +36,7 @@ def similar_sets(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD
     met = prefix(left, "a").join(prefix(right, "b"), "w")
     met = met.where(F.col("nb").between(threshold * F.col("na") / (2 - threshold) - 1e-9, F.col("na") * (2 - threshold) / threshold + 1e-9))
     pairs = met.select("a", "b").distinct().withColumn("score", M.similarity(F.col("a"), F.col("b")))
-    return pairs.where(F.col("score") >= threshold)
+    return pairs.where(F.col("score") >= threshold - 1e-9)  # 3 of 5 words is 0.75, whatever rounding says
 
 
 def similarity_join(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
