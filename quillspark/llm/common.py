@@ -173,6 +173,11 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Rec
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, in whatever case."""
+    return name + "_" * (1 + max((len(c) for c in df.columns), default=0))
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of texts of 4 MB at most, unless the session has its own limit: texts differ too much in length for
     a limit of rows, and a batch is held by the executor, by the worker and once more as its result."""

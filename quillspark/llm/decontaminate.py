@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import U64, Words, ids_only, mix, runs, small, text_slices, work_table
+from quillspark.llm.common import U64, Words, fresh, ids_only, mix, runs, small, text_slices, work_table
 
 MASKS = ((0, 1, 3, 4, 6, 7), (0, 1, 3, 5, 6, 8), (0, 1, 2, 4, 8, 9), (0, 2, 4, 5, 8, 9))
 MIN_ITEM, MIN_WORDS, SHARE, PENALTY = 8, 13, 0.8, 3
@@ -145,5 +145,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without those that some item leaks into."""
-    bad = work_table(leaks(docs, benchmark).select(F.col("doc_id").alias("__leak")).distinct(), "leaks")
-    return docs.join(small(bad, BROADCAST_ROWS), docs["doc_id"].cast("bigint") == F.col("__leak"), "left_anti")
+    key = fresh(docs, "leak")
+    bad = work_table(leaks(docs, benchmark).select(F.col("doc_id").alias(key)).distinct(), "leaks")
+    return docs.join(small(bad, BROADCAST_ROWS), F.col("doc_id").cast("bigint") == F.col(key), "left_anti")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import small, work_table
+from quillspark.llm.common import fresh, small, work_table
 
 MAX_DOCS = 50
 BROADCAST_ROWS = 500_000
@@ -42,11 +42,12 @@ def deduplicate(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
     often = work_table(seen.where(F.col("__n") > max_docs).select("__h1", "__h2"), "lines")
     hits = lines.join(small(often, BROADCAST_ROWS), ["__h1", "__h2"], "left_semi")
     drop = work_table(hits.groupBy("__d1", "__d2").agg(F.collect_set("__at").alias("__drop")), "positions")
-    keyed = docs.withColumns(dict(zip(("__d1", "__d2"), _pair(text, "__d"), strict=True)))
-    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains("__drop", i)), "\n")
-    return keyed.join(small(drop, BROADCAST_ROWS), ["__d1", "__d2"], "left").select(
-        *[F.when(F.col("__drop").isNull(), text).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c != "lines_dropped"],
-        F.when(F.col("__drop").isNull(), 0).otherwise(F.size("__drop")).alias("lines_dropped"),
+    d1, d2, gone = (fresh(docs, c) for c in ("d1", "d2", "drop"))
+    keyed = docs.withColumns(dict(zip((d1, d2), _pair(text, "__d"), strict=True)))
+    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains(gone, i)), "\n")
+    return keyed.join(small(drop.toDF(d1, d2, gone), BROADCAST_ROWS), [d1, d2], "left").select(
+        *[F.when(F.col(gone).isNull(), text).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c != "lines_dropped"],
+        F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).alias("lines_dropped"),
     )
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import U64, Words, ids_only, mix, runs, small, text_slices, whole_groups, work_table
+from quillspark.llm.common import U64, Words, fresh, ids_only, mix, runs, small, text_slices, whole_groups, work_table
 
 PERMS, BANDS, GRAM, THRESHOLD = 128, 32, 3, 0.5
 _rng = np.random.default_rng(20240611)
@@ -153,13 +153,13 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def deduplicate(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs with one document of each group, its columns and order of columns unchanged."""
-    gone = work_table(groups(docs, threshold).where("not keep").select("doc_id", "group_id"), "dropped")
-    left = docs.join(small(gone.where("doc_id <> group_id").select(F.col("doc_id").alias("__gone")).distinct(), BROADCAST_ROWS), docs["doc_id"].cast("bigint") == F.col("__gone"), "left_anti")
-    again = gone.where("doc_id = group_id").select(F.col("doc_id").alias("__gone")).distinct()
+    gone, key, row = work_table(groups(docs, threshold).where("not keep").select("doc_id", "group_id"), "dropped"), fresh(docs, "gone"), fresh(docs, "row")
+    same = F.col("doc_id").cast("bigint") == F.col(key)
+    left = docs.join(small(gone.where("doc_id <> group_id").select(F.col("doc_id").alias(key)).distinct(), BROADCAST_ROWS), same, "left_anti")
+    again = gone.where("doc_id = group_id").select(F.col("doc_id").alias(key)).distinct()
     if again.isEmpty():
         return left
     # rows that repeat a kept doc_id: the first of them stays
     again = small(again, BROADCAST_ROWS)
-    same = F.col("doc_id").cast("bigint") == F.col("__gone")
     order = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.length("text").desc(), F.xxhash64("text")))
-    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").withColumn("__row", order).where("__row = 1").drop("__row"))
+    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").withColumn(row, order).where(F.col(row) == 1).drop(row))
