@@ -1,14 +1,14 @@
 """Audio columns: polyphase resampling, overlapped log-mel filterbanks, hysteresis energy segmentation.
 
 A clip is bytes: a RIFF/WAVE file with 16-bit PCM (channels are averaged), or else raw 8-bit mu-law samples at
-`RAW_RATE`. It is resampled to `RATE` by a windowed-sinc polyphase filter, cut into frames of 25 ms every 10 ms, and
-turned into the logarithms of `MELS` mel bands. The frames are stored in tensors of fixed shape (`FRAMES`, `MELS`), the
-last one padded with zeros, each with its time span; in Spark as an array of FRAMES x MELS floats, in files and Arrow
+`RAW_RATE`. It is resampled to `RATE` by a windowed-sinc polyphase filter, cut into frames of 25 ms every 10 ms (the last
+or only one padded with zeros, so the frames reach the clip's end), and turned into the logarithms of `MELS` mel bands. The frames are stored in tensors of fixed shape (`FRAMES`, `MELS`), the
+last one padded with zeros, each with its time span, which ends with the clip at the latest; in Spark as an array of FRAMES x MELS floats, in files and Arrow
 tables as Arrow's fixed-shape tensor. A segment of sound begins where a frame's energy reaches `HIGH` dB below the
 clip's loudest frame and lasts as long as it stays above `LOW` dB below it.
 
-Defined results: null clips and clips too short for one frame give no row; damaged WAVE headers are read as raw
-samples; silence gives one segment over the whole clip; rows are independent, whatever ids repeat or are null.
+Defined results: null clips and clips without samples give no row, as do WAVE files cut off before their format is
+told (under `HEADER` bytes); other damaged WAVE headers are read as raw samples; silence gives one segment over the whole clip; rows are independent, whatever ids repeat or are null.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RAW_RATE, RATE, WINDOW, HOP, FFT, MELS, FRAMES = 8000, 16000, 400, 160, 512, 40, 16
-HIGH, LOW, TAPS = 12.0, 24.0, 16
+HIGH, LOW, TAPS, HEADER = 12.0, 24.0, 16, 36
 TENSOR = pa.fixed_shape_tensor(pa.float32(), (FRAMES, MELS), dim_names=("frame", "mel"))
 
 
@@ -48,6 +48,8 @@ def decode(clip: bytes) -> tuple[np.ndarray, int]:
                 x = np.frombuffer(body[: len(body) // (2 * form[1]) * 2 * form[1]], "<i2").reshape(-1, form[1])
                 return x.mean(axis=1) / 32768.0, form[2]
             at += 8 + n + n % 2
+        if len(clip) < HEADER:
+            return np.zeros(0), RAW_RATE
     return _mulaw()[np.frombuffer(clip, np.uint8)], RAW_RATE
 
 
@@ -87,16 +89,18 @@ def mel_bank() -> np.ndarray:
 
 
 def log_mel(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-mel rows and energies in dB of all whole frames."""
-    if len(x) < WINDOW:
+    """Log-mel rows and energies in dB of frames up to the end; the energy of the last one is that of its samples in x."""
+    if not len(x):
         return np.zeros((0, MELS), np.float32), np.zeros(0)
-    frames = np.lib.stride_tricks.sliding_window_view(x, WINDOW)[::HOP]
+    n = 1 + -(-max(0, len(x) - WINDOW) // HOP)
+    frames = np.lib.stride_tricks.sliding_window_view(np.pad(x, (0, (n - 1) * HOP + WINDOW - len(x))), WINDOW)[::HOP]
+    held = np.minimum(WINDOW, len(x) - np.arange(n) * HOP)
     mel, db = [], []
     for i in range(0, len(frames), 2048):  # in blocks, so a long clip needs no more memory than a short one
         part = frames[i : i + 2048]
         power = np.abs(np.fft.rfft(part * np.hanning(WINDOW), FFT)) ** 2
         mel.append(np.log(np.maximum(power @ mel_bank(), 1e-10)).astype(np.float32))
-        db.append(10 * np.log10(np.maximum((part**2).mean(axis=1), 1e-10)))
+        db.append(10 * np.log10(np.maximum((part**2).sum(axis=1) / held[i : i + 2048], 1e-10)))
     return np.concatenate(mel), np.concatenate(db)
 
 
@@ -119,7 +123,7 @@ def features(clip: bytes) -> Iterator[tuple[int, float, float, int, np.ndarray,
     x, rate = decode(clip)
     mel, db = log_mel(resample(x, rate))
     found = segments(db)
-    span = lambda s, e: (s * HOP / RATE, ((e - 1) * HOP + WINDOW) / RATE)
+    span = lambda s, e: (s * HOP / RATE, min(((e - 1) * HOP + WINDOW) / RATE, len(x) / rate))
     for k in range(0, len(mel), FRAMES):
         part = mel[k : k + FRAMES]
         tensor = np.zeros((FRAMES, MELS), np.float32)

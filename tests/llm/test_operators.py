@@ -309,6 +309,24 @@ def test_audio(spark, tmp_path):
     assert pq.read_table(tmp_path / "t.parquet").schema.field("features").type == audio.TENSOR
 
 
+def test_audio_reaches_the_end(spark):
+    sizes = (0, 1, 199, 200, 201, 279, 280, 281, 1480, 5000)
+    clips = spark.createDataFrame([(n, bytes(200 - i % 90 for i in range(n))) for n in sizes], "k int, clip binary")
+    got = collections.defaultdict(list)
+    for r in audio.extract(clips, ["k"], "clip").orderBy("k", "tensor").collect():
+        got[r.k].append(r)
+    assert set(got) == set(sizes) - {0}
+    for n, rows in got.items():
+        frames = 1 if n <= 200 else 1 + -(-(2 * n - audio.WINDOW) // audio.HOP)
+        assert sum(r.n_frames for r in rows) == frames and len(rows) == -(-frames // audio.FRAMES)
+        assert rows[0].start_s == 0 and rows[-1].end_s == pytest.approx(n / 8000)
+        assert max(s.end_s for r in rows for s in r.segments) == pytest.approx(n / 8000)
+        assert n == 1 or all(np.ptp(np.array(r.features).reshape(audio.FRAMES, -1)[: r.n_frames], axis=1).min() > 0 for r in rows)  # the window is 0 at its first sample
+    x = audio.resample(*audio.decode(bytes(range(201))))
+    last = np.log(np.maximum(np.abs(np.fft.rfft(np.pad(x[160:], (0, 158)) * np.hanning(400), 512)) ** 2 @ audio.mel_bank(), 1e-10))
+    assert np.allclose(audio.log_mel(x)[0][1], last, atol=1e-5)
+
+
 # 8
 def test_licenses(spark, docs, empty):
     texts = {1: "SPDX-License-Identifier: MIT OR (GPL-3.0-only AND Apache-2.0)\nx", 2: "Licensed under CC BY-NC 4.0.", 3: "SPDX-License-Identifier: (MIT", 4: "the mit licensee", 5: None, 6: "GNU GPL v3 and the MIT License", 7: "spdx-license-identifier: GPL-2.0 with Classpath-exception-2.0"}
