@@ -3,10 +3,11 @@
 Words of documents and of benchmark items are hashed. Each fixed mask takes some of the next words and ignores the
 others, so a substitution between them doesn't hide a hit. Document seeds are tested in the worker against a bit filter
 of the items' seeds (its size follows the benchmark, up to 64 MB; a fuller filter costs time, not correctness); those
-that pass are joined with the items' seeds in Spark, and around each hit the item is laid over the document: the best
-segment, at +1 for equal words and -3 for substituted ones, decides.
+that pass are joined with the items' seeds in Spark, and around each hit the item is laid over the document: the window
+with the most equal words, of those in which at least half of the words are equal, decides.
 
-An item leaks into a document if that segment has at least min(13, 0.8 x words of the item) equal words.
+An item leaks into a document if that window has at least min(13, 0.8 x words of the item) equal words. In items of up to
+26 words that is so wherever the equal words lie; in longer ones equal words far from each other don't add up.
 Defined results: null ids or texts and items of under 8 words never match; repeated rows give one result; an empty
 table gives an empty result; a word is as in `common`; other columns are ignored by `leaks` and kept by `clean`.
 """
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from quillspark.llm.common import U64, Words, fresh, ids_only, mix, runs, small, text_slices, work_table
 
 MASKS = ((0, 1, 3, 4, 6, 7), (0, 1, 3, 5, 6, 8), (0, 1, 2, 4, 8, 9), (0, 2, 4, 5, 8, 9))
-MIN_ITEM, MIN_WORDS, SHARE, PENALTY = 8, 13, 0.8, 3
+MIN_ITEM, MIN_WORDS, SHARE = 8, 13, 0.8
 BROADCAST_ROWS = 1_000_000
 _SEED = "array<struct<h: bigint, at: int>>"
 
@@ -98,14 +99,20 @@ def _hits(bits: int, packed, reach: int):
 
 
 def overlap(doc: np.ndarray, item: np.ndarray, at: int) -> tuple[int, int, int]:
-    """Best segment of item laid over doc with its first word at `at`: first word in doc, words, equal words."""
+    """Best window of item laid over doc with its first word at `at`: first word in doc, words, equal words.
+
+    Of the windows with at least as many equal words as others, that with the most equal words, then the shortest."""
     lo, hi = max(0, -at), min(len(item), len(doc) - at)
     same = doc[at + lo : at + hi] == item[lo:hi]
-    total = np.concatenate([[0], np.cumsum(np.where(same, 1, -PENALTY))])
-    low = np.minimum.accumulate(total)
-    e = int(np.argmax(total - low))
-    s = int(np.argmin(total[: e + 1]))
-    return at + lo + s, e - s, int(same[s:e].sum())
+    where = np.flatnonzero(same)
+    if not len(where):
+        return at + lo, 0, 0
+    balance = np.concatenate([[0], np.cumsum(np.where(same, 1, -1))])
+    count = np.concatenate([[0], np.cumsum(same)])
+    e = where + 1  # a best window ends with an equal word; its start is the first from which the balance doesn't fall
+    s = where[count[np.searchsorted(-np.minimum.accumulate(balance), -balance[e], "left")]]
+    k = np.lexsort((s, e - s, count[s] - count[e]))[0]
+    return at + lo + int(s[k]), int(e[k] - s[k]), int(count[e[k]] - count[s[k]])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -211,6 +211,45 @@ def test_decontaminate(spark, docs, rows, empty):
     assert decontaminate.leaks(empty, bench).count() == 0 and decontaminate.leaks(docs, bench.limit(0)).count() == 0
 
 
+def brute_leaks(doc, item):
+    """Equal words counted one by one in every window of the item at every place."""
+    need, best = min(13, -(-len(item) * 4 // 5)), (0, 0, 0)
+    for at in range(-len(item) + 1, len(doc)):
+        same = [0 <= at + k < len(doc) and doc[at + k] == x for k, x in enumerate(item)]
+        for s in range(len(item)):
+            equal = 0
+            for e in range(s, len(item)):
+                equal += same[e]
+                if 2 * equal >= e - s + 1:
+                    best = max(best, (equal, s - e - 1, -at - s))
+    return (-best[2], -best[1], best[0]) if best[0] >= need else None
+
+
+def test_decontaminate_clustered_substitutions(spark):
+    rng = random.Random(8)
+
+    def changed(item, *at):
+        return [f"other{k}" if k in at else x for k, x in enumerate(item)]
+
+    items = {i: [f"i{i}x{k}" for k in range(n)] for i, n in enumerate([14, 20, 17, 20, 26, 40, 60, 60, 60, 9, 16])}
+    near = {
+        0: changed(items[0], 5, 6), 1: changed(items[1], *range(8, 12)), 2: changed(items[2], 11, 12, 14, 15), 3: changed(items[3], *range(10, 17)),
+        4: changed(items[4], *range(10, 23)), 5: changed(items[5], *range(10, 15), *range(20, 40)), 6: changed(items[6], *range(10, 57)), 7: changed(items[7], *range(10, 14), *range(20, 60)),
+        8: changed(items[8], *range(12, 60)), 9: changed(items[9], 8), 10: changed(items[10], 12, 13, 14, 15),
+    }
+    for i in range(11, 31):
+        items[i] = [f"i{i}x{k}" for k in range(rng.randrange(12, 45))]
+        a = rng.randrange(10, len(items[i]))
+        near[i] = changed(items[i], *range(a, min(len(items[i]), a + rng.randrange(1, 9))), *(k for k in range(a, len(items[i])) if rng.random() < 0.3))
+    texts = {i: prose(rng, rng.randrange(0, 9)).split() + x + prose(rng, rng.randrange(0, 9)).split() for i, x in near.items()}
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in texts.items()], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in items.items()], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): (r.first_word, r.n_words, r.n_equal) for r in decontaminate.leaks(docs, bench).collect()}
+    want = {(i, i): x for i in texts if (x := brute_leaks(words_of(" ".join(texts[i])), items[i]))}
+    assert got == want and {0, 1, 2, 3, 4, 5, 7, 9} <= {i for i, _ in want} and not {6, 8, 10} & {i for i, _ in want}
+    assert got[0, 0][1:] == (14, 12) and got[1, 1][1:] == (20, 16)
+
+
 # 6
 def brute_groups(rows):
     ids = [(d, t) for d, t in rows if d is not None and t is not None and words_of(t)]
