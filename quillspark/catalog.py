@@ -565,6 +565,12 @@ def sentence_split(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "documents").select("doc_id", F.explode(F.filter(F.split(line, r"(?<=[.!?])\s+"), lambda x: x != "")).alias("sentence"))
 
 
+@_register(None)
+def document_sentences(spark: SparkSession, d: str) -> DataFrame:
+    """Whole texts by the engine's splitter; `sentence_split` and its SQL take the second line only, by a simpler rule."""
+    return spans.sentence_rows(_t(spark, d, "documents"))
+
+
 @_register("select conv_id, string_agg(role || ': ' || turn, ' ' order by turn) as turns from conversations group by 1")
 def ordered_rebuild(spark: SparkSession, d: str) -> DataFrame:
     rows = F.array_sort(F.collect_list(F.struct("turn", "role")))

@@ -6,9 +6,10 @@ A span is (index or None, start, end), end exclusive, in code points.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -341,3 +342,21 @@ def sentences(text: str) -> list[tuple[int, int]]:
         if s < e:
             out.append((s, e))
     return out
+
+
+def _sentence_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for lo in range(0, b.num_rows, 100):
+            part, row, found = b.slice(lo, 100), [], []
+            for i, t in enumerate(part.column("text").to_pylist()):
+                own = [(s, e, t[s:e]) for s, e in sentences(t)]
+                row += [i] * len(own)
+                found += own
+            start, end, text = zip(*found, strict=True) if found else ([], [], [])
+            yield pa.record_batch({"doc_id": part.column("doc_id").take(pa.array(row, pa.int64())), "start": pa.array(start, pa.int32()), "end": pa.array(end, pa.int32()), "sentence": pa.array(text, pa.string())})
+
+
+def sentence_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, start, end, sentence) of whole texts (doc_id, text); null texts have none."""
+    own = docs.where("text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return own.mapInArrow(_sentence_rows, "doc_id bigint, start int, end int, sentence string")

@@ -22,6 +22,34 @@ def test_query(spark, con, name):
         assert compare(spark, con, SF, query, sql) is None
 
 
+def brute_sentences(text):
+    """Character by character: . ! or ?, closing marks, blanks, then a capital, a digit or an opening mark."""
+    out, first, i = [], 0, 0
+    while i < len(text):
+        if text[i] in ".!?":
+            j = i + 1
+            while j < len(text) and text[j] in "\"')]":
+                j += 1
+            k = j
+            while k < len(text) and text[k].isspace():
+                k += 1
+            if j < k < len(text) and text[k] in "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789\"'([":
+                out.append((first, k))
+                first = k
+        i += 1
+    return [(a + len(p) - len(p.lstrip()), a + len(p.rstrip())) for a, b in [*out, (first, len(text))] if (p := text[a:b]).strip()]
+
+
+def test_document_sentences(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = {}
+    for r in catalog.queries()["document_sentences"](spark, SF).collect():
+        assert texts[r.doc_id][r.start : r.end] == r.sentence
+        got.setdefault(r.doc_id, []).append((r.start, r.end))
+    assert {d: sorted(x) for d, x in got.items()} == {d: x for d, t in texts.items() if (x := brute_sentences(t))}
+    assert all("".join("".join(t[s:e] for s, e in sorted(got.get(d, []))).split()) == "".join(t.split()) for d, t in texts.items())
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
