@@ -565,6 +565,11 @@ def sentence_split(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "documents").select("doc_id", F.explode(F.filter(F.split(line, r"(?<=[.!?])\s+"), lambda x: x != "")).alias("sentence"))
 
 
+@_register(None)
+def dehyphenate(spark: SparkSession, d: str) -> DataFrame:
+    return spans.dehyphenated(_t(spark, d, "documents"))
+
+
 @_register(None)
 def document_sentences(spark: SparkSession, d: str) -> DataFrame:
     """Whole texts by the engine's splitter; `sentence_split` and its SQL take the second line only, by a simpler rule."""

@@ -12,6 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 Span = tuple[int | None, int, int]
 
@@ -328,6 +329,61 @@ def vocabulary_acceptor(words: set[str]) -> Callable[[str, str], bool]:
     return lambda a, b: (a + b).lower() in words and not (a.lower() in words and b.lower() in words)
 
 
+_BROKEN = re.compile(r"(\w+)-\s+(\w+)")
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _pairs(text: pd.Series) -> pd.Series:
+    return pd.Series([sorted({f"{a} {b}".lower() for a, b in _BROKEN.findall(t or "")}) for t in text])
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _whole_words(text: pd.Series) -> pd.Series:
+    return pd.Series([sorted(set(re.findall(r"\w+", _BROKEN.sub(" ", t or "").lower()))) for t in text])
+
+
+def corpus_joins(texts: DataFrame, key: str) -> DataFrame:
+    """(key, joins): of (key, text) rows, the broken pairs, as "word part", that the vocabulary of all texts accepts.
+
+    The rule is that of vocabulary_acceptor; broken words' parts don't count as words. Nothing is collected."""
+    pairs = texts.select(key, F.explode(_pairs("text")).alias("pair")).distinct()
+    at = F.split("pair", " ")
+    each = pairs.select("pair").distinct().select("pair", F.get(at, F.lit(0)).alias("__a"), F.get(at, F.lit(1)).alias("__b"))
+    asked = each.select(F.explode(F.array("__a", "__b", F.concat("__a", "__b"))).alias("w")).distinct()
+    words = texts.select(F.explode(_whole_words("text")).alias("w")).join(asked, "w", "left_semi").distinct()
+    known = lambda name: words.select(F.col("w").alias(name), F.lit(True).alias(f"{name}k"))
+    ok = each.withColumn("__j", F.concat("__a", "__b")).join(known("__j"), "__j").join(known("__a"), "__a", "left").join(known("__b"), "__b", "left")
+    ok = ok.where("__ak is null or __bk is null").select("pair")
+    return pairs.join(ok, "pair").groupBy(key).agg(F.array_sort(F.collect_set("pair")).alias("joins"))
+
+
+def rejoin(text: str, joins, *groups: list[dict]) -> tuple[str, list[list[dict]]]:
+    """text with its broken words joined where joins has them, and groups of {index, start, end} moved; a join that cuts a span is left out."""
+    known = set(joins if joins is not None else ())
+    changes = dehyphenate(text, lambda a, b: f"{a} {b}".lower() in known) if known else []
+    if not changes:
+        return text, list(groups)
+    new, moved = replace(text, changes, [[(x["index"], x["start"], x["end"]) for x in g] for g in groups], "skip")
+    return new, [[dict(zip(("index", "start", "end"), x, strict=True)) for x in g] for g in moved]
+
+
+def dehyphenated(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, joined): whole texts with broken words joined by the corpus vocabulary, and how many were."""
+    own = docs.select("doc_id", "text", F.xxhash64("text").alias("__key"))
+    joins = corpus_joins(own.select("__key", "text").where("text is not null"), "__key")
+
+    @F.pandas_udf("struct<text: string, joined: int>")
+    def run(text: pd.Series, joins: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t, j in zip(text, joins, strict=True):
+            known = set(j if j is not None else ())
+            changes = dehyphenate(t, lambda a, b: f"{a} {b}".lower() in known) if known and t is not None else []  # noqa: B023
+            rows.append((replace(t, changes, [])[0] if changes else t, len(changes)))
+        return pd.DataFrame(rows, columns=["text", "joined"])
+
+    return own.join(joins, "__key", "left").select("doc_id", run("text", "joins").alias("r")).select("doc_id", "r.text", "r.joined")
+
+
 _END = re.compile(r"(?<=[.!?])[\"')\]]*\s+(?=[A-Z0-9\"'(\[])")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import text as T
 from quillspark.operators import ids as I  # noqa: E741
-from quillspark.operators.spans import sentences
+from quillspark.operators.spans import corpus_joins, rejoin, sentences
 from quillspark.schema import DOCUMENT, PAPER
 
 _SPANS = "array<struct<start: string, end: string, attributes: struct<ref_id: string, id: string, matched_paper_id: string, n: string>>>"
@@ -155,25 +155,26 @@ def s2orc_figures(full: DataFrame) -> DataFrame:
     return full.select("corpusid", F.col("content.text").alias("body"), F.posexplode(kinds).alias("pos", "f")).select(F.col("corpusid").alias("doc_id"), "pos", F.col("f.ref").alias("ref"), F.col("f.kind").alias("kind"), span_text(F.col("body"), F.col("f")).alias("description"))
 
 
-def _leaf(text: str, cites: list, refs: list) -> list[dict]:
-    """Sentences of a paragraph as leaves; a span belongs to the sentence in which it begins."""
+def _leaf(text: str, cites: list, refs: list, joins=None) -> list[dict]:
+    """Sentences of a paragraph, without its broken words, as leaves; a span belongs to the sentence in which it begins."""
     out = []
+    text, (cites, refs) = rejoin(text, joins, cites, refs)
     for s, e in sentences(text):
         own = lambda xs: [{"index": x["index"], "start": max(0, x["start"] - s), "end": min(x["end"], e) - s} for x in xs if s <= x["start"] < e]  # noqa: B023, E731
         out.append({"headline": None, "content": {"text": text[s:e], "citations": own(cites), "references": own(refs)}})
     return out
 
 
-def paragraphs_tree(title: str | None, abstract: str | None, paragraphs: list[dict], cite_at: dict, fig_at: dict) -> dict:
+def paragraphs_tree(title: str | None, abstract: str | None, paragraphs: list[dict], cite_at: dict, fig_at: dict, joins=None) -> dict:
     """Root -> abstract and sections -> paragraphs -> sentences."""
     secs: list[dict] = []
     if abstract and abstract.strip():
-        secs.append({"headline": "Abstract", "content": [{"headline": None, "content": _leaf(abstract, [], [])}]})
+        secs.append({"headline": "Abstract", "content": [{"headline": None, "content": _leaf(abstract, [], [], joins)}]})
     for p in paragraphs:
         if not secs or secs[-1]["headline"] != (p["section"] or None) or secs[-1]["headline"] == "Abstract" and not p["section"]:
             secs.append({"headline": p["section"] or None, "content": []})
         spans = lambda xs, at: [{"index": at.get(x["ref"]), "start": int(x["start"]), "end": int(x["end"])} for x in (xs if xs is not None else [])]
-        secs[-1]["content"].append({"headline": None, "content": _leaf(p["text"], spans(p["citations"], cite_at), spans(p["references"], fig_at))})
+        secs[-1]["content"].append({"headline": None, "content": _leaf(p["text"], spans(p["citations"], cite_at), spans(p["references"], fig_at), joins)})
     return {"headline": title, "content": secs}
 
 
@@ -187,18 +188,19 @@ def s2orc(meta: DataFrame, full: DataFrame) -> DataFrame:
     bibs = bib.unionByName(extra.select(bib.columns)).groupBy(F.col("doc_id").alias("id")).agg(rows.alias("bib"))
     figures = figs.groupBy(F.col("doc_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("pos", "ref", "kind", "description"))).alias("figs"))
     pars = s2orc_paragraphs(full).groupBy(F.col("corpusid").alias("id")).agg(F.array_sort(F.collect_list(F.struct("start", "end", "section", "text", F.to_json("citations").alias("c"), F.to_json("references").alias("r")))).alias("pars"))
-    own = head.join(bibs, "id", "left").join(figures, "id", "left").join(pars, "id", "left")
+    texts = s2orc_paragraphs(full).select(F.col("corpusid").alias("id"), "text").unionByName(head.select("id", F.col("abstract").alias("text")))
+    own = head.join(bibs, "id", "left").join(figures, "id", "left").join(pars, "id", "left").join(corpus_joins(texts.where("text is not null"), "id"), "id", "left")
 
     @F.pandas_udf("string")
-    def tree(title: pd.Series, abstract: pd.Series, pars: pd.Series, bib: pd.Series, figs: pd.Series) -> pd.Series:
+    def tree(title: pd.Series, abstract: pd.Series, pars: pd.Series, bib: pd.Series, figs: pd.Series, joins: pd.Series) -> pd.Series:
         out = []
-        for t, a, p, b, f in zip(title, abstract, pars, bib, figs, strict=True):
+        for t, a, p, b, f, j in zip(title, abstract, pars, bib, figs, joins, strict=True):
             at = lambda xs: {x["ref"]: i for i, x in enumerate(xs) if x["ref"] is not None} if xs is not None else {}
             rows = [{"section": x["section"], "text": x["text"], "citations": json.loads(x["c"]), "references": json.loads(x["r"])} for x in (p if p is not None else [])]
-            out.append(json.dumps(paragraphs_tree(t, a, rows, at(b), at(f)), ensure_ascii=False))
+            out.append(json.dumps(paragraphs_tree(t, a, rows, at(b), at(f), j), ensure_ascii=False))
         return pd.Series(out)
 
-    return own.withColumn("hierarchy", tree("title", "abstract", "pars", "bib", "figs")).withColumn("bibliography", F.transform("bib", lambda x: x.dropFields("pos", "ref"))).withColumn("non_plaintext_content", F.transform("figs", lambda x: x.dropFields("pos", "ref"))).drop("bib", "figs", "pars", "abstract")
+    return own.withColumn("hierarchy", tree("title", "abstract", "pars", "bib", "figs", "joins")).withColumn("bibliography", F.transform("bib", lambda x: x.dropFields("pos", "ref"))).withColumn("non_plaintext_content", F.transform("figs", lambda x: x.dropFields("pos", "ref"))).drop("bib", "figs", "pars", "abstract", "joins")
 
 
 def s2orc_old(raw: DataFrame) -> DataFrame:
@@ -212,17 +214,20 @@ def s2orc_old(raw: DataFrame) -> DataFrame:
         bib.alias("bib"), figs.alias("figs"), F.to_json("body_text").alias("body"), F.array_join(F.transform(F.coalesce("abstract", F.array().cast(_PAR)), lambda p: p["text"]), " ").alias("abs"),
     )
 
+    texts = raw.select(F.col("paper_id").try_cast("bigint").alias("id"), F.explode(F.concat(*[F.transform(F.coalesce(c, F.array().cast(_PAR)), lambda p: p["text"]) for c in ("abstract", "body_text")])).alias("text"))
+    own = own.join(corpus_joins(texts.where("id is not null and text is not null"), "id"), "id", "left")
+
     @F.pandas_udf("string")
-    def tree(title: pd.Series, abstract: pd.Series, body: pd.Series, bib: pd.Series, figs: pd.Series) -> pd.Series:
+    def tree(title: pd.Series, abstract: pd.Series, body: pd.Series, bib: pd.Series, figs: pd.Series, joins: pd.Series) -> pd.Series:
         out = []
-        for t, a, p, b, f in zip(title, abstract, body, bib, figs, strict=True):
+        for t, a, p, b, f, j in zip(title, abstract, body, bib, figs, joins, strict=True):
             at = lambda xs: {x["ref"]: i for i, x in enumerate(xs)} if xs is not None else {}
             spans = lambda xs: [{"ref": x.get("ref_id"), "start": x["start"], "end": x["end"]} for x in xs or []]
             rows = [{"section": x.get("section") or "", "text": x.get("text") or "", "citations": spans(x.get("cite_spans")), "references": spans(x.get("ref_spans"))} for x in (json.loads(p) if p else [])]
-            out.append(json.dumps(paragraphs_tree(t, a, rows, at(b), at(f)), ensure_ascii=False))
+            out.append(json.dumps(paragraphs_tree(t, a, rows, at(b), at(f), j), ensure_ascii=False))
         return pd.Series(out)
 
-    return own.withColumn("hierarchy", tree("title", "abs", "body", "bib", "figs")).withColumn("bibliography", F.transform("bib", lambda x: x.dropFields("ref"))).withColumn("non_plaintext_content", F.transform("figs", lambda x: x.dropFields("ref"))).drop("bib", "figs", "body", "abs")
+    return own.withColumn("hierarchy", tree("title", "abs", "body", "bib", "figs", "joins")).withColumn("bibliography", F.transform("bib", lambda x: x.dropFields("ref"))).withColumn("non_plaintext_content", F.transform("figs", lambda x: x.dropFields("ref"))).drop("bib", "figs", "body", "abs", "joins")
 
 
 def mag_to_core(references: DataFrame, mag_index: DataFrame, core_index: DataFrame) -> DataFrame:

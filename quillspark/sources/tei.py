@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillspark.operators.spans import sentences
+from quillspark.operators.spans import corpus_joins, rejoin, sentences
 from quillspark.schema import BIB
 
 NS = "{http://www.tei-c.org/ns/1.0}"
@@ -81,15 +81,16 @@ def paragraph(p: ET.Element, cite_at: dict[str, int], fig_at: dict[str, int]) ->
     return text, cites, refs
 
 
-def _leaves(text: str, cites: list[dict], refs: list[dict]) -> list[dict]:
+def _leaves(text: str, cites: list[dict], refs: list[dict], joins=None) -> list[dict]:
     out = []
+    text, (cites, refs) = rejoin(text, joins, cites, refs)
     for s, e in sentences(text):
         own = lambda xs: [{"index": x["index"], "start": x["start"] - s, "end": min(x["end"], e) - s} for x in xs if s <= x["start"] < e]  # noqa: B023, E731
         out.append({"headline": None, "content": {"text": text[s:e], "citations": own(cites), "references": own(refs)}})
     return out
 
 
-def _section(div: ET.Element, headline: str | None, cite_at: dict, fig_at: dict) -> dict:
+def _section(div: ET.Element, headline: str | None, cite_at: dict, fig_at: dict, joins=None) -> dict:
     content = []
     for child in div:
         if child.tag == f"{NS}head":
@@ -98,25 +99,25 @@ def _section(div: ET.Element, headline: str | None, cite_at: dict, fig_at: dict)
         if not t.strip():
             continue
         if child.tag == f"{NS}p":
-            content.append({"headline": None, "content": _leaves(t, c, r)})
+            content.append({"headline": None, "content": _leaves(t, c, r, joins)})
         else:
             content.append({"headline": child.tag.removeprefix(NS), "content": {"text": t, "citations": c, "references": r}})
     return {"headline": headline, "content": content}
 
 
-def body(root: ET.Element, title: str | None, cite_at: dict[str, int], fig_at: dict[str, int]) -> dict:
+def body(root: ET.Element, title: str | None, cite_at: dict[str, int], fig_at: dict[str, int], joins=None) -> dict:
     """The tree: abstract, then divs with their numbers before their heads; leading sections without a head dissolve into the root."""
     secs = []
     abstract = root.find(f"{NS}teiHeader/{NS}profileDesc/{NS}abstract")
     if abstract is not None and _all(abstract):
         inner = abstract.findall(f"{NS}div") or [abstract]
-        parts = [x for d in inner for x in _section(d, None, cite_at, fig_at)["content"]]
+        parts = [x for d in inner for x in _section(d, None, cite_at, fig_at, joins)["content"]]
         secs.append({"headline": "Abstract", "content": parts})
     lead: list[dict] = []
     for div in root.iterfind(f"{NS}text/{NS}body/{NS}div"):
         head = div.find(f"{NS}head")
         name = " ".join(filter(None, (head.get("n"), _all(head)))) if head is not None else None
-        sec = _section(div, name or None, cite_at, fig_at)
+        sec = _section(div, name or None, cite_at, fig_at, joins)
         if sec["headline"] is None and not any(s["headline"] not in (None, "Abstract") for s in secs):
             lead += sec["content"]
         else:
@@ -125,26 +126,37 @@ def body(root: ET.Element, title: str | None, cite_at: dict[str, int], fig_at: d
     return {"headline": title, "content": secs[:at] + lead + secs[at:]}
 
 
-def parse(xml: bytes) -> dict | None:
-    """A document, or None if it isn't XML."""
+def parse(xml: bytes, joins=None) -> dict | None:
+    """A document, with broken words of its paragraphs joined where joins has them, or None if it isn't XML."""
     try:
         root = ET.fromstring(xml)
     except ET.ParseError:
         return None
     bib, figs = bibliography(root), figures(root)
     head = header(root)
-    tree = body(root, head["title"], {b["ref"]: i for i, b in enumerate(bib)}, {f["ref"]: i for i, f in enumerate(figs) if f["ref"]})
+    tree = body(root, head["title"], {b["ref"]: i for i, b in enumerate(bib)}, {f["ref"]: i for i, f in enumerate(figs) if f["ref"]}, joins)
     return head | {"bibliography": bib, "non_plaintext_content": figs, "hierarchy": json.dumps(tree, ensure_ascii=False)}
 
 
 COLUMNS = f"path string, title string, year int, authors array<string>, bibliography {BIB}, non_plaintext_content array<struct<kind: string, description: string>>, hierarchy string"
 
 
-def _parse_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _paragraphs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         rows = []
         for path, content in zip(b["path"], b["content"], strict=True):
-            d = parse(bytes(content))
+            try:
+                rows += [(path, "".join(p.itertext())) for p in ET.fromstring(bytes(content)).iter(f"{NS}p")]
+            except ET.ParseError:
+                continue
+        yield pd.DataFrame(rows, columns=["path", "text"])
+
+
+def _parse_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        rows = []
+        for path, content, joins in zip(b["path"], b["content"], b["joins"], strict=True):
+            d = parse(bytes(content), joins)
             if d and d["title"] and d["authors"]:
                 d["bibliography"] = [{k: x[k] for k in ("id", "title", "year", "authors")} for x in d["bibliography"]]
                 d["non_plaintext_content"] = [{k: x[k] for k in ("kind", "description")} for x in d["non_plaintext_content"]]
@@ -156,7 +168,8 @@ def _parse_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def directory(spark: SparkSession, path: str) -> DataFrame:
     """Documents of all .xml files below path that parse and have a title and an author; id is their rank by path."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.xml").load(path).select("path", "content")
-    own = files.mapInPandas(_parse_all, COLUMNS)
+    joins = corpus_joins(files.mapInPandas(_paragraphs, "path string, text string"), "path")
+    own = files.join(joins, "path", "left").mapInPandas(_parse_all, COLUMNS)
     # paths are narrow and few beside texts; numbering them is the only ordered step
     nth = own.select("path").withColumn("id", (F.row_number().over(Window.orderBy("path")) - 1).cast("bigint"))
     return own.join(nth, "path")

@@ -154,6 +154,42 @@ def test_tei(spark, tmp_path):
     assert leaf["text"] == "As [1] says." and leaf["citations"] == [{"index": 0, "start": 3, "end": 6}]
 
 
+def test_readers_dehyphenate(spark, tmp_path):
+    x = TEI.replace("As <ref", "Deep learn- ing and well- known, as <ref").replace(" says.", " says. We know learning well known.")
+    (tmp_path / "a.xml").write_text(x)
+    leaf = json.loads(tei.directory(spark, str(tmp_path)).first().hierarchy)["content"][0]["content"][0]["content"][0]["content"]
+    assert leaf["text"] == "Deep learning and well- known, as [1] says." and leaf["citations"] == [{"index": 0, "start": 34, "end": 37}]
+    text = "Intro Deep learn- ing, as in [1]. We like learning."
+    ann = {"paragraph": json.dumps([{"start": 6, "end": 51}]), "bibref": json.dumps([{"start": 29, "end": 32, "attributes": {"ref_id": "b0"}}])}
+    (tmp_path / "f.jsonl").write_text(json.dumps({"corpusid": 1, "content": {"text": text, "annotations": ann}}))
+    (tmp_path / "m.jsonl").write_text(json.dumps({"corpusid": 1, "title": "T", "authors": [{"name": "A"}], "year": 2000, "citing": []}))
+    d = readers.s2orc(readers.json_lines(spark, str(tmp_path / "m.jsonl"), readers.S2ORC_META), readers.json_lines(spark, str(tmp_path / "f.jsonl"), readers.S2ORC)).first()
+    leaf = json.loads(d.hierarchy)["content"][0]["content"][0]["content"][0]["content"]
+    assert leaf["text"] == "Deep learning, as in [1]." and leaf["citations"] == [{"index": None, "start": 21, "end": 24}]
+    old = {"paper_id": "7", "title": "T", "body_text": [{"section": "S", "text": text[6:], "cite_spans": [{"start": 23, "end": 26, "ref_id": "b0"}], "ref_spans": []}]}
+    (tmp_path / "o.jsonl").write_text(json.dumps(old))
+    d = readers.s2orc_old(readers.json_lines(spark, str(tmp_path / "o.jsonl"), readers.S2ORC_OLD)).first()
+    assert json.loads(d.hierarchy)["content"][0]["content"][0]["content"][0]["content"]["text"] == "Deep learning, as in [1]."
+
+
+def test_dehyphenated(spark):
+    import random
+    import re
+
+    rng = random.Random(3)
+    stems, ends = ["learn", "know", "été", "walk", "talk"], ["ing", "ed", "er"]
+    whole = [a + b for a in stems[:3] for b in ends] + stems[2:] + ["er"]
+    texts = [" ".join(rng.choice([rng.choice(whole), f"{rng.choice(stems)}-{rng.choice(' ' + chr(10))}{rng.choice(ends)}".replace("walk", "Walk")]) for _ in range(rng.randrange(1, 40))) for _ in range(30)]
+    docs = [*enumerate(texts), (None, texts[0]), (40, None), (41, "")]
+    broken = re.compile(r"(\w+)-\s+(\w+)")
+    words = {w for t in texts for w in re.findall(r"\w+", broken.sub(" ", t).lower())}
+    join = lambda m: m[1] + m[2] if (m[1] + m[2]).lower() in words and not {m[1].lower(), m[2].lower()} <= words else m[0]
+    want = [(d, None if t is None else broken.sub(join, t)) for d, t in docs]
+    got = spans.dehyphenated(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert sorted([(r.doc_id, r.text) for r in got], key=repr) == sorted(want, key=repr)
+    assert any(w != d for w, d in zip(want, docs)) and sum(r.joined for r in got) > 20
+
+
 def test_s2orc(spark, tmp_path):
     ann = lambda *s: json.dumps([{"start": a, "end": str(b), "attributes": x} for a, b, x in s])
     text = "Intro We cite [1]. Fine. Old work B C"
