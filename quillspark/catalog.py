@@ -174,6 +174,26 @@ def dice_multiset(spark: SparkSession, d: str) -> DataFrame:
     return M.dice(w, w.withColumnRenamed("a", "b")).where("a < b").select("a", "b", F.round("dice", 6).alias("dice"))
 
 
+def _against(spark: SparkSession, d: str) -> DataFrame:
+    return M.against(_t(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), _t(spark, d, "benchmark").select(F.col("item_id").alias("id"), "text"))
+
+
+@_register(f"""with a as (select doc_id as a, {_WORDS} as x from documents), b as (select item_id as b, {_WORDS} as y from benchmark)
+select a, b, round(case when least(len(x), len(y)) > 0 then len(list_intersect(x, y)) / least(len(x), len(y)) else 0 end, 6) as containment from a, b""")
+def containment_against_benchmark(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with every item; `containment` is of items with each other."""
+    return _against(spark, d).select("a", "b", F.round("containment", 6).alias("containment"))
+
+
+@_register("""with t as (select doc_id as id, unnest(list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '')) as w from documents), u as (select item_id as id, unnest(list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '')) as w from benchmark),
+c as (select id, w, count(*) as c from t group by 1, 2), e as (select id, w, count(*) as c from u group by 1, 2), nc as (select id, count(*) as n from t group by 1), ne as (select id, count(*) as n from u group by 1),
+m as (select c.id as a, e.id as b, sum(least(c.c, e.c)) as m from c join e on c.w = e.w group by 1, 2)
+select doc_id as a, item_id as b, round(coalesce(2.0 * m / (nc.n + ne.n), 0), 6) as dice from documents cross join benchmark left join m on m.a = doc_id and m.b = item_id left join nc on nc.id = doc_id left join ne on ne.id = item_id""")
+def dice_against_benchmark(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with every item; `dice_multiset` is of items with each other."""
+    return _against(spark, d).select("a", "b", F.round("dice", 6).alias("dice"))
+
+
 @_register(f"""with {_tokens_cte('d', 'documents', 'doc_id')}, p as (select id, norm[1:12] as p from d where norm <> ''),
 q as (select p.id as probe_id, d.id as id, row_number() over (partition by p.id order by d.id) as r from p join d on d.norm <> '' and starts_with(d.norm, {_collapse('p')}))
 select probe_id, id from q where r <= 100""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +55,44 @@ def dice(left: DataFrame, right: DataFrame, key: str = "token") -> DataFrame:
     return met.join(na, "a").join(nb, "b").select("a", "b", (2.0 * F.col("m") / (F.col("na") + F.col("nb"))).alias("dice"))
 
 
+def against(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Every (id, text) of docs with every one of items: (a, b, containment, dice) over runs of a-z and 0-9 in lower case.
+
+    Containment is of the sets of words, Dice of the multisets; both are 0 where nothing is shared. The items, a table of
+    limited size, are broadcast as posting lists; nothing is shuffled."""
+    word = re.compile("[a-z0-9]+")
+    rows = [(r.id, Counter(word.findall(r.text))) for r in items.select("id", F.coalesce(F.lower("text"), F.lit("")).alias("text")).collect()]
+    lists: dict[str, list] = {}
+    for k, (_, words) in enumerate(rows):
+        for w, n in words.items():
+            lists.setdefault(w, []).append((k, n))
+    at = {w: k for k, w in enumerate(lists)}
+    post = [np.array(x, np.int64).T for x in lists.values()]
+    ids, sizes, totals = np.array([i for i, _ in rows], np.int64), np.array([len(x) for _, x in rows], np.int64), np.array([x.total() for _, x in rows], np.int64)
+    shared = items.sparkSession.sparkContext.broadcast((at, post, ids, sizes, totals))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, post, ids, sizes, totals = shared.value
+        n = len(ids)
+        for b in batches:
+            for lo in range(0, b.num_rows, 50):
+                part = b.slice(lo, 50)
+                cont, dice = np.zeros((part.num_rows, n)), np.zeros((part.num_rows, n))
+                for r, t in enumerate(part.column("text").to_pylist()):
+                    own = Counter(word.findall(t))
+                    hit = [(post[k], c) for w, c in own.items() if (k := at.get(w)) is not None]
+                    if hit:
+                        to = np.concatenate([p[0] for p, _ in hit])
+                        least = np.concatenate([np.minimum(p[1], c) for p, c in hit])
+                        cont[r] = np.bincount(to, minlength=n) / np.maximum(1, np.minimum(len(own), sizes))
+                        dice[r] = 2.0 * np.bincount(to, least, minlength=n) / (own.total() + totals)
+                doc = part.column("id").take(pa.array(np.repeat(np.arange(part.num_rows), n)))
+                yield pa.record_batch({"a": doc, "b": pa.array(np.tile(ids, part.num_rows)), "containment": pa.array(cont.ravel()), "dice": pa.array(dice.ravel())})
+
+    own = docs.select(F.col("id").cast("bigint").alias("id"), F.coalesce(F.lower("text"), F.lit("")).alias("text"))
+    return own.mapInArrow(run, "a bigint, b bigint, containment double, dice double")
+
+
 def top_k(queries: DataFrame, base: DataFrame, k: int, block: int = 1024) -> DataFrame:
     """For (qid, qv) and (id, v): (qid, id, score, rank) of the k largest inner products, ties by id. Ids are BIGINT.
 

@@ -37,6 +37,16 @@ def test_scores(spark):
     assert one(spark, M.match_author_groups(*both, *other), s="") is False
 
 
+def test_against(spark):
+    docs = {1: "The cat, the CAT sat", 2: "", 3: None, 4: "dog 7 dog dog", 5: "nothing"}
+    items = {10: "the cat the mat", 11: "Dog dog", 12: "...", 13: "sat 7"}
+    frame = lambda x: spark.createDataFrame(list(x.items()), "id bigint, text string")
+    got = {(r.a, r.b): (r.containment, r.dice) for r in M.against(frame(docs), frame(items)).collect()}
+    assert set(got) == {(a, b) for a in docs for b in items}
+    shared = {(1, 10): (2 / 3, 6 / 9), (1, 13): (1 / 2, 2 / 7), (4, 11): (1.0, 4 / 6), (4, 13): (1 / 2, 2 / 6)}
+    assert {k: pytest.approx(v) for k, v in got.items() if v != (0, 0)} == shared
+
+
 def test_search(spark):
     papers = spark.createDataFrame([(1, "Deep learning for citation analysis", 2019, ["Ann Lee"]), (2, "Deep learning for citation analysis", 2010, ["Bob Roe"]), (3, "Graphs", None, ["C D"])], "id bigint, title string, year int, authors array<string>")
     probes = spark.createDataFrame([(10, "Deep Learning for Citation Analysis", 2010, ["B. Roe"]), (11, "deep learning for citation", 2019, ["A. Lee"]), (12, "nothing alike", None, ["X"]), (13, None, None, None)], "probe_id bigint, title string, year int, authors array<string>")
