@@ -268,6 +268,13 @@ def create_references(spark: SparkSession, d: str) -> DataFrame:
     return I.create_references(bib, _t(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_name"))
 
 
+@_register("select p_partkey as id, p_name from part where p_partkey in (select l_partkey from lineitem)")
+def create_all_references(spark: SparkSession, d: str) -> DataFrame:
+    """All rows of lineitem are the bibliography; `create_references` takes those of large quantity."""
+    bib = _t(spark, d, "lineitem").select(F.col("l_partkey").alias("id"))
+    return I.create_references(bib, _t(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_name"))
+
+
 @_register("select o_orderkey as id, o_totalprice from orders order by id")
 def sort_dataset(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "orders").select(F.col("o_orderkey").alias("id"), "o_totalprice").orderBy("id")
@@ -381,6 +388,17 @@ def citation_groups(spark: SparkSession, d: str) -> DataFrame:
     return spans.group(s, ["doc_id"]).select("doc_id", "i", "group_no")
 
 
+@_register(r"""with s as (select doc_id, unnest(range(0, (length(text) + 9) // 10)) as i, text from documents), p as (select doc_id, i, i * 10 as st, least(i * 10 + 3 + (doc_id + i) % 8, length(text)) as en, text from s),
+g as (select *, lag(en) over (partition by doc_id order by st) as pe from p), n as (select doc_id, i, st, case when pe is null or regexp_matches(substr(text, pe + 1, greatest(st - pe, 0)), '\w') then 1 else 0 end as nw from g)
+select doc_id, i, sum(nw) over (partition by doc_id order by st)::bigint as group_no from n""".replace("\\w", "\\w"))
+def citation_groups_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Spans every ten characters over every whole text; `citation_groups` lays six over the first 60 characters."""
+    n = F.length("text")
+    s = _t(spark, d, "documents").where("length(text) > 0").select("doc_id", "text", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / 10).cast("int"))).alias("i"))
+    s = s.withColumn("start", F.col("i") * 10).withColumn("end", F.least(F.col("i") * 10 + 3 + (F.col("doc_id") + F.col("i")) % 8, n).cast("int"))
+    return spans.group(s, ["doc_id"]).select("doc_id", "i", "group_no")
+
+
 @_register(r"""with c as (select doc_id, len(regexp_extract_all(t, '\[\s*\d+\s*\]')) as sq, len(regexp_extract_all(t, '\(\s*\d+\s*\)')) as ro from (select doc_id, text || case doc_id % 3 when 0 then ' as in [1] and [ 2 ]' when 1 then ' see (3)' else '' end as t from documents))
 select doc_id, case when sq > ro then 'VANCOUVER_SQUARE_BRACKETS' when ro > sq then 'VANCOUVER_PARENTHESIS' else 'UNKNOWN' end as style from c""")
 def citation_style(spark: SparkSession, d: str) -> DataFrame:
@@ -535,6 +553,14 @@ def cited_stats(spark: SparkSession, d: str) -> DataFrame:
     return stats.cited_stats(e, stats.tree_stats(_nodes(spark, d)))
 
 
+@_register(f"""{_STATS}, e as (select l_orderkey as citing, (l_orderkey * 7 + l_linenumber) % (select max(doc_id) + 1 from documents) as cited from lineitem) select citing, sum(sections)::bigint as sections, sum(paragraphs)::bigint as paragraphs, sum(sentences)::bigint as sentences, sum(words)::bigint as words, sum(chars)::bigint as chars from e join f on f.doc_id = e.cited group by 1""")
+def cited_stats_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Citations spread over all doc_ids; `cited_stats` cites the first 1000 only."""
+    top = F.broadcast(_t(spark, d, "documents").agg((F.max("doc_id") + 1).alias("n")))
+    e = _t(spark, d, "lineitem").crossJoin(top).select(F.col("l_orderkey").alias("citing"), ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % F.col("n")).alias("cited"))
+    return stats.cited_stats(e, stats.tree_stats(_nodes(spark, d)))
+
+
 @_register(f"""{_STATS}, t as (select doc_id, count(*) as top_sections from nodes where depth = 1 group by 1), p as (select doc_id, min(n) as min_parts, max(n) as max_parts from (select doc_id, top, count(*) as n from nodes where depth = 2 group by 1, 2) group by 1)
 select f.doc_id, sections, paragraphs, sentences, words, chars, coalesce(top_sections, 0) as top_sections, coalesce(min_parts, 0) as min_parts, coalesce(max_parts, 0) as max_parts from f left join t using (doc_id) left join p using (doc_id)""")
 def filter_features(spark: SparkSession, d: str) -> DataFrame:
@@ -564,6 +590,25 @@ def bibliography_index(spark: SparkSession, d: str) -> DataFrame:
     return B.lookup(q, bib)
 
 
+@_register(f"""with {_tokens_cte('p', 'part', 'p_partkey', 'p_name')}, s as (select id, {_SETS} as a from p),
+b as (select l_orderkey as doc, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey) - 1 as pos, case when l_partkey % 3 = 0 then null else l_partkey % 50 + 1970 end as y, a from lineitem join s on s.id = l_partkey),
+q as (select l_orderkey as doc, l_orderkey || '-' || (row_number() over (partition by l_orderkey order by l_linenumber, l_partkey) - 1) as qid, l_partkey % 50 + 1970 as y, a from lineitem join s on s.id = l_partkey),
+m as (select q.qid, q.y as qy, b.pos, b.y, len(list_intersect(q.a, b.a))::double as i, len(q.a) as na, len(b.a) as nb from q join b on b.doc = q.doc),
+k as (select * from m where i > 0 and {_SCORE} >= 0.75),
+g as (select qid, min(pos) filter (where y is null or y = qy) as f, count(*) as n, min(pos) as o, count(*) filter (where y is null) as nn, min(pos) filter (where y is null) as op from k group by 1)
+select q.qid as query_id, coalesce(f, case when n = 1 then o when nn = 1 then op end) as pos from q left join g on g.qid = q.qid""")
+def bibliography_lookups(spark: SparkSession, d: str) -> DataFrame:
+    """Every entry looked up in its order's bibliography; `bibliography_index` looks up the last one only."""
+    from quillspark.operators import bibliography as B
+
+    li = _t(spark, d, "lineitem").join(_t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    pos = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")) - 1
+    own = li.select(F.col("l_orderkey").alias("doc_id"), pos.alias("pos"), F.col("p_name").alias("title"), (F.col("l_partkey") % 50 + 1970).alias("year"), F.array().cast("array<string>").alias("authors"), "l_partkey")
+    bib = own.withColumn("year", F.when(F.col("l_partkey") % 3 != 0, F.col("year"))).drop("l_partkey")
+    q = own.select(F.concat_ws("-", "doc_id", "pos").alias("query_id"), "doc_id", "title", "year", "authors")
+    return B.lookup(q, bib)
+
+
 @_register(None)
 def multilevel_hierarchy(spark: SparkSession, d: str) -> DataFrame:
     """Sections of documents get numbers of two levels and are nested by them."""
