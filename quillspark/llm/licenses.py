@@ -3,7 +3,8 @@
 A tag (`SPDX-License-Identifier:`) is followed, on its line, by an expression of identifiers, `and`, `or`, `with` and
 parentheses (`with` binds closest, then `and`). Its class is that of the least strict way to comply: `or` takes the
 less strict side, `and` the stricter one, `with` relaxes a copyleft by one step. All findings of a document hold
-together (and). Classes: permissive < weak copyleft < strong copyleft < restricted; unknown identifiers are restricted.
+together (and). Phrases are sought after comment marks at line ends and runs of white space are made one blank; the
+version of a GNU license is read from what follows its name (`gpl` where none does). Classes: permissive < weak copyleft < strong copyleft < restricted; unknown identifiers are restricted.
 
 Defined results: only documents with a finding give a row; null or empty texts and null ids give none; an expression
 that doesn't parse gives `invalid` in `expressions` and makes the document restricted; repeated rows give a row each;
@@ -24,8 +25,8 @@ from quillspark.llm.common import ids_only
 CLASSES = ("permissive", "weak copyleft", "strong copyleft", "restricted")
 KNOWN = {
     "mit": 0, "apache-2.0": 0, "bsd-2-clause": 0, "bsd-3-clause": 0, "isc": 0, "zlib": 0, "unlicense": 0, "cc0-1.0": 0, "cc-by-4.0": 0, "cc-by-3.0": 0, "0bsd": 0, "bsl-1.0": 0, "python-2.0": 0,
-    "lgpl-2.1": 1, "lgpl-2.1-only": 1, "lgpl-2.1-or-later": 1, "lgpl-3.0": 1, "lgpl-3.0-only": 1, "lgpl-3.0-or-later": 1, "mpl-2.0": 1, "epl-2.0": 1, "cddl-1.0": 1, "cc-by-sa-4.0": 1,
-    "gpl-2.0": 2, "gpl-2.0-only": 2, "gpl-2.0-or-later": 2, "gpl-3.0": 2, "gpl-3.0-only": 2, "gpl-3.0-or-later": 2, "agpl-3.0": 2, "agpl-3.0-only": 2, "agpl-3.0-or-later": 2,
+    "lgpl-2.1": 1, "lgpl-2.1-only": 1, "lgpl-2.1-or-later": 1, "lgpl-3.0": 1, "lgpl-3.0-only": 1, "lgpl-3.0-or-later": 1, "mpl-2.0": 1, "epl-2.0": 1, "cddl-1.0": 1, "cc-by-sa-4.0": 1, "lgpl-2.0": 1, "lgpl-2.0-only": 1, "lgpl-2.0-or-later": 1,
+    "gpl-2.0": 2, "gpl-2.0-only": 2, "gpl-2.0-or-later": 2, "gpl-3.0": 2, "gpl-3.0-only": 2, "gpl-3.0-or-later": 2, "agpl-3.0": 2, "agpl-3.0-only": 2, "agpl-3.0-or-later": 2, "gpl": 2, "gpl-1.0": 2, "agpl-1.0": 2,
     "cc-by-nc-4.0": 3, "cc-by-nc-sa-4.0": 3, "cc-by-nd-4.0": 3, "cc-by-nc-nd-4.0": 3, "proprietary": 3,
 }
 TAG = "spdx-license-identifier:"
@@ -39,6 +40,11 @@ PHRASES = {
     "cc by 4.0": "cc-by-4.0", "cc by-sa 4.0": "cc-by-sa-4.0", "cc by-nc 4.0": "cc-by-nc-4.0", "cc by-nc-sa 4.0": "cc-by-nc-sa-4.0", "cc by-nd 4.0": "cc-by-nd-4.0", "cc0 1.0": "cc0-1.0",
     "creative commons attribution 4.0": "cc-by-4.0", "public domain dedication": "cc0-1.0", "all rights reserved": "proprietary",
 }
+_MARKS = re.compile(r"(?m)^[ \t]*(?:[*#;%/!>|-]+|<!--|(?:rem|dnl)(?=\s))[ \t]*|[ \t]*(?:\*+/|-->)[ \t]*$")
+_GNU = re.compile(
+    r"\bgnu (?:(lesser|library|affero) )?(?:general public licen[sc]e|(l|a)?gpl)(?=v\d|\W|$)[\s,;:()\"']*(?:as published by the free software foundation[\s,;:]*)?"
+    r"(?:either )?(?:v(?:ersion|\.)? ?(\d+)(?:\.(\d+))?)?"
+)
 _TOKEN = re.compile(r"[()]|[a-z0-9][a-z0-9.+-]*")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 
@@ -101,6 +107,21 @@ def _level(x: int | str) -> int:
     return x if isinstance(x, int) else KNOWN.get(x, KNOWN.get(x.rstrip("+"), 3))
 
 
+def plain(low: str) -> str:
+    """Without comment marks at the ends of lines, and with one blank for each run of white space."""
+    return " ".join(_MARKS.sub(" ", low).split())
+
+
+def gnu(text: str) -> set[str]:
+    """GNU licenses of a plain text, with the version that follows the name."""
+    out = set()
+    for m in _GNU.finditer(text):
+        kind = {"lesser": "lgpl", "library": "lgpl", "affero": "agpl"}.get(m[1], f"{m[2] or ''}gpl")
+        version = f"{m[3]}.{m[4] or 0}" if m[3] else {"lgpl": "2.0" if m[1] == "library" else "3.0", "agpl": "3.0"}.get(kind)
+        out.add(f"{kind}-{version}" if version else kind)
+    return out
+
+
 def automaton() -> ahocorasick.Automaton:
     a = ahocorasick.Automaton()
     for p, name in PHRASES.items():
@@ -114,13 +135,15 @@ def scan(low: str, a: ahocorasick.Automaton) -> tuple[list[str], str] | None:
     """Distinct expressions of a lower-case text, in order, and the document's class; None without a finding.
 
     A phrase counts only where no word character follows or precedes it."""
-    found = set()
-    for end, (name, n) in a.iter(low):
-        before, after = low[end - n : end - n + 1] if end >= n else "", low[end + 1 : end + 2]
+    text = plain(low)
+    found = gnu(text) if "gnu " in text else set()
+    for end, (name, n) in a.iter(low) if TAG in low else ():
         if name is None:
             rpn = parse(low[end + 1 : low.find("\n", end) if low.find("\n", end) >= 0 else None])
             found.add(" ".join(rpn) if rpn else "invalid")
-        elif not (before.isalnum() or after.isalnum()):
+    for end, (name, n) in a.iter(text):
+        before, after = text[end - n : end - n + 1] if end >= n else "", text[end + 1 : end + 2]
+        if name is not None and not (before.isalnum() or after.isalnum() or text.startswith("gnu ", end - n + 1)):
             found.add(name)
     if not found:
         return None

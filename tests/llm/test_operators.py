@@ -393,6 +393,25 @@ def test_licenses(spark, docs, empty):
     assert licenses.scan(low, a)[0] == sorted({n for p, n in licenses.PHRASES.items() if p in low})
 
 
+def test_license_headers():
+    a, free = licenses.automaton(), "as published by\n# the Free Software Foundation; either version"
+    cases = {
+        "/*\n * Licensed under the Apache License,\n * Version 2.0 (the\n */": ["apache-2.0"],
+        "Permission is hereby  granted,\nfree of charge": ["mit"],
+        f"# under the terms of the GNU General Public\n# License {free} 3 of the License": ["gpl-3.0"],
+        f"# GNU General Public License {free} 2 of": ["gpl-2.0"],
+        f"// GNU Lesser General Public\n// License {free} 2.1 of": ["lgpl-2.1"],
+        f"GNU Library General Public License {free} 2 of": ["lgpl-2.0"],
+        f"; GNU Affero General\n; Public License {free} 3 of": ["agpl-3.0"],
+        "GNU Lesser General Public License, version 3": ["lgpl-3.0"],
+        "GNU GPLv3 or the gnu lgpl v2.1": ["gpl-3.0", "lgpl-2.1"],
+        "the GNU General Public License. Version control is": ["gpl"],
+    }
+    for text, want in cases.items():
+        assert licenses.scan(text.lower(), a)[0] == want, text
+    assert licenses.scan("gnu lesser general public license version 2.1", a)[1] == "weak copyleft"
+
+
 # 9
 def test_bpe(docs, rows, empty, lexicon, reference):
     out = bpe.encode(docs, lexicon=lexicon)
