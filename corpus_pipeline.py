@@ -1,8 +1,14 @@
 """From raw documents to token ids: language ID, line dedup, near-duplicate removal, decontamination, BPE encoding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
-one's docs. All but the last return the columns of documents. A missing table is an error; null and empty texts don't
-get past language ID, which rejects them.
+one's docs. All but the last return the columns of documents. A missing table is an error.
+
+Defined results: null and blank texts don't get past language ID, which rejects them; nulls in other columns stay; rows
+with null ids go through all stages, each for itself, and no near-duplicate or leak removes them; of rows that repeat a
+doc_id the one with the longest text stays if texts differ or are copies; ties are settled as the operators' docstrings
+say; very long texts are worked on whole; columns of any other name, the operators' own included, are carried to the last
+stage, which returns ids and tokens only; empty documents or an empty benchmark give an empty result or remove nothing.
+The tables between stages stay in the shared folder (spark.checkpoint.dir) for the rows that are read from them.
 """
 
 from __future__ import annotations

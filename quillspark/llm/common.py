@@ -1,4 +1,4 @@
-"""What the operators share: scratch tables, checked broadcasts, batch slices, word hashes.
+"""What the operators share: scratch tables, batch slices, word hashes.
 
 A *word* is a maximal run of ASCII letters, digits, underscores and non-ASCII characters of the lower-cased text.
 Word hashes are computed for whole Arrow batches with NumPy; no Python loop runs over words.
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import re
 import shutil
 import tempfile
 import uuid
@@ -30,10 +31,13 @@ _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; where it names none (tests), one of our own."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where it names none, one of our own, on a local master
+    only: the executors of a cluster wouldn't share it."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _own_dir:
         _own_dir.append(tempfile.mkdtemp(prefix="quill"))
         atexit.register(shutil.rmtree, _own_dir[0], True)
@@ -52,13 +56,6 @@ def work_table(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, max_rows: int, max_bytes: int = 8 << 20) -> DataFrame:
-    """df, a part of a work table, marked for broadcast if it has at most max_rows and its files at most max_bytes; else
-    left to a shuffled join."""
-    stored = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().__str__())
-    return F.broadcast(df) if stored <= max_bytes and df.count() <= max_rows else df
-
-
 def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of a batch with at most so many bytes of text, one row at least."""
     a = batch.column(column)
@@ -138,8 +135,6 @@ class Words:
 
 def words_of(text: str) -> list[str]:
     """The words of one text; the slow counterpart of Words, for tests and explanations."""
-    import re
-
     low = pc.utf8_lower(pa.scalar(text)).as_py()
     return re.findall(r"[0-9A-Za-z_\u0080-\U0010ffff]+", low)
 
@@ -178,6 +173,11 @@ def fresh(df: DataFrame, name: str) -> str:
     return name + "_" * (1 + max((len(c) for c in df.columns), default=0))
 
 
+def free(df: DataFrame, name: str) -> str:
+    """name, or where df has such a column, in whatever case, a name with underscores behind it that df doesn't have."""
+    return fresh(df, name) if name.lower() in (c.lower() for c in df.columns) else name
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of texts of 4 MB at most, unless the session has its own limit: texts differ too much in length for
     a limit of rows, and a batch is held by the executor, by the worker and once more as its result."""
@@ -186,7 +186,19 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, "4m")
 
 
-def ids_only(docs: DataFrame, text: bool = True) -> DataFrame:
-    """doc_id as BIGINT and text, whatever other columns there are."""
+def ids_only(docs: DataFrame) -> DataFrame:
+    """doc_id, of whatever type that can be ordered, and text, whatever other columns there are."""
     small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *([F.col("text").cast("string").alias("text")] if text else []))
+    return docs.select(F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def type_of(df: DataFrame, column: str = "doc_id") -> str:
+    """The type of a column, for the schema of a worker's result."""
+    return df.schema[column].dataType.simpleString()
+
+
+def codes(a: pa.Array) -> np.ndarray:
+    """Integers in the order of a's values: themselves, or ranks within the batch."""
+    if pa.types.is_integer(a.type):
+        return a.to_numpy(zero_copy_only=False)
+    return np.unique(a.to_numpy(zero_copy_only=False), return_inverse=True)[1].astype(np.int64)

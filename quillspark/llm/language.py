@@ -4,11 +4,13 @@ A text is cut into blocks of `BLOCK` bytes, all of which are compressed, each fo
 dictionary; the sizes are summed, so a long text is judged like a short one. It is rejected if the best language isn't
 smaller than the second by `MARGIN` of the uncompressed size, or not smaller by `GAIN` than the text compressed without
 any dictionary. Dictionaries are cut from a bounded sample of labelled rows: `SAMPLE` texts of each language, those
-with the smallest hashes of doc_id; each gives at most four times its even share of `DICTIONARY` bytes. Case is ignored.
+with the smallest hashes of doc_id; each gives `PIECES` pieces of `PIECE` characters at most, taken from anywhere in it by
+a hash, and a dictionary is of `DICTIONARY` bytes at most. Case is ignored.
 
-Defined results: null or blank texts are rejected with a null language; with no labelled row every text is rejected;
-ties go to the language first in alphabetical order (and are rejected, as their margin is 0); every row gives one row;
-null ids are kept.
+Defined results: null or blank texts are rejected with a null language; with no labelled row every text is rejected, so
+an empty table gives an empty result; ties go to the language first in alphabetical order (and are rejected, as their
+margin is 0); every row gives one row, repeated ones too; ids are of any type, null ones are kept; other columns, whatever
+their names, are ignored by `identify` and kept by `accepted`; very long texts are judged whole, block by block.
 """
 
 from __future__ import annotations
@@ -20,27 +22,32 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import small, small_batches, text_slices, work_table
+from quillspark.llm.common import small_batches, text_slices, type_of, work_table
 
-SAMPLE, DICTIONARY, BLOCK, LEVEL, MARGIN, GAIN = 200, 64 * 1024, 2048, 6, 0.003, 0.003
+SAMPLE, DICTIONARY, PIECE, PIECES, BLOCK, LEVEL, MARGIN, GAIN = 200, 64 * 1024, 256, 5, 2048, 6, 0.003, 0.003
 
 
 def dictionaries(docs: DataFrame, sample: int = SAMPLE, size: int = DICTIONARY) -> dict[str, bytes]:
     """language -> dictionary content, from labelled rows (lang not null, text not empty)."""
     small_batches(docs.sparkSession)
-    own = docs.where("lang is not null and text is not null and text <> ''")
-    key = F.xxhash64(F.col("doc_id").cast("bigint"), F.lit("dictionary"))
+    own = docs.where("lang is not null and text is not null and text <> ''").select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", F.lit("dictionary")).alias("__key"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("__key"))
-    ids = work_table(own.select("lang", key.alias("__key")).distinct().withColumn("__rank", rank).where(F.col("__rank") <= sample).select("__key"), "sample")
-    rows = own.select("lang", "text", key.alias("__key")).join(small(ids, 1_000_000), "__key", "left_semi")
-    parts: dict[str, list[bytes]] = {}
-    # the smallest texts first: what is cut off is then part of few texts, and no text fills a dictionary alone
-    for r in rows.groupBy("lang").agg(F.sort_array(F.collect_set(F.struct(F.length("text"), "text"))).alias("x")).collect():
-        parts[r.lang] = [x.text.lower().encode() for x in r.x]
+    ids = work_table(own.select("lang", "__key").distinct().withColumn("__rank", rank).where(F.col("__rank") <= sample).select("lang", "__key"), "sample")
+    at = F.sequence(F.lit(0), F.floor((F.length("text") - 1) / PIECE).cast("int"))
+    piece = F.transform(at, lambda i: F.struct(F.xxhash64("__key", i).alias("h"), i.alias("i")))
+    some = F.transform(F.slice(F.array_sort(piece), 1, PIECES), lambda x: F.struct(x["h"].alias("h"), F.expr("text").substr(x["i"] * PIECE + 1, F.lit(PIECE)).alias("s")))
+    rows = own.join(ids, ["lang", "__key"], "left_semi").select("lang", F.explode(some).alias("p")).distinct()
+    parts: dict[str, list[tuple[int, bytes]]] = {}
+    for r in rows.select("lang", "p.h", "p.s").collect():  # SAMPLE x PIECES pieces of each language at most
+        parts.setdefault(r.lang, []).append((r.h, r.s.lower().encode()))
     out = {}
-    for lang, texts in parts.items():
-        share = max(1, size // max(1, len(texts)))
-        out[lang] = b"\n".join(t[: 4 * share] for t in reversed(texts))[-size:]
+    for lang, found in parts.items():
+        size_now, keep = 0, []
+        for _, p in sorted(found):
+            if size_now + len(p) < size:
+                keep.append(p)
+                size_now += len(p) + 1
+        out[lang] = b"\n".join(keep)
     return {k: v for k, v in sorted(out.items()) if len(v) >= 8}
 
 
@@ -86,8 +93,8 @@ def _classify(dicts: dict[str, bytes], margin: float, gain: float):
 def identify(docs: DataFrame, dicts: dict[str, bytes] | None = None, margin: float = MARGIN, gain: float = GAIN) -> DataFrame:
     """(doc_id, language, margin, accepted), a row for each row."""
     dicts = dictionaries(docs) if dicts is None else dicts
-    own = docs.select("doc_id", F.col("text").alias("__text"))
-    return own.mapInArrow(_classify(dicts, margin, gain), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, language string, margin double, accepted boolean")
+    own = docs.select("doc_id", F.col("text").cast("string").alias("__text"))
+    return own.mapInArrow(_classify(dicts, margin, gain), f"doc_id {type_of(own)}, language string, margin double, accepted boolean")
 
 
 def accepted(docs: DataFrame, dicts: dict[str, bytes] | None = None, margin: float = MARGIN, gain: float = GAIN) -> DataFrame:
@@ -96,6 +103,6 @@ def accepted(docs: DataFrame, dicts: dict[str, bytes] | None = None, margin: flo
 
     dicts = dictionaries(docs) if dicts is None else dicts
     place = [f"c{i}" for i in range(len(docs.columns))]
-    packed = docs.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(docs.columns, place, strict=True)], F.col("text").alias("__text"))
+    packed = docs.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(docs.columns, place, strict=True)], F.col("text").cast("string").alias("__text"))
     schema = T.StructType([*packed.schema.fields[:-1], T.StructField("language", T.StringType()), T.StructField("margin", T.DoubleType()), T.StructField("accepted", T.BooleanType())])
     return packed.mapInArrow(_classify(dicts, margin, gain), schema).where("accepted").select(*[F.col(p).alias(c) for c, p in zip(docs.columns, place, strict=True)])

@@ -8,7 +8,8 @@ version of a GNU license is read from what follows its name (`gpl` where none do
 
 Defined results: only documents with a finding give a row; null or empty texts and null ids give none; an expression
 that doesn't parse gives `invalid` in `expressions` and makes the document restricted; repeated rows give a row each;
-findings are sorted and distinct; an empty table gives an empty result.
+findings are sorted and distinct, so there are no ties; ids are of any type and other columns are ignored; texts of any
+length are scanned whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,15 +21,17 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quillspark.llm.common import ids_only
+from quillspark.llm.common import ids_only, type_of
 
 CLASSES = ("permissive", "weak copyleft", "strong copyleft", "restricted")
-KNOWN = {
-    "mit": 0, "apache-2.0": 0, "bsd-2-clause": 0, "bsd-3-clause": 0, "isc": 0, "zlib": 0, "unlicense": 0, "cc0-1.0": 0, "cc-by-4.0": 0, "cc-by-3.0": 0, "0bsd": 0, "bsl-1.0": 0, "python-2.0": 0,
-    "lgpl-2.1": 1, "lgpl-2.1-only": 1, "lgpl-2.1-or-later": 1, "lgpl-3.0": 1, "lgpl-3.0-only": 1, "lgpl-3.0-or-later": 1, "mpl-2.0": 1, "epl-2.0": 1, "cddl-1.0": 1, "cc-by-sa-4.0": 1, "lgpl-2.0": 1, "lgpl-2.0-only": 1, "lgpl-2.0-or-later": 1,
-    "gpl-2.0": 2, "gpl-2.0-only": 2, "gpl-2.0-or-later": 2, "gpl-3.0": 2, "gpl-3.0-only": 2, "gpl-3.0-or-later": 2, "agpl-3.0": 2, "agpl-3.0-only": 2, "agpl-3.0-or-later": 2, "gpl": 2, "gpl-1.0": 2, "agpl-1.0": 2,
-    "cc-by-nc-4.0": 3, "cc-by-nc-sa-4.0": 3, "cc-by-nd-4.0": 3, "cc-by-nc-nd-4.0": 3, "proprietary": 3,
-}
+_NAMES = (
+    # identifiers of the SPDX list, by class
+    "mit mit-0 mit-cmu mit-modern-variant apache-1.0 apache-1.1 apache-2.0 0bsd bsd-1-clause bsd-2-clause bsd-2-clause-patent bsd-3-clause bsd-3-clause-clear bsd-3-clause-lbnl bsd-3-clause-attribution bsd-4-clause bsd-4-clause-uc isc zlib libpng libpng-2.0 unlicense cc0-1.0 cc-by-1.0 cc-by-2.0 cc-by-2.5 cc-by-3.0 cc-by-4.0 bsl-1.0 python-2.0 psf-2.0 python-2.0.1 wtfpl x11 x11-distribute-modifications-variant xnet postgresql openssl ssleay afl-1.1 afl-1.2 afl-2.0 afl-2.1 afl-3.0 ecl-1.0 ecl-2.0 php-3.0 php-3.01 ruby tcl ncsa ntp vim blueoak-1.0.0 curl hpnd unicode-dfs-2015 unicode-dfs-2016 unicode-3.0 w3c w3c-20150513 zpl-1.1 zpl-2.0 zpl-2.1 mulanpsl-1.0 mulanpsl-2.0 ftl ijg icu json beerware upl-1.0 odc-by-1.0 pddl-1.0 cdla-permissive-1.0 cdla-permissive-2.0 fsfap fsful fsfullr naist-2003 info-zip artistic-2.0 artistic-1.0 clartistic artistic-1.0-perl artistic-1.0-cl8 bitstream-vera libtiff mitnfa eudatagrid intel xfree86-1.1 w3c-19980720 apafml adobe-2006 adobe-glyph aml ampas bzip2-1.0.6 cnri-python cnri-jython crossword crystalstacker cube diffmark dotseqn dsdp fair giftware glulxe gsoap-1.3b imagemagick jasper-2.0 leptonica linux-openib mirOS mtll naumen netcdf newsletr nlpl nrl ogc-1.0 oldap-2.8 plexus psfrag psutils qhull rsa-md saxpath sendmail sgi-b-2.0 smlnj swl tcp-wrappers torque-1.1 zed zend-2.0 zimbra-1.3".lower(),
+    "lgpl-2.0 lgpl-2.0-only lgpl-2.0-or-later lgpl-2.1 lgpl-2.1-only lgpl-2.1-or-later lgpl-3.0 lgpl-3.0-only lgpl-3.0-or-later lgpllr mpl-1.0 mpl-1.1 mpl-2.0 mpl-2.0-no-copyleft-exception epl-1.0 epl-2.0 cddl-1.0 cddl-1.1 cc-by-sa-1.0 cc-by-sa-2.0 cc-by-sa-2.5 cc-by-sa-3.0 cc-by-sa-4.0 cpl-1.0 ipl-1.0 apsl-1.0 apsl-2.0 eupl-1.0 eupl-1.1 eupl-1.2 ms-pl ms-rl ofl-1.0 ofl-1.1 ofl-1.1-rfn ofl-1.1-no-rfn odbl-1.0 cecill-c cecill-b cecill-2.0 cecill-2.1 npl-1.0 npl-1.1 spl-1.0 nokia qpl-1.0 osl-1.0 osl-2.0 osl-2.1 osl-3.0 cdla-sharing-1.0 gfdl-1.1 gfdl-1.1-only gfdl-1.1-or-later gfdl-1.2 gfdl-1.2-only gfdl-1.2-or-later gfdl-1.3 gfdl-1.3-only gfdl-1.3-or-later erlpl-1.1 watcom-1.0 sugarcrm-1.1.3 lppl-1.0 lppl-1.1 lppl-1.2 lppl-1.3a lppl-1.3c cern-ohl-w-2.0 cern-ohl-p-2.0 motosoto ngpl rpsl-1.0 simpl-2.0 nasa-1.3 latex2e frameworx-1.0 catosl-1.1",
+    "gpl gpl-1.0 gpl-1.0-only gpl-1.0-or-later gpl-2.0 gpl-2.0-only gpl-2.0-or-later gpl-3.0 gpl-3.0-only gpl-3.0-or-later agpl-1.0 agpl-1.0-only agpl-1.0-or-later agpl-3.0 agpl-3.0-only agpl-3.0-or-later sspl-1.0 rpl-1.1 rpl-1.5 cern-ohl-s-2.0 cal-1.0 sleepycat parity-6.0.0 parity-7.0.0 oset-pl-2.1 ogtsl copyleft-next-0.3.0 copyleft-next-0.3.1",
+    "cc-by-nc-1.0 cc-by-nc-2.0 cc-by-nc-2.5 cc-by-nc-3.0 cc-by-nc-4.0 cc-by-nc-sa-1.0 cc-by-nc-sa-2.0 cc-by-nc-sa-2.5 cc-by-nc-sa-3.0 cc-by-nc-sa-4.0 cc-by-nd-1.0 cc-by-nd-2.0 cc-by-nd-2.5 cc-by-nd-3.0 cc-by-nd-4.0 cc-by-nc-nd-1.0 cc-by-nc-nd-2.0 cc-by-nc-nd-2.5 cc-by-nc-nd-3.0 cc-by-nc-nd-4.0 busl-1.1 elastic-2.0 polyform-noncommercial-1.0.0 polyform-small-business-1.0.0 proprietary",
+)
+KNOWN = {name: k for k, names in enumerate(_NAMES) for name in names.split()}
 TAG = "spdx-license-identifier:"
 PHRASES = {
     "the mit license": "mit", "under the mit licence": "mit", "permission is hereby granted, free of charge": "mit",
@@ -38,6 +41,8 @@ PHRASES = {
     "gnu affero general public license": "agpl-3.0", "gnu lesser general public license": "lgpl-3.0", "mozilla public license": "mpl-2.0", "eclipse public license": "epl-2.0",
     "redistribution and use in source and binary forms": "bsd-3-clause", "bsd 3-clause": "bsd-3-clause", "bsd 2-clause": "bsd-2-clause", "isc license": "isc",
     "cc by 4.0": "cc-by-4.0", "cc by-sa 4.0": "cc-by-sa-4.0", "cc by-nc 4.0": "cc-by-nc-4.0", "cc by-nc-sa 4.0": "cc-by-nc-sa-4.0", "cc by-nd 4.0": "cc-by-nd-4.0", "cc0 1.0": "cc0-1.0",
+    "boost software license": "bsl-1.0", "the unlicense": "unlicense", "this is free and unencumbered software released into the public domain": "unlicense", "do what the fuck you want to public license": "wtfpl", "zlib license": "zlib", "python software foundation license": "psf-2.0", "artistic license 2.0": "artistic-2.0", "academic free license": "afl-3.0", "sil open font license": "ofl-1.1", "open database license": "odbl-1.0", "european union public licence": "eupl-1.2", "common development and distribution license": "cddl-1.0", "microsoft public license": "ms-pl", "server side public license": "sspl-1.0", "business source license 1.1": "busl-1.1", "elastic license 2.0": "elastic-2.0", "universal permissive license": "upl-1.0", "bsd 4-clause": "bsd-4-clause", "bsd zero clause": "0bsd", "mulan psl v2": "mulanpsl-2.0",
+    "cc by 3.0": "cc-by-3.0", "cc by-sa 3.0": "cc-by-sa-3.0", "cc by-nc 3.0": "cc-by-nc-3.0", "cc by-nc-sa 3.0": "cc-by-nc-sa-3.0", "cc by-nc-nd 3.0": "cc-by-nc-nd-3.0", "cc by-nc-nd 4.0": "cc-by-nc-nd-4.0", "creative commons attribution-sharealike 4.0": "cc-by-sa-4.0", "creative commons attribution-noncommercial 4.0": "cc-by-nc-4.0",
     "creative commons attribution 4.0": "cc-by-4.0", "public domain dedication": "cc0-1.0", "all rights reserved": "proprietary",
 }
 _MARKS = re.compile(r"(?m)^[ \t]*(?:[*#;%/!>|-]+|<!--|(?:rem|dnl)(?=\s))[ \t]*|[ \t]*(?:\*+/|-->)[ \t]*$")
@@ -155,14 +160,16 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a = automaton()
     for b in batches:
         rows = []
-        for i, t in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
+        for i, t in enumerate(b.column("text")):
             got = scan(t.as_py().lower(), a)
             if got:
                 rows.append((i, *got))
         cols = list(zip(*rows, strict=True)) or [[]] * 3
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.list_(pa.string()), pa.string()), strict=True)], names=["doc_id", "expressions", "license_class"])
+        ids = b.column("doc_id").take(pa.array(cols[0], pa.int64()))
+        yield pa.record_batch([ids, pa.array(cols[1], pa.list_(pa.string())), pa.array(cols[2], pa.string())], names=["doc_id", "expressions", "license_class"])
 
 
 def licenses(docs: DataFrame) -> DataFrame:
     """(doc_id, expressions, license_class): expressions are identifiers or reverse Polish expressions, sorted."""
-    return ids_only(docs).where("doc_id is not null and text is not null").mapInArrow(_scan, "doc_id bigint, expressions array<string>, license_class string")
+    own = ids_only(docs)
+    return own.where("doc_id is not null and text is not null").mapInArrow(_scan, f"doc_id {type_of(own)}, expressions array<string>, license_class string")

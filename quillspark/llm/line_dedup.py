@@ -3,11 +3,13 @@
 A line is compared in its normal form: lower case, runs of blanks, tabs, form feeds and carriage returns as one blank,
 trimmed. Documents count as distinct by their content, so the copies of one text count once and are left to
 near-duplicate removal. Two 64-bit hashes stand for a line, two for a document. Counting aggregates (line, document)
-pairs before lines, so a line of very many documents burdens no single task. Text is never shuffled unless the
-positions to drop are too many to broadcast.
+pairs before lines, so a line of very many documents burdens no single task. Positions to drop come back to the texts by
+a join on the document's hashes; adaptive execution splits the partition of a text with very many copies.
 
 Defined results: a line of blanks only is neither counted nor dropped; a null text stays null, with 0 lines dropped; a
-text all of whose lines go becomes empty; repeated rows and null ids stay; an empty table gives an empty result.
+text all of whose lines go becomes empty; repeated rows and null ids, of whatever type, stay; an empty table gives an
+empty result; other columns stay as they are, and where one is called lines_dropped, the new one gets underscores behind
+its name; a text of any length is one row, split in the JVM; there are no ties.
 """
 
 from __future__ import annotations
@@ -15,10 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import fresh, small, work_table
+from quillspark.llm.common import free, fresh, work_table
 
 MAX_DOCS = 50
-BROADCAST_ROWS = 500_000
 
 
 def normal(line: Column) -> Column:
@@ -30,7 +31,7 @@ def _pair(c: Column, name: str) -> list[Column]:
 
 
 def deduplicate(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
-    """docs with text without its dropped lines, and a column lines_dropped (in place of one of that name)."""
+    """docs with text without its dropped lines, and a column lines_dropped behind the others."""
     text = F.col("text").cast("string")
     lines = (
         docs.where("text is not null")
@@ -40,14 +41,14 @@ def deduplicate(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
     )
     seen = lines.select("__h1", "__h2", "__d1", "__d2").distinct().groupBy("__h1", "__h2").agg(F.count("*").alias("__n"))
     often = work_table(seen.where(F.col("__n") > max_docs).select("__h1", "__h2"), "lines")
-    hits = lines.join(small(often, BROADCAST_ROWS), ["__h1", "__h2"], "left_semi")
+    hits = lines.join(often, ["__h1", "__h2"], "left_semi")
     drop = work_table(hits.groupBy("__d1", "__d2").agg(F.collect_set("__at").alias("__drop")), "positions")
     d1, d2, gone = (fresh(docs, c) for c in ("d1", "d2", "drop"))
     keyed = docs.withColumns(dict(zip((d1, d2), _pair(text, "__d"), strict=True)))
     kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains(gone, i)), "\n")
-    return keyed.join(small(drop.toDF(d1, d2, gone), BROADCAST_ROWS), [d1, d2], "left").select(
-        *[F.when(F.col(gone).isNull(), text).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c != "lines_dropped"],
-        F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).alias("lines_dropped"),
+    return keyed.join(drop.toDF(d1, d2, gone), [d1, d2], "left").select(
+        *[F.when(F.col(gone).isNull(), text).otherwise(kept).alias(c) if c.lower() == "text" else F.col(f"`{c}`") for c in docs.columns],
+        F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).alias(free(docs, "lines_dropped")),
     )
 
 

@@ -45,7 +45,7 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tables hold no recordings: the bytes of each turn serve as 8-bit samples."""
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", F.encode("text", "UTF-8").alias("clip"))
-    return audio.extract(turns, ["conv_id", "turn"], "clip")
+    return audio.store(turns, ["conv_id", "turn"], "clip", work_path(spark, "audio"))
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

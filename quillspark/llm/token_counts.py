@@ -5,12 +5,14 @@ it (two arrays in heap order, node 1 is the root). An edit re-splits and re-enco
 leaf with the last two characters before it up to the first old leaf boundary after it that is also a boundary of the
 new split (from there on the split can't differ), with one leaf of context beyond; then the sums on the paths from those
 leaves to the root are set anew. If the text under some leaves outgrows four times their size, the leaves are dealt
-anew, without encoding anything else.
+anew, without encoding anything else. The text itself is a stack of pieces, edits being applied from its end, so none
+copies more than the bytes around it.
 
 Edits are (start, stop, replacement) in code points of the original text, in any order. Defined results: edits are
 clipped to the text; those with a null part, with start > stop, or that overlap one that starts earlier are skipped
 (of equal starts the first of the list counts); a null text has a null tree and null counts; an empty text has 0 tokens;
-rows with repeated or null ids are counted each for itself; an empty table gives an empty result.
+rows with repeated or null ids, of any type, are counted each for itself; other columns are ignored; long texts and long
+words take time in proportion to their length; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,13 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.bpe import LEXICON_WORDS, VOCABULARY, Coder, build_lexicon, coder, pretokens
-from quillspark.llm.common import raw, text_slices
+from quillspark.llm.common import raw, text_slices, type_of
 
-LEAF, CONTEXT = 32, 8
+LEAF, CONTEXT, NEAR = 32, 8, 256
 EDIT = "array<struct<start: int, stop: int, replacement: string>>"
 _EDIT = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("replacement", pa.string())]))
-#: E-mail addresses; numbers of nine digits or more; keys with a common prefix.
-SECRETS = regex.compile(r"(?<mail>[\w.+-]+@[\w-]+(?:\.[\w-]+)+)|(?<number>\d{9,})|(?<key>(?:sk|pk|ghp|AKIA)[-_]?[A-Za-z0-9]{16,})")
+#: E-mail addresses; numbers of nine digits or more; keys with a common prefix. An address begins where no character of its
+#: kind stands before, and its parts give nothing back, so that no text takes quadratic time.
+SECRETS = regex.compile(r"(?<mail>(?<![\w.+-])[\w.+-]++@[\w-]++(?:\.[\w-]++)+)|(?<number>\d{9,})|(?<key>(?:sk|pk|ghp|AKIA)[-_]?[A-Za-z0-9]{16,})")
 
 
 class CountTree:
@@ -90,30 +93,56 @@ def build_tree(start: np.ndarray, stop: int, count: np.ndarray) -> CountTree:
     return CountTree.of_leaves(*_dealt(start, stop, count, LEAF))
 
 
-def edit(tree: CountTree, text: bytes, start: int, stop: int, new: bytes, z: Coder) -> tuple[CountTree, bytes, int]:
-    """The tree and text with text[start:stop] (bytes) replaced, and how many bytes were encoded again."""
-    out, shift = text[:start] + new + text[stop:], len(new) - (stop - start)
-    if not text:
-        data = np.frombuffer(out, np.uint8)
+class Pieces:
+    """A text whose end is edited first: original[:cut], then the pieces of a stack, the last of them first."""
+
+    def __init__(self, original: bytes):
+        self.original, self.cut, self.stack = memoryview(original), len(original), []
+
+    def tail(self, size: int) -> bytes:
+        """The first bytes behind the cut."""
+        out = []
+        for p in reversed(self.stack):
+            if size <= 0:
+                break
+            out.append(p[:size])
+            size -= len(p)
+        return b"".join(out)
+
+    def replace(self, start: int, stop: int, new: bytes) -> None:
+        """original[start:stop], before the cut, gives way to new; the cut moves to start."""
+        self.stack += [p for p in (self.original[stop : self.cut], memoryview(new)) if len(p)]
+        self.cut = start
+
+    def whole(self) -> bytes:
+        return b"".join([self.original[: self.cut], *reversed(self.stack)])
+
+
+def edit(tree: CountTree, text: Pieces, start: int, stop: int, new: bytes, z: Coder) -> tuple[CountTree, int]:
+    """The tree with text[start:stop] (bytes, before the cut) replaced, as in text, and how many bytes were encoded again."""
+    total, shift = int(tree.size[1]), len(new) - (stop - start)
+    text.replace(start, stop, new)
+    if not total:
+        data = np.frombuffer(new, np.uint8)
         begin, _, count, _ = z.pieces(data, np.array([0, len(data)]))
-        return build_tree(begin, len(data), count), out, len(out)
+        return build_tree(begin, len(data), count), len(new)
     i, first = tree.leaf_at(start - CONTEXT)
     j, at = tree.leaf_at(stop)
     sizes, _ = tree.leaves()
-    end = at + int(sizes[j])
+    end, step = at + int(sizes[j]), 1
     while True:
         ahead, k = end, j
-        while ahead < len(text) and ahead < end + CONTEXT:
+        while ahead < total and ahead < end + CONTEXT:
             k += 1
             ahead += int(sizes[k])
-        data = np.frombuffer(out[first : ahead + shift], np.uint8)
+        data = np.frombuffer(bytes(text.original[first:start]) + text.tail(ahead + shift - start), np.uint8)
         begin, _, _ = pretokens(data, np.array([0, len(data)]))
-        if end == len(text) or np.any(begin == end + shift - first):
+        if end == total or np.any(begin == end + shift - first):
             break
-        j += 1
-        end += int(sizes[j])
+        more = min(j + step, len(sizes) - 1)
+        end, j, step = end + int(sizes[j + 1 : more + 1].sum()), more, 2 * step
     begin = begin[begin < end + shift - first]
-    data = np.frombuffer(out[first : end + shift], np.uint8)
+    data = data[: end + shift - first]
     count = z.counts(data, begin)
     n = j - i + 1
     per = max(1, -(-len(begin) // n))
@@ -125,7 +154,7 @@ def edit(tree: CountTree, text: bytes, start: int, stop: int, new: bytes, z: Cod
     else:
         for k in range(n):
             tree.set(i + k, int(size[k]) if k < len(size) else 0, int(tokens[k]) if k < len(size) else 0)
-    return tree, out, len(data)
+    return tree, len(data)
 
 
 def apply_all(tree: CountTree, text: str, edits: Sequence[tuple], z: Coder) -> tuple[CountTree, str, int, int]:
@@ -136,16 +165,25 @@ def apply_all(tree: CountTree, text: str, edits: Sequence[tuple], z: Coder) -> t
         if s <= e and s >= free:
             todo.append((s, e, r))
             free = max(e, s)
-    data, again = text.encode(), 0
+    pieces, again = Pieces(text.encode()), 0
     marks = sorted({p for s, e, _ in todo for p in (s, e)})
     byte, at, done = {}, 0, 0
     for p in marks:
         done += len(text[at:p].encode())
         byte[p], at = done, p
-    for s, e, r in reversed(todo):  # from the end, so that the offsets before an edit still hold
-        tree, data, n = edit(tree, data, byte[s], byte[e], r.encode(), z)
+    near: list[tuple[int, int, list]] = []  # edits less than NEAR bytes apart share leaves; they are one edit
+    for s, e, r in todo:
+        s, e, r = byte[s], byte[e], r.encode()
+        if near and s - near[-1][1] < NEAR:
+            a, b, q = near[-1]
+            q += [pieces.original[b:s], r]
+            near[-1] = (a, e, q)
+        else:
+            near.append((s, e, [r]))
+    for s, e, r in reversed(near):  # from the end, so that the offsets before an edit still hold
+        tree, n = edit(tree, pieces, s, e, b"".join(r), z)
         again += n
-    return tree, data.decode(), len(todo), again
+    return tree, pieces.whole().decode(), len(todo), again
 
 
 def secrets(text: str) -> list[tuple[int, int, str]]:
@@ -201,14 +239,14 @@ def _apply(name: str):
 
 def trees(docs: DataFrame, lexicon: str, edits_of: Callable[[str], list[tuple]] | None = None) -> DataFrame:
     """(doc_id, text, tree_bytes, tree_tokens, edits): tree_tokens[1] (0-based) is the document's count; edits are what edits_of finds."""
-    own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return own.mapInArrow(_build(lexicon, edits_of), f"doc_id bigint, text string, tree_bytes array<int>, tree_tokens array<int>, edits {EDIT}")
+    own = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return own.mapInArrow(_build(lexicon, edits_of), f"doc_id {type_of(own)}, text string, tree_bytes array<int>, tree_tokens array<int>, edits {EDIT}")
 
 
 def apply_edits(trees: DataFrame, lexicon: str) -> DataFrame:
     """Rows of trees() with edits applied: (doc_id, text, tree_bytes, tree_tokens, n_tokens, n_edits, bytes_reencoded)."""
     own = trees.select("doc_id", "text", "tree_bytes", "tree_tokens", "edits")
-    return own.mapInArrow(_apply(lexicon), "doc_id bigint, text string, tree_bytes array<int>, tree_tokens array<int>, n_tokens bigint, n_edits int, bytes_reencoded bigint")
+    return own.mapInArrow(_apply(lexicon), f"doc_id {type_of(own)}, text string, tree_bytes array<int>, tree_tokens array<int>, n_tokens bigint, n_edits int, bytes_reencoded bigint")
 
 
 def redacted_counts(docs: DataFrame, vocabulary: str = VOCABULARY, words: int = LEXICON_WORDS) -> DataFrame:

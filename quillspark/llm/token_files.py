@@ -6,8 +6,9 @@ compressed and decompressed size and the low 32 bits of the XXH64 of its content
 frames asked for, nothing else. A task writes under a name of its own attempt and renames at its end, so a task that
 runs again after a loss leaves the same shard; the index of all documents is a Parquet table beside the shards.
 
-Defined results: null ids -> an index row with null frame and count; no ids -> an empty frame; repeated and null doc_ids
-have a frame for each row; an empty table -> no shard and an empty index.
+Defined results: null ids -> an index row with null frame and count; no ids -> an empty frame; repeated and null doc_ids,
+of any type, have a frame for each row; other columns are ignored; a document of any length is one frame of its own;
+an empty table -> no shard and an empty index; an id that is negative or not below vocabulary_size -> ValueError.
 """
 
 from __future__ import annotations
@@ -23,11 +24,12 @@ import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from quillspark.llm.common import type_of
 
 LEVEL = 1
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
-INDEX = "doc_id bigint, shard int, frame int, n_tokens bigint, n_bytes int, checksum bigint"
+INDEX = "shard int, frame int, n_tokens bigint, n_bytes int, checksum bigint"
 
 
 class ShardWriter:
@@ -72,9 +74,13 @@ def _name(shard: int) -> str:
     return f"shard-{shard:06d}.zst"
 
 
-def _write(uri: str, width: int, level: int):
+def _width(vocabulary_size: int) -> int:
+    return 2 if vocabulary_size <= 1 << 16 else 4
+
+
+def _write(uri: str, vocabulary_size: int, level: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, kind = TaskContext.get().partitionId(), np.dtype(f"<u{width}")
+        shard, kind = TaskContext.get().partitionId(), np.dtype(f"<u{_width(vocabulary_size)}")
         fs, root = pafs.FileSystem.from_uri(uri)
         own, out = f"{root}/.{uuid.uuid4().hex}", None
         for b in batches:
@@ -82,7 +88,10 @@ def _write(uri: str, width: int, level: int):
                 out = fs.open_output_stream(own, buffer_size=1 << 20)
                 w = ShardWriter(out, level)
             lists = b.column("ids")
-            flat, null = lists.flatten().to_numpy(zero_copy_only=False).astype(kind), lists.is_null().to_numpy(zero_copy_only=False)
+            flat, null = lists.flatten().to_numpy(zero_copy_only=False), lists.is_null().to_numpy(zero_copy_only=False)
+            if len(flat) and not 0 <= flat.min() <= flat.max() < vocabulary_size:
+                raise ValueError(f"token ids must be in [0, {vocabulary_size})")
+            flat = flat.astype(kind)
             n = np.where(null, 0, np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))
             end = np.cumsum(n)
             rows = [(None,) * 5 if x else (shard, *((f := w.add(flat[e - k : e].tobytes()))[:1]), int(k), f[1], f[2]) for x, k, e in zip(null, n, end, strict=True)]
@@ -102,9 +111,10 @@ def write(tokens: DataFrame, uri: str, vocabulary_size: int = 1 << 16, level: in
     spark = tokens.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{uri}/shards")
     path.getFileSystem(spark._jsparkSession.sparkContext().hadoopConfiguration()).mkdirs(path)
-    own = tokens.select(F.col("doc_id").cast("bigint").alias("doc_id"), "ids")
-    own.mapInArrow(_write(f"{uri}/shards", 2 if vocabulary_size <= 1 << 16 else 4, level), INDEX).write.parquet(f"{uri}/index")
-    return spark.read.schema(INDEX).parquet(f"{uri}/index")
+    own = tokens.select("doc_id", "ids")
+    schema = f"doc_id {type_of(own)}, {INDEX}"
+    own.mapInArrow(_write(f"{uri}/shards", vocabulary_size, level), schema).write.parquet(f"{uri}/index")
+    return spark.read.schema(schema).parquet(f"{uri}/index")
 
 
 def _read(uri: str, width: int):
@@ -126,4 +136,4 @@ def _read(uri: str, width: int):
 def read(wanted: DataFrame, uri: str, vocabulary_size: int = 1 << 16) -> DataFrame:
     """(doc_id, ids) for rows of the index; only their frames are decompressed."""
     own = wanted.select("doc_id", "shard", "frame").repartition("shard").sortWithinPartitions("shard", "frame")
-    return own.mapInArrow(_read(f"{uri}/shards", 2 if vocabulary_size <= 1 << 16 else 4), "doc_id bigint, ids array<int>")
+    return own.mapInArrow(_read(f"{uri}/shards", _width(vocabulary_size)), f"doc_id {type_of(own)}, ids array<int>")
