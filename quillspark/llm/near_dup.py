@@ -191,7 +191,8 @@ def links(one: DataFrame, threshold: float = THRESHOLD, limit: int = LIMIT) -> D
     print_ = (F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("a"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("b"))
     seen = each.groupBy("bucket").agg(*print_, F.min("node").alias("least")).where("size > 1")
     kept = work_table(seen.groupBy("size", "a", "b", "least").agg(F.min("bucket").alias("bucket")).drop("a", "b"), "buckets")
-    members = work_table(each.join(kept, "bucket"), "members").join(one, "node")
+    # merged whatever the size, so that small inputs run and are measured by the plan of large ones
+    members = work_table(each.join(kept.hint("merge"), "bucket"), "members").join(one, "node")
     near = members.where(F.col("size") <= limit).select("bucket", "node", "sig").repartition("bucket").sortWithinPartitions("bucket", "node").mapInArrow(_verify(need), f"u {kind}, v {kind}")
     if kept.where(F.col("size") > limit).isEmpty():
         return near
