@@ -101,11 +101,11 @@ def author_initials(spark: SparkSession, d: str) -> DataFrame:
     return _titled(spark, d).select("id", F.array_join(T.author_sets(a)[0], " ").alias("full_form"), F.array_join(T.author_initials(a)[0], " ").alias("initials"))
 
 
-@_register(r"""select doc_id as id, regexp_replace(t, '(?is)\W?\s*\b(?:arxiv|corr|doi|math|archive number)\W{0,3}\s*(?:abs/|pr/|number)?\W{0,2}\s*[0-9].*$', '') as title from
-(select doc_id, split_part(text, chr(10), 1) || case doc_id % 4 when 0 then ' arXiv:1234.5678 [cs]' when 1 then '. doi: 10.1/x' when 2 then ', CoRR abs/99' else '' end as t from documents)""")
+@_register(r"""select doc_id as id, regexp_replace(t, '[^\p{L}\p{M}\p{N}_]?\s*(?:arxiv|corr|doi|math|archive number)[:,.]?\s*(?:(?:abs|pr)/|number)?\s*[0-9]+(?:\.[0-9]+)?.*', '', 'gi') as title from
+(select doc_id, split_part(text, chr(10), 1) || case doc_id % 5 when 0 then ' arXiv:1234.5678 [cs]' when 1 then '. doi: 10.1/x' when 2 then ', CoRR, abs/99' when 3 then ' Aftermath 2 more' else ' on doi: what' end as t from documents)""")
 def clean_title(spark: SparkSession, d: str) -> DataFrame:
-    k = F.col("id") % 4
-    tail = F.when(k == 0, " arXiv:1234.5678 [cs]").when(k == 1, ". doi: 10.1/x").when(k == 2, ", CoRR abs/99").otherwise("")
+    k = F.col("id") % 5
+    tail = F.when(k == 0, " arXiv:1234.5678 [cs]").when(k == 1, ". doi: 10.1/x").when(k == 2, ", CoRR, abs/99").when(k == 3, " Aftermath 2 more").otherwise(" on doi: what")
     return _titled(spark, d).select("id", T.clean_title(F.concat("title", tail)).alias("title"))
 
 
@@ -122,12 +122,13 @@ def letter_numbers(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- similarity and search ---------------------------------------------------------------------------------------
 @_register(f"""with {_tokens_cte('d', 'documents', 'doc_id')}, s as (select id, {_SETS} as a from d),
-u as (select distinct a, len(a) as n from s where len(a) > 0),
-p as (select x.a as a, y.a as b, len(list_intersect(x.a, y.a))::double as i, x.n as na, y.n as nb from u x, u y where y.n between x.n * 0.6 - 1e-9 and x.n / 0.6 + 1e-9),
-q as (select a, b, {_SCORE} as score from p where i > 0)
-select l.id as id_a, r.id as id_b, round(score, 6) as score from q join s l on l.a = q.a join s r on r.a = q.b where l.id < r.id and score >= 0.75 - 1e-9""")
+c as (select id, a, case when len(a) > 0 then min(id) over (partition by a) else id end as class_id from s), u as (select class_id, any_value(a) as a, any_value(len(a)) as n, count(*) as k from c group by 1),
+p as (select x.class_id as x, y.k as k, len(list_intersect(x.a, y.a))::double as i, x.n as na, y.n as nb from u x, u y where x.class_id <> y.class_id and y.n between x.n * 0.6 - 1e-9 and x.n / 0.6 + 1e-9),
+l as (select x, sum(k) as more from p where i > 0 and {_SCORE} >= 0.75 - 1e-9 group by 1)
+select id, c.class_id, k as class_size, (case when n > 0 then k - 1 else 0 end + coalesce(more, 0))::bigint as n_links from c join u on u.class_id = c.class_id left join l on l.x = c.class_id""")
 def title_similarity_join(spark: SparkSession, d: str) -> DataFrame:
-    return search.self_similarity_join(_titled(spark, d), 0.75).withColumn("score", F.round("score", 6))
+    """A row for each document: its class of equal titles, and how many documents it matches. Copies aren't paired."""
+    return search.similarity_links(_titled(spark, d), 0.75)
 
 
 _MATCH = f"""with {_tokens_cte('d', 'documents', 'doc_id')}, {_tokens_cte('e', 'benchmark', 'item_id')}, a as (select id, {_SETS} as a from d), b as (select id, {_SETS} as b from e),
@@ -160,28 +161,14 @@ def extension_subset(spark: SparkSession, d: str) -> DataFrame:
 _WORDS = "list_distinct(list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> ''))"
 
 
-@_register(f"""with a as (select item_id as a, {_WORDS} as x from benchmark) select l.a, r.a as b, round(len(list_intersect(l.x, r.x)) / least(len(l.x), len(r.x)), 6) as containment from a l, a r where l.a < r.a""")
-def containment(spark: SparkSession, d: str) -> DataFrame:
-    x = _t(spark, d, "benchmark").select(F.col("item_id").alias("a"), F.array_distinct(F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda w: w != "")).alias("x"))
-    y = x.select(F.col("a").alias("b"), F.col("x").alias("y"))
-    return x.crossJoin(y).where("a < b").select("a", "b", F.round(M.containment(F.col("x"), F.col("y")), 6).alias("containment"))
-
-
-@_register("""with t as (select item_id as id, unnest(list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '')) as w from benchmark), c as (select id, w, count(*) as c from t group by 1, 2), n as (select id, count(*) as n from t group by 1)
-select x.id as a, y.id as b, round(2.0 * sum(least(x.c, y.c)) / (any_value(nx.n) + any_value(ny.n)), 6) as dice from c x join c y on x.w = y.w and x.id < y.id join n nx on nx.id = x.id join n ny on ny.id = y.id group by 1, 2""")
-def dice_multiset(spark: SparkSession, d: str) -> DataFrame:
-    w = _t(spark, d, "benchmark").select(F.col("item_id").alias("a"), F.explode(F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda x: x != "")).alias("token"))
-    return M.dice(w, w.withColumnRenamed("a", "b")).where("a < b").select("a", "b", F.round("dice", 6).alias("dice"))
-
-
 def _against(spark: SparkSession, d: str) -> DataFrame:
     return M.against(_t(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), _t(spark, d, "benchmark").select(F.col("item_id").alias("id"), "text"))
 
 
 @_register(f"""with a as (select doc_id as a, {_WORDS} as x from documents), b as (select item_id as b, {_WORDS} as y from benchmark)
 select a, b, round(case when least(len(x), len(y)) > 0 then len(list_intersect(x, y)) / least(len(x), len(y)) else 0 end, 6) as containment from a, b""")
-def containment_against_benchmark(spark: SparkSession, d: str) -> DataFrame:
-    """Every document with every item; `containment` is of items with each other."""
+def containment(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with every item."""
     return _against(spark, d).select("a", "b", F.round("containment", 6).alias("containment"))
 
 
@@ -189,8 +176,8 @@ def containment_against_benchmark(spark: SparkSession, d: str) -> DataFrame:
 c as (select id, w, count(*) as c from t group by 1, 2), e as (select id, w, count(*) as c from u group by 1, 2), nc as (select id, count(*) as n from t group by 1), ne as (select id, count(*) as n from u group by 1),
 m as (select c.id as a, e.id as b, sum(least(c.c, e.c)) as m from c join e on c.w = e.w group by 1, 2)
 select doc_id as a, item_id as b, round(coalesce(2.0 * m / (nc.n + ne.n), 0), 6) as dice from documents cross join benchmark left join m on m.a = doc_id and m.b = item_id left join nc on nc.id = doc_id left join ne on ne.id = item_id""")
-def dice_against_benchmark(spark: SparkSession, d: str) -> DataFrame:
-    """Every document with every item; `dice_multiset` is of items with each other."""
+def dice_multiset(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with every item."""
     return _against(spark, d).select("a", "b", F.round("dice", 6).alias("dice"))
 
 
@@ -215,11 +202,18 @@ def dedup_representatives(spark: SparkSession, d: str) -> DataFrame:
     return dedup.by_title(_titled(spark, d))
 
 
-@_register(f"""with recursive {_tokens_cte('d', 'documents', 'doc_id')}, s as (select id, {_SETS} as a from d) select id, case when len(a) > 0 then min(id) over (partition by a) else id end as representative from s""")
+@_register(f"""with {_tokens_cte('d', 'documents', 'doc_id')}, s as (select id, {_SETS} as a from d) select id, case when len(a) > 0 then min(id) over (partition by a, source) else id end as representative from s join documents on doc_id = id""")
 def dedup_greedy(spark: SparkSession, d: str) -> DataFrame:
-    """Search, components and the ordered pass; at threshold 1 without authors it must agree with equal word sets."""
-    own = _titled(spark, d).select("id", "title", F.lit(None).cast("int").alias("year"), F.array().cast("array<string>").alias("authors"))
-    return dedup.deduplicate(own, 1.0, 0, match_authors=False)
+    """Search, components and the ordered pass; at threshold 1 it must agree with equal words and authors."""
+    own = _titled(spark, d).join(_t(spark, d, "documents").select(F.col("doc_id").alias("id"), "source"), "id")
+    return dedup.deduplicate(own.select("id", "title", F.lit(None).cast("int").alias("year"), F.array("source").alias("authors")), 1.0, 0)
+
+
+@_register(None)
+def dedup_fuzzy(spark: SparkSession, d: str) -> DataFrame:
+    """The same below threshold 1, where the order of papers decides."""
+    own = _titled(spark, d).select("id", "title", (F.col("id") % 4 + 2000).cast("int").alias("year"), F.array(F.lit("Ann Lee")).alias("authors"))
+    return dedup.deduplicate(own, 0.6, 1)
 
 
 # ---- id algebra --------------------------------------------------------------------------------------------------
@@ -228,13 +222,11 @@ def dense_renumber(spark: SparkSession, d: str) -> DataFrame:
     return I.dense_ids(_t(spark, d, "orders").select(F.col("o_custkey").alias("id")))
 
 
-@_register("""with m as (select p_partkey as old, row_number() over (order by p_partkey) - 1 as new from part), o as (select o_orderkey as old, row_number() over (order by o_orderkey) - 1 as new from orders)
-select distinct o.new as citing, m.new as cited from lineitem join o on o.old = l_orderkey join m on m.old = l_partkey""")
+@_register("""with u as (select l_orderkey as old from lineitem union select l_partkey from lineitem), m as (select old, row_number() over (order by old) - 1 as new from u)
+select distinct a.new as citing, b.new as cited from lineitem join m a on a.old = l_orderkey join m b on b.old = l_partkey""")
 def translate_ids(spark: SparkSession, d: str) -> DataFrame:
-    parts = I.dense_ids(_t(spark, d, "part").select(F.col("p_partkey").alias("id")))
-    orders = I.dense_ids(_t(spark, d, "orders").select(F.col("o_orderkey").alias("id")))
     e = _edges(spark, d)
-    return e.join(orders.withColumnRenamed("old", "citing"), "citing").select(F.col("new").alias("citing"), "cited").join(parts.withColumnRenamed("old", "cited"), "cited").select("citing", F.col("new").alias("cited")).distinct()
+    return I.translate_edges(e, I.dense_ids(e.select(F.col("citing").alias("id")).union(e.select("cited"))))
 
 
 @_register("select l_orderkey as citing, l_partkey as cited from lineitem where l_partkey in (select p_partkey from part where p_size <= 25)")
@@ -242,9 +234,38 @@ def filter_citations(spark: SparkSession, d: str) -> DataFrame:
     return I.filter_edges(_edges(spark, d), _t(spark, d, "part").where("p_size <= 25").select(F.col("p_partkey").alias("id")))
 
 
-@_register("select l_orderkey as citing, l_partkey as cited from lineitem where l_partkey in (select o_orderkey from orders)")
+_CITED = """(select l_orderkey as o, string_agg(case when {ok} then l_partkey::varchar end, ' ' order by l_partkey, l_linenumber) as c, string_agg(case when {ok} then l_partkey::varchar else '-' end, ' ' order by l_linenumber, l_partkey) as b from lineitem group by 1)"""
+
+
+def _order_papers(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as papers: parts are what they cite, and their bibliographies."""
+    own = _t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(
+        F.array_sort(F.collect_list(F.struct("l_partkey", "l_linenumber"))).alias("c"), F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("b"),
+    )
+    none = F.array().cast("array<bigint>")
+    rows = _t(spark, d, "orders").select(F.col("o_orderkey").alias("id")).join(own, "id", "left")
+    entry = F.transform("b", lambda x: F.struct(x["l_partkey"].alias("id"), F.lit("T").alias("title"), F.lit(None).cast("int").alias("year"), F.array(F.lit("A")).alias("authors")))
+    return rows.select("id", F.coalesce(F.transform("c", lambda x: x["l_partkey"]), none).alias("citations"), F.coalesce(entry, F.array().cast("array<struct<id: bigint, title: string, year: int, authors: array<string>>>")).alias("bibliography"))
+
+
+def _lists(papers: DataFrame) -> DataFrame:
+    text = lambda x: F.coalesce(x.cast("string"), F.lit("-"))
+    return papers.select("id", F.array_join(F.transform("citations", text), " ").alias("citations"), F.array_join(F.transform("bibliography", lambda x: text(x["id"])), " ").alias("bibliography"))
+
+
+@_register(f"""select o_orderkey as id, coalesce(c, '') as citations, coalesce(b, '') as bibliography from orders left join {_CITED.format(ok='l_partkey in (select o_orderkey from orders)')} on o = o_orderkey""")
 def filter_missing_ids(spark: SparkSession, d: str) -> DataFrame:
-    return I.filter_edges(_edges(spark, d), _t(spark, d, "orders").select(F.col("o_orderkey").alias("id")))
+    return _lists(I.filter_missing_ids(_order_papers(spark, d)))
+
+
+@_register(f"""select o_orderkey as id, coalesce(c, '') as citations, coalesce(b, '') as bibliography from orders left join {_CITED.format(ok='l_partkey in (select p_partkey from part where p_size <= 25)')} on o = o_orderkey where o_orderkey in (select p_partkey from part where p_size <= 25)""")
+def discard_documents(spark: SparkSession, d: str) -> DataFrame:
+    return _lists(I.discard_documents(_order_papers(spark, d), _t(spark, d, "part").where("p_size <= 25").select(F.col("p_partkey").alias("id"))))
+
+
+@_register("select doc_id as id, lang, n_chars from documents where doc_id in (select doc_id from labels)")
+def lookup_by_id(spark: SparkSession, d: str) -> DataFrame:
+    return readers.by_ids(_t(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang", "n_chars"), _t(spark, d, "labels").select(F.col("doc_id").alias("id")))
 
 
 @_register("""select o_orderkey as id, coalesce(string_agg(l_partkey::varchar, ' ' order by l_partkey, l_linenumber) filter (where l_partkey in (select p_partkey from part where p_size <= 25)), '') as citations
@@ -257,20 +278,8 @@ def filter_citation_lists(spark: SparkSession, d: str) -> DataFrame:
     return out.select("id", F.array_join(F.transform("citations", lambda x: x.cast("string")), " ").alias("citations"))
 
 
-@_register("select doc_id as id, lang, n_chars from documents where doc_id in (select doc_id from labels)")
-def discard_documents(spark: SparkSession, d: str) -> DataFrame:
-    return I.keep_ids(_t(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang", "n_chars"), _t(spark, d, "labels").select(F.col("doc_id").alias("id")))
-
-
-@_register("select p_partkey as id, p_name from part where p_partkey in (select l_partkey from lineitem where l_quantity >= 49)")
-def create_references(spark: SparkSession, d: str) -> DataFrame:
-    bib = _t(spark, d, "lineitem").where("l_quantity >= 49").select(F.col("l_partkey").alias("id"))
-    return I.create_references(bib, _t(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_name"))
-
-
 @_register("select p_partkey as id, p_name from part where p_partkey in (select l_partkey from lineitem)")
-def create_all_references(spark: SparkSession, d: str) -> DataFrame:
-    """All rows of lineitem are the bibliography; `create_references` takes those of large quantity."""
+def create_references(spark: SparkSession, d: str) -> DataFrame:
     bib = _t(spark, d, "lineitem").select(F.col("l_partkey").alias("id"))
     return I.create_references(bib, _t(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_name"))
 
@@ -356,8 +365,7 @@ def span_overlap_join(spark: SparkSession, d: str) -> DataFrame:
 
 @_register(f"with s as ({_SPAN_SQL}) select k, id, \"start\", coalesce(least(\"end\", lead(\"start\") over (partition by k order by \"start\", \"end\", id)), \"end\") as \"end\" from s")
 def clip_crossing_spans(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("k").orderBy("start", "end", "id")
-    return _event_spans(spark, d).withColumn("end", F.coalesce(F.least("end", F.lead("start").over(w)), F.col("end")))
+    return spans.uncross_rows(_event_spans(spark, d), ["k"], "id")
 
 
 @_register("""with p as (select c_custkey as probe, (c_custkey % 30 + 1990)::int as py, c_nationkey as k from customer), q as (select s_suppkey as id, case when s_suppkey % 7 = 0 then null else (s_suppkey % 30 + 1990)::int end as qy, s_nationkey as k from supplier)
@@ -379,20 +387,11 @@ def vancouver_interpolation(spark: SparkSession, d: str) -> DataFrame:
 
 
 
-@_register("""with s as (select doc_id, unnest(range(0, 6)) as i, text from documents where length(text) >= 60), p as (select doc_id, i, i * 10 as st, i * 10 + 3 + (doc_id + i) % 8 as en, text from s),
-g as (select *, lag(en) over (partition by doc_id order by st) as pe from p), n as (select doc_id, i, st, case when pe is null or regexp_matches(substr(text, pe + 1, greatest(st - pe, 0)), '\\w') then 1 else 0 end as nw from g)
-select doc_id, i, sum(nw) over (partition by doc_id order by st)::bigint as group_no from n""".replace("\\\\w", "\\w"))
-def citation_groups(spark: SparkSession, d: str) -> DataFrame:
-    s = _t(spark, d, "documents").where("length(text) >= 60").select("doc_id", "text", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("i"))
-    s = s.withColumn("start", F.col("i") * 10).withColumn("end", (F.col("i") * 10 + 3 + (F.col("doc_id") + F.col("i")) % 8).cast("int"))
-    return spans.group(s, ["doc_id"]).select("doc_id", "i", "group_no")
-
-
 @_register(r"""with s as (select doc_id, unnest(range(0, (length(text) + 9) // 10)) as i, text from documents), p as (select doc_id, i, i * 10 as st, least(i * 10 + 3 + (doc_id + i) % 8, length(text)) as en, text from s),
-g as (select *, lag(en) over (partition by doc_id order by st) as pe from p), n as (select doc_id, i, st, case when pe is null or regexp_matches(substr(text, pe + 1, greatest(st - pe, 0)), '\w') then 1 else 0 end as nw from g)
-select doc_id, i, sum(nw) over (partition by doc_id order by st)::bigint as group_no from n""".replace("\\w", "\\w"))
-def citation_groups_whole(spark: SparkSession, d: str) -> DataFrame:
-    """Spans every ten characters over every whole text; `citation_groups` lays six over the first 60 characters."""
+g as (select *, lag(en) over (partition by doc_id order by st) as pe from p), n as (select doc_id, i, st, case when pe is null or regexp_matches(substr(text, pe + 1, greatest(st - pe, 0)), '[\p{L}\p{M}\p{N}_]') then 1 else 0 end as nw from g)
+select doc_id, i, sum(nw) over (partition by doc_id order by st)::bigint as group_no from n""")
+def citation_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Spans every ten characters over every whole text."""
     n = F.length("text")
     s = _t(spark, d, "documents").where("length(text) > 0").select("doc_id", "text", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / 10).cast("int"))).alias("i"))
     s = s.withColumn("start", F.col("i") * 10).withColumn("end", F.least(F.col("i") * 10 + 3 + (F.col("doc_id") + F.col("i")) % 8, n).cast("int"))
@@ -408,28 +407,39 @@ def citation_style(spark: SparkSession, d: str) -> DataFrame:
     return spans.citation_style(_t(spark, d, "documents").select("doc_id", t.alias("text")))
 
 
-@_register("""select o_orderkey as id, array_to_string(list_transform(range(o_custkey % 7 + 1, o_custkey % 7 + 4 + o_orderkey % 3), lambda n: '[' || n || ']'), '') || ' x' as text from orders""")
+_CITES = """t as (select doc_id, text || ' see ' as t, doc_id % 7 + 1 as lo, doc_id % 7 + 3 + doc_id % 3 as hi from documents), e as (select *, list_transform(range(lo, hi + 1), lambda n: '[' || n || ']') as xs from t)"""
+
+
+def _ranges(spark: SparkSession, d: str) -> DataFrame:
+    """Whole texts with a cited range, and one that isn't cited, behind them."""
+    lo = F.col("doc_id") % 7 + 1
+    own = _t(spark, d, "documents").select("doc_id", F.concat("text", F.lit(" see ")).alias("t"), F.concat(F.lit("["), lo.cast("string"), F.lit("-"), (lo + 2 + F.col("doc_id") % 3).cast("string"), F.lit("]")).alias("x"))
+    span = F.struct(F.lit(None).cast("int").alias("index"), F.length("t").alias("start"), (F.length("t") + F.length("x")).alias("end"))
+    return own.select("doc_id", F.concat("t", "x", F.lit(" or (1990-1995) in [2-4]")).alias("text"), F.array(span).alias("spans"))
+
+
+def _shown(c: str = "spans") -> Column:
+    return F.array_join(F.transform(c, lambda x: F.concat_ws(":", F.coalesce(x["index"].cast("string"), F.lit("-")), x["start"], x["end"])), " ")
+
+
+@_register(f"""with {_CITES} select doc_id, t || array_to_string(xs, '') || ' or (1990-1995) in [2-4]' as text, array_to_string(list_transform(range(lo, hi + 1), lambda n: case when n % 2 = 0 then (n * 10)::varchar else '-' end || ':' || (length(t) + 3 * (n - lo) + greatest(0, n - 10)) || ':' || (length(t) + 3 * (n - lo + 1) + greatest(0, n - 9))), ' ') as spans from e""")
 def expand_dashed(spark: SparkSession, d: str) -> DataFrame:
-    lo = F.col("o_custkey") % 7 + 1
-    t = _t(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.concat(F.lit("["), lo.cast("string"), F.lit("-"), (lo + 2 + F.col("o_orderkey") % 3).cast("string"), F.lit("] x")).alias("t"))
-    f = spans.kernel(lambda text, own: spans.expand_dashed(text, own, {}))
-    none = F.array().cast("array<struct<index: int, start: int, end: int>>")
-    return t.select("id", f(F.col("t"), none)["text"].alias("text"))
+    f = spans.kernel(lambda text, own: spans.expand_dashed(text, own, {n: n * 10 for n in range(0, 40, 2)}))
+    return _ranges(spark, d).select("doc_id", f(F.col("text"), F.col("spans")).alias("r")).select("doc_id", "r.text", _shown("r.spans").alias("spans"))
 
 
-@_register("""select o_orderkey as id, '[' || (o_custkey % 7 + 1) || ']-[' || (o_custkey % 7 + 3 + o_orderkey % 3) || '] x' as text from orders""")
+@_register(f"""with {_CITES} select doc_id, t || '[' || lo || '-' || hi || '] or (1990-1995) in [2-4]' as text, '-:' || length(t) || ':' || (length(t) + length('[' || lo || '-' || hi || ']')) as spans from e""")
 def merge_dashed(spark: SparkSession, d: str) -> DataFrame:
-    lo = F.col("o_custkey") % 7 + 1
-    t = _t(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.concat(F.lit("["), lo.cast("string"), F.lit("-"), (lo + 2 + F.col("o_orderkey") % 3).cast("string"), F.lit("] x")).alias("t"))
-    f = spans.kernel(lambda text, own: spans.merge_dashed(*spans.expand_dashed(text, own, {})))
-    none = F.array().cast("array<struct<index: int, start: int, end: int>>")
-    return t.select("id", f(F.col("t"), none)["text"].alias("text"))
+    """What expand_dashed does is taken back."""
+    f = spans.kernel(lambda text, own: spans.merge_dashed(*spans.expand_dashed(text, own, {}))[:2])
+    return _ranges(spark, d).select("doc_id", f(F.col("text"), F.col("spans")).alias("r")).select("doc_id", "r.text", _shown("r.spans").alias("spans"))
 
 
 # ---- trees -------------------------------------------------------------------------------------------------------
 @_register(f"with {_TREE} select doc_id, path, depth, height, headline, text from nodes")
 def tree_flatten(spark: SparkSession, d: str) -> DataFrame:
-    return _nodes(spark, d).select("doc_id", _path(), "depth", "height", "headline", "text")
+    """Trees are built of the nodes, as JSON, and flattened again."""
+    return tree.flatten(tree.rebuild(_nodes(spark, d))).select("doc_id", _path(), "depth", "height", "headline", "text")
 
 
 @_register(f"with {_TREE} select doc_id, path, height from nodes")
@@ -460,12 +470,6 @@ def tree_has_text(spark: SparkSession, d: str) -> DataFrame:
     return tree.has_text(_nodes(spark, d))
 
 
-@_register(None)
-def tree_rebuild(spark: SparkSession, d: str) -> DataFrame:
-    """Trees as JSON, rebuilt from their nodes."""
-    return tree.rebuild(_nodes(spark, d))
-
-
 # ---- filters -----------------------------------------------------------------------------------------------------
 @_register(f"with {_TREE} select doc_id, coalesce(bool_and(headline is not null and headline <> '') filter (where depth = 1 and height >= 1), true) as passed from nodes group by 1")
 def filter_nonempty_headlines(spark: SparkSession, d: str) -> DataFrame:
@@ -547,15 +551,9 @@ def vocabulary(spark: SparkSession, d: str) -> DataFrame:
     return stats.vocabulary(_nodes(spark, d))
 
 
-@_register(f"""{_STATS}, e as (select conv_id as citing, (conv_id * 7 + turn) % 1000 as cited from conversations) select citing, sum(sections)::bigint as sections, sum(paragraphs)::bigint as paragraphs, sum(sentences)::bigint as sentences, sum(words)::bigint as words, sum(chars)::bigint as chars from e join f on f.doc_id = e.cited group by 1""")
-def cited_stats(spark: SparkSession, d: str) -> DataFrame:
-    e = _t(spark, d, "conversations").select(F.col("conv_id").alias("citing"), ((F.col("conv_id") * 7 + F.col("turn")) % 1000).alias("cited"))
-    return stats.cited_stats(e, stats.tree_stats(_nodes(spark, d)))
-
-
 @_register(f"""{_STATS}, e as (select l_orderkey as citing, (l_orderkey * 7 + l_linenumber) % (select max(doc_id) + 1 from documents) as cited from lineitem) select citing, sum(sections)::bigint as sections, sum(paragraphs)::bigint as paragraphs, sum(sentences)::bigint as sentences, sum(words)::bigint as words, sum(chars)::bigint as chars from e join f on f.doc_id = e.cited group by 1""")
-def cited_stats_whole(spark: SparkSession, d: str) -> DataFrame:
-    """Citations spread over all doc_ids; `cited_stats` cites the first 1000 only."""
+def cited_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Citations are spread over all doc_ids."""
     top = F.broadcast(_t(spark, d, "documents").agg((F.max("doc_id") + 1).alias("n")))
     e = _t(spark, d, "lineitem").crossJoin(top).select(F.col("l_orderkey").alias("citing"), ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % F.col("n")).alias("cited"))
     return stats.cited_stats(e, stats.tree_stats(_nodes(spark, d)))
@@ -572,24 +570,6 @@ def filter_features(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ---- bibliography, levels, markup --------------------------------------------------------------------------------
-@_register(f"""with {_tokens_cte('p', 'part', 'p_partkey', 'p_name')}, s as (select id, {_SETS} as a from p),
-b as (select l_orderkey as doc, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey) - 1 as pos, case when l_partkey % 3 = 0 then null else l_partkey % 50 + 1970 end as y, a from lineitem join s on s.id = l_partkey),
-q as (select * from (select l_orderkey as doc, l_partkey % 50 + 1970 as y, a, row_number() over (partition by l_orderkey order by l_linenumber desc, l_partkey desc) as r from lineitem join s on s.id = l_partkey) where r = 1),
-m as (select q.doc, q.y as qy, b.pos, b.y, len(list_intersect(q.a, b.a))::double as i, len(q.a) as na, len(b.a) as nb from q join b on b.doc = q.doc),
-k as (select * from m where i > 0 and {_SCORE} >= 0.75),
-g as (select doc, min(pos) filter (where y is null or y = qy) as f, count(*) as n, min(pos) as o, count(*) filter (where y is null) as nn, min(pos) filter (where y is null) as op from k group by 1)
-select q.doc as query_id, coalesce(f, case when n = 1 then o when nn = 1 then op end) as pos from q left join g on g.doc = q.doc""")
-def bibliography_index(spark: SparkSession, d: str) -> DataFrame:
-    from quillspark.operators import bibliography as B
-
-    li = _t(spark, d, "lineitem").join(_t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    no = F.array().cast("array<string>").alias("authors")
-    w = Window.partitionBy("l_orderkey")
-    bib = li.select(F.col("l_orderkey").alias("doc_id"), (F.row_number().over(w.orderBy("l_linenumber", "l_partkey")) - 1).alias("pos"), F.col("p_name").alias("title"), F.when(F.col("l_partkey") % 3 != 0, F.col("l_partkey") % 50 + 1970).alias("year"), no)
-    q = li.withColumn("r", F.row_number().over(w.orderBy(F.col("l_linenumber").desc(), F.col("l_partkey").desc()))).where("r = 1").select(F.col("l_orderkey").alias("query_id"), F.col("l_orderkey").alias("doc_id"), F.col("p_name").alias("title"), (F.col("l_partkey") % 50 + 1970).alias("year"), no)
-    return B.lookup(q, bib)
-
-
 @_register(f"""with {_tokens_cte('p', 'part', 'p_partkey', 'p_name')}, s as (select id, {_SETS} as a from p),
 b as (select l_orderkey as doc, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey) - 1 as pos, case when l_partkey % 3 = 0 then null else l_partkey % 50 + 1970 end as y, a from lineitem join s on s.id = l_partkey),
 q as (select l_orderkey as doc, l_orderkey || '-' || (row_number() over (partition by l_orderkey order by l_linenumber, l_partkey) - 1) as qid, l_partkey % 50 + 1970 as y, a from lineitem join s on s.id = l_partkey),
@@ -597,8 +577,8 @@ m as (select q.qid, q.y as qy, b.pos, b.y, len(list_intersect(q.a, b.a))::double
 k as (select * from m where i > 0 and {_SCORE} >= 0.75),
 g as (select qid, min(pos) filter (where y is null or y = qy) as f, count(*) as n, min(pos) as o, count(*) filter (where y is null) as nn, min(pos) filter (where y is null) as op from k group by 1)
 select q.qid as query_id, coalesce(f, case when n = 1 then o when nn = 1 then op end) as pos from q left join g on g.qid = q.qid""")
-def bibliography_lookups(spark: SparkSession, d: str) -> DataFrame:
-    """Every entry looked up in its order's bibliography; `bibliography_index` looks up the last one only."""
+def bibliography_index(spark: SparkSession, d: str) -> DataFrame:
+    """Every entry looked up in its order's bibliography."""
     from quillspark.operators import bibliography as B
 
     li = _t(spark, d, "lineitem").join(_t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -619,32 +599,20 @@ def multilevel_hierarchy(spark: SparkSession, d: str) -> DataFrame:
     return multilevel.restructure(trees)
 
 
-@_register("""select page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) as title, regexp_extract(html, '<h1>([^<]*)</h1>', 1) as h1, len(regexp_extract_all(html, '<p>'))::int as paragraphs from pages""")
-def page_reader(spark: SparkSession, d: str) -> DataFrame:
-    return _t(spark, d, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract("html", "<h1>([^<]*)</h1>", 1).alias("h1"), F.regexp_count("html", F.lit("<p>")).alias("paragraphs"))
-
-
-@_register("select doc_id, unnest(list_filter(string_split_regex(regexp_replace(split_part(text, chr(10), 2), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> '')) as sentence from documents")
-def sentence_split(spark: SparkSession, d: str) -> DataFrame:
-    line = F.split_part("text", F.lit("\n"), F.lit(2))
-    return _t(spark, d, "documents").select("doc_id", F.explode(F.filter(F.split(line, r"(?<=[.!?])\s+"), lambda x: x != "")).alias("sentence"))
-
-
 @_register(None)
 def dehyphenate(spark: SparkSession, d: str) -> DataFrame:
     return spans.dehyphenated(_t(spark, d, "documents"))
 
 
-@_register(None)
-def document_sentences(spark: SparkSession, d: str) -> DataFrame:
-    """Whole texts by the engine's splitter; `sentence_split` and its SQL take the second line only, by a simpler rule."""
-    return spans.sentence_rows(_t(spark, d, "documents"))
+_BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
-@_register("select conv_id, string_agg(role || ': ' || turn, ' ' order by turn) as turns from conversations group by 1")
-def ordered_rebuild(spark: SparkSession, d: str) -> DataFrame:
-    rows = F.array_sort(F.collect_list(F.struct("turn", "role")))
-    return _t(spark, d, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(rows, lambda x: F.concat(x["role"], F.lit(": "), x["turn"].cast("string"))), " ").alias("turns"))
+@_register(rf"""with p as (select doc_id, string_split(regexp_replace(text, '([.!?]["'')\]]*\s+)([A-Z0-9"''(\[])', '\1' || chr(1) || '\2', 'g'), chr(1)) as ps from documents),
+u as (select doc_id, unnest(range(1, len(ps) + 1)) as k, ps from p), w as (select doc_id, ps[k] as x, coalesce(list_sum(list_transform(ps[1:k - 1], lambda y: length(y))), 0)::int as off from u)
+select doc_id, off + length(x) - length(ltrim(x, {_BLANK})) as "start", off + length(rtrim(x, {_BLANK})) as "end", trim(x, {_BLANK}) as sentence from w where trim(x, {_BLANK}) <> ''""")
+def sentence_split(spark: SparkSession, d: str) -> DataFrame:
+    """Whole texts by the engine's splitter."""
+    return spans.sentence_rows(_t(spark, d, "documents"))
 
 
 def queries() -> dict[str, Query]:

@@ -20,6 +20,17 @@ def _folded() -> tuple[str, str]:
 
 FOLD_FROM, FOLD_TO = _folded()
 
+#: Cyrillic and Greek letters in Latin ones; upper-case letters take the same form, which is lower-cased anyway.
+ROMAN = {
+    **dict(zip("абвгдезийклмнопрстуфхыэіїєґўъь", ["a", "b", "v", "g", "d", "e", "z", "i", "i", "k", "l", "m", "n", "o", "p", "r", "s", "t", "u", "f", "kh", "y", "e", "i", "yi", "ie", "g", "u", '"', "'"], strict=True)),
+    "ё": "io", "ж": "zh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ю": "iu", "я": "ia", "ђ": "dj", "ј": "j", "љ": "lj", "њ": "nj", "ћ": "tsh", "џ": "dzh",
+    **dict(zip("αβγδεζηικλμνξοπρσςτυφωάέήίόύώϊϋ", ["a", "b", "g", "d", "e", "z", "e", "i", "k", "l", "m", "n", "x", "o", "p", "r", "s", "s", "t", "u", "ph", "o", "a", "e", "e", "i", "o", "u", "o", "i", "u"], strict=True)),
+    "θ": "th", "χ": "kh", "ψ": "ps",
+}
+_ONE = {c: x for c, x in ROMAN.items() if len(x) == 1}
+_MORE = {c: x for c, x in ROMAN.items() if len(x) > 1}
+ROMAN_FROM, ROMAN_TO = "".join(_ONE) + "".join(_ONE).upper(), "".join(_ONE.values()) * 2
+
 
 def let(value: Column, f) -> Column:
     """f(value) with value computed once, however often f uses it."""
@@ -27,10 +38,16 @@ def let(value: Column, f) -> Column:
 
 
 def fold(s: Column) -> Column:
-    """Latin letters without their marks."""
+    """Latin letters without their marks; Cyrillic and Greek ones in Latin."""
     for a, b in LIGATURES:
         s = F.replace(s, F.lit(a), F.lit(b))
-    return F.translate(s, FOLD_FROM, FOLD_TO)
+    return let(F.translate(s, FOLD_FROM, FOLD_TO), lambda x: F.when(x.rlike("[\u0370-\u052f]"), romanised(x)).otherwise(x))
+
+
+def romanised(s: Column) -> Column:
+    for a, b in _MORE.items():
+        s = F.replace(F.replace(s, F.lit(a), F.lit(b)), F.lit(a.upper()), F.lit(b))
+    return F.translate(s, ROMAN_FROM, ROMAN_TO)
 
 
 def normalize_string(s: Column) -> Column:
@@ -65,11 +82,12 @@ def author_initials(authors: Column) -> Column:
     return F.transform(authors, one)
 
 
-TITLE_TAIL = r"(?is)\W?\s*\b(?:arxiv|corr|doi|math|archive number)\W{0,3}\s*(?:abs/|pr/|number)?\W{0,2}\s*[0-9].*$"
+TITLE_TAIL = r"(?iU)\W?\s*(?:archive number|arxiv|corr|doi|math)[.,:]?\s*(?:abs/|pr/|number)?\s*[0-9][^\n]*"
 
 
 def clean_title(title: Column) -> Column:
-    """Title without an identifier (arXiv, CoRR, doi, math, archive number) and what follows it."""
+    """Title without an identifier (arXiv, CoRR, doi, math, archive number) and what follows it on its line. The name needn't begin a
+    word: `Aftermath 2` is cut to `After`."""
     return F.regexp_replace(title, TITLE_TAIL, "")
 
 
@@ -98,7 +116,7 @@ def letter_to_int(s: Column) -> Column:
 
 
 def field_names(fields: Column) -> Column:
-    """Distinct lower-case names of an array of names or of (name, score)."""
+    """Distinct lower-case names of an array of names."""
     return F.array_distinct(F.transform(fields, lambda x: F.lower(x)))
 
 

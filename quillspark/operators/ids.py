@@ -37,12 +37,13 @@ def translate_edges(edges: DataFrame, mapping: DataFrame) -> DataFrame:
 def dense_ids(ids: DataFrame) -> DataFrame:
     """(old, new): ids numbered from 0 in order.
 
-    Range-partitioned: partitions are numbered by their sizes and rows within them, so no single task sorts all ids."""
-    ranged = ids.select(F.col("id").alias("old")).distinct().repartitionByRange("old").sortWithinPartitions("old").withColumn("__p", F.spark_partition_id())
-    counts = ranged.groupBy("__p").agg(F.count("*").alias("n"), F.min("old").alias("lo"))
-    before = counts.select(F.col("lo"), (F.sum("n").over(Window.orderBy("lo")) - F.col("n")).alias("before"), F.lead("lo").over(Window.orderBy("lo")).alias("next"))
-    met = ids.select(F.col("id").alias("old")).distinct().join(F.broadcast(before), (F.col("old") >= F.col("lo")) & (F.col("next").isNull() | (F.col("old") < F.col("next"))))
-    return met.select("old", (F.col("before") + F.row_number().over(Window.partitionBy("lo").orderBy("old")) - 1).cast("bigint").alias("new"))
+    Range-partitioned: partitions are numbered by their sizes and rows within them, so no single task sorts all ids. The
+    rows carry their partition's number, by which the sizes, one row a partition, are joined."""
+    ranged = ids.select(F.col("id").alias("old")).where("id is not null").distinct().repartitionByRange("old").sortWithinPartitions("old")
+    placed = ranged.select("old", F.spark_partition_id().alias("__p"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("__i"))
+    counts = placed.groupBy("__p").agg(F.count("*").alias("n"))
+    before = counts.select("__p", (F.sum("n").over(Window.orderBy("__p")) - F.col("n")).alias("before"))
+    return placed.join(F.broadcast(before), "__p").select("old", (F.col("before") + F.col("__i")).cast("bigint").alias("new"))
 
 
 def extend_ids(first: DataFrame, second: DataFrame, order: str) -> DataFrame:

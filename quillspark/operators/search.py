@@ -47,10 +47,49 @@ def similarity_join(left: DataFrame, right: DataFrame, threshold: float = THRESH
     return sets.join(la, "a").join(rb, "b").select("left_id", "right_id", "score")
 
 
-def self_similarity_join(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(id_a, id_b, score) with id_a < id_b, for (id, title)."""
-    both = similarity_join(df.select(F.col("id").alias("left_id"), "title"), df.select(F.col("id").alias("right_id"), "title"), threshold)
-    return both.where("left_id < right_id").select(F.col("left_id").alias("id_a"), F.col("right_id").alias("id_b"), "score")
+def similar_pairs(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(u, v, score), u < v, of (class_id, a): distinct sorted word sets with a score of at least threshold. Exact.
+
+    Sets meet once, as ids with sizes; the words themselves are looked at for pairs only."""
+    if threshold >= 1.0:
+        return classes.select(F.col("class_id").alias("u"), F.col("class_id").alias("v"), F.lit(1.0).alias("score")).limit(0)
+    own = classes.where("size(a) > 0").select("class_id", "a", F.size("a").alias("n"))
+    words = own.select("class_id", "n", F.explode("a").alias("w"))
+    freq = words.groupBy("w").agg(F.count("*").alias("f"))
+    ranked = words.join(freq, "w").groupBy("class_id", "n").agg(F.array_sort(F.collect_list(F.struct("f", "w"))).alias("r"))
+    n = F.col("n")
+    first = ranked.select("class_id", "n", F.explode(F.slice("r", F.lit(1), n - _needed(n, threshold) + 1)).alias("x")).select("class_id", "n", F.col("x.w").alias("w"))
+    met = first.select(F.col("class_id").alias("u"), F.col("n").alias("nu"), "w").join(first.select(F.col("class_id").alias("v"), F.col("n").alias("nv"), "w"), "w")
+    met = met.where((F.col("u") < F.col("v")) & F.col("nv").between(threshold * F.col("nu") / (2 - threshold) - 1e-9, F.col("nu") * (2 - threshold) / threshold + 1e-9))
+    pairs = met.select("u", "v").distinct()
+    both = pairs.join(own.select(F.col("class_id").alias("u"), F.col("a").alias("au")), "u").join(own.select(F.col("class_id").alias("v"), F.col("a").alias("av")), "v")
+    scored = both.select("u", "v", M.similarity(F.col("au"), F.col("av")).alias("score"))
+    return scored.where(F.col("score") >= threshold - 1e-9)
+
+
+def title_classes(df: DataFrame) -> DataFrame:
+    """(id, class_id, a) of (id, title): class_id is the least id with the same word set a; without words, one's own."""
+    own = df.select("id", T.token_set(F.col("title")).alias("a"))
+    first = own.where("size(a) > 0").groupBy("a").agg(F.min("id").alias("class_id"))
+    return own.where("size(a) > 0").join(first, "a").select("id", "class_id", "a").unionByName(own.where("size(a) = 0 or a is null").select("id", F.col("id").alias("class_id"), "a"))
+
+
+def self_similarity_join(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """Members (id, class_id) of (id, title), and pairs (u, v, score) of class_ids with u < v: two ids match if they are of
+    one class that has words, or of two that are a pair. Copies are never expanded into pairs."""
+    classes = title_classes(df)
+    return classes.select("id", "class_id"), similar_pairs(classes.where("id = class_id").select("class_id", "a"), threshold)
+
+
+def similarity_links(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(id, class_id, class_size, n_links): how many other ids each one matches, in its class and beyond. A row for each row."""
+    classes = title_classes(df)
+    size = classes.groupBy("class_id").agg(F.count("*").alias("class_size"))
+    pairs = similar_pairs(classes.where("id = class_id").select("class_id", "a").dropDuplicates(["class_id"]), threshold)
+    each = pairs.select("u", "v").union(pairs.select("v", "u"))
+    beyond = each.join(size.select(F.col("class_id").alias("v"), F.col("class_size").alias("k")), "v").groupBy(F.col("u").alias("class_id")).agg(F.sum("k").alias("beyond"))
+    full = size.join(beyond, "class_id", "left")
+    return classes.join(full, "class_id").select("id", "class_id", "class_size", (F.when(F.size("a") > 0, F.col("class_size") - 1).otherwise(0) + F.coalesce("beyond", F.lit(0))).alias("n_links"))
 
 
 def years_compatible(a: Column, b: Column, d: int) -> Column:
@@ -74,15 +113,11 @@ def _with_names(df: DataFrame, p: str) -> DataFrame:
     return df.withColumn(f"{p}f", T.author_sets(names)).withColumn(f"{p}i", T.author_initials(names))
 
 
-def search(
+def candidates(
     probes: DataFrame, papers: DataFrame, threshold: float = THRESHOLD, max_year_diff: int = MAX_YEAR_DIFF, match_authors: bool = True,
     author_threshold: float = 1.0, fulltext: bool = False, exclude: DataFrame | None = None, k: int = K,
 ) -> DataFrame:
-    """The best paper (id, title, year, authors) for each probe (probe_id, title, year, authors): (probe_id, id, score).
-
-    Every probe gives a row, with null id if nothing matches. Candidates have a title score of at least `threshold`,
-    compatible years and, unless match_authors is off, a matching author; the highest score wins, then the least id.
-    With fulltext, papers whose titles begin with the probe's replace other candidates. exclude: (probe_id, id) pairs."""
+    """(probe_id, id, score): all papers that search() chooses from."""
     pr, pa = probes.select("probe_id", "title", "year", "authors"), papers.select("id", "title", "year", "authors")
     cand = similarity_join(pr.select(F.col("probe_id").alias("left_id"), "title"), pa.select(F.col("id").alias("right_id"), "title"), threshold).select(F.col("left_id").alias("probe_id"), F.col("right_id").alias("id"), "score")
     if fulltext:
@@ -96,8 +131,17 @@ def search(
     cand = cand.where(years_compatible(F.col("py"), F.col("qy"), max_year_diff))
     if match_authors:
         cand = cand.where(M.match_author_groups(F.col("pf"), F.col("pi"), F.col("qf"), F.col("qi"), author_threshold))
-    best = cand.withColumn("r", F.row_number().over(Window.partitionBy("probe_id").orderBy(F.col("score").desc(), "id"))).where("r = 1")
-    return pr.select("probe_id").join(best.select("probe_id", "id", "score"), "probe_id", "left")
+    return cand.select("probe_id", "id", "score")
+
+
+def search(probes: DataFrame, papers: DataFrame, *args, **how) -> DataFrame:
+    """The best paper (id, title, year, authors) for each probe (probe_id, title, year, authors): (probe_id, id, score).
+
+    Every probe gives a row, with null id if nothing matches. Candidates have a title score of at least `threshold`,
+    compatible years and, unless match_authors is off, a matching author; the highest score wins, then the least id.
+    With fulltext, papers whose titles begin with the probe's replace other candidates. exclude: (probe_id, id) pairs."""
+    best = candidates(probes, papers, *args, **how).groupBy("probe_id").agg(F.max_by(F.struct("id", "score"), F.struct("score", -F.col("id"))).alias("b"))
+    return probes.select("probe_id").join(best.select("probe_id", "b.*"), "probe_id", "left")
 
 
 def to_mapping(matches: DataFrame) -> DataFrame:

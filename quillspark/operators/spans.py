@@ -14,11 +14,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from quillspark.schema import SPAN
+
 Span = tuple[int | None, int, int]
 
 _NUM = r"\s*\d+\s*"
-_PAIR = rf"{_NUM}[-–]{_NUM}"
-_LIST = rf"{_NUM}(?:[,;]{_NUM})+"
+_PAIR = rf"{_NUM}-{_NUM}"
+_LIST = rf"{_NUM}(?:,{_NUM})+"
 _INSIDE = rf"(?:{_LIST}|{_PAIR}|{_NUM})"
 ROUND, SQUARE = rf"\({_INSIDE}\)", rf"\[{_INSIDE}\]"
 NORMALIZED = r"\[CITE:(?:UNK|\d+)\]"
@@ -97,8 +99,9 @@ def uncross(spans: Sequence[Span]) -> list[Span]:
     return [(i, s, min(e, n[1])) for (i, s, e), n in zip(own, [*own[1:], (None, 1 << 60, 0)], strict=True)]
 
 
-def uncross_rows(spans: DataFrame, by: list[str]) -> DataFrame:
-    w = Window.partitionBy(*by).orderBy("start", "end")
+def uncross_rows(spans: DataFrame, by: list[str], *more: str) -> DataFrame:
+    """The same for rows; of equal spans the one that is first by `more` is cut."""
+    w = Window.partitionBy(*by).orderBy("start", "end", *more)
     return spans.withColumn("end", F.coalesce(F.least("end", F.lead("start").over(w)), F.col("end")))
 
 
@@ -107,12 +110,10 @@ def numbers(s: str) -> list[int]:
 
 
 def vancouver_map(found: Sequence[tuple[int, int]], interpolate: bool = False) -> dict[int, int]:
-    """Number in the text -> bibliography index, from (number, index) of spans with one number.
+    """Number in the text -> bibliography index, from (number, index) of spans with one number; the last one counts.
 
     With interpolation, numbers between two neighbours with the same difference are filled in."""
-    known: dict[int, int] = {}
-    for n, i in found:
-        known.setdefault(n, i)
+    known = dict(found)
     if interpolate:
         own = sorted(known)
         for a, b in zip(own, own[1:], strict=False):
@@ -130,88 +131,93 @@ def vancouver_rows(found: DataFrame, by: list[str]) -> DataFrame:
     return ends.select(*by, F.explode(F.sequence("lo", "hi")).alias("number"), "d").select(*by, "number", (F.col("number") + F.col("d")).alias("index"))
 
 
-_DASHED = re.compile(r"\[(\d+)\s*[-–]\s*(\d+)\]|\[(\d+)\]\s*[-–]\s*\[(\d+)\]|\((\d+)\)\s*[-–]\s*\((\d+)\)|\((\d+)\s*[-–]\s*(\d+)\)")
+_DASHED = re.compile(r"\[(\d+)\s*-\s*(\d+)\]|\[(\d+)\]\s*-\s*\[(\d+)\]|\((\d+)\)\s*-\s*\((\d+)\)")
+
 
+def expand_dashed(text: str, spans: Sequence[Span], index_of: Callable[[int], int | None] | dict[int, int]) -> tuple[str, list[Span]]:
+    """`[3-6]`, `[3]-[6]`, `(3)-(6)` written out as one bracket for each number, each with a span of its own.
 
-def expand_dashed(text: str, spans: Sequence[Span], index_of: Callable[[int], int | None] | dict[int, int], most: int = 100) -> tuple[str, list[Span]]:
-    """`[3-6]`, `[3]-[6]`, `(3)-(6)` written out as one bracket for each number, each with a span of its own."""
+    Only where a citation span overlaps them; `(3-6)` may be anything and stays. How long a range may be is for
+    drop_suspicious() to say, which comes first."""
     get = index_of.get if isinstance(index_of, dict) else index_of
     out, added, keep, at, moved = [], [], list(spans), 0, 0
     for m in _DASHED.finditer(text):
         lo, hi = (int(x) for x in m.groups() if x is not None)
-        if not lo < hi or hi - lo >= most:
+        here = (m.start() + moved, m.end() + moved)
+        if lo > hi or not any(overlap(s, here) for s in keep):
             continue
         left, right = ("[", "]") if "[" in m[0] else ("(", ")")
         new = [f"{left}{n}{right}" for n in range(lo, hi + 1)]
-        out += [text[at : m.start()], "".join(new)]
+        grown = sum(map(len, new)) - len(m[0])
+        out += [text[at : m.start()], *new]
         at = m.end()
-        keep = [s for s in keep if not overlap(s, (m.start() + moved, m.end() + moved))]
-        keep = shift(keep, m.end() + moved, len("".join(new)) - len(m[0]))
-        p = m.start() + moved
+        keep = shift([s for s in keep if not overlap(s, here)], here[1], grown)
+        p = here[0]
         for n, x in zip(range(lo, hi + 1), new, strict=True):
             added.append((get(n), p, p + len(x)))
             p += len(x)
-        moved += len("".join(new)) - len(m[0])
+        moved += grown
     out.append(text[at:])
     return "".join(out), sorted(keep + added, key=lambda s: s[1])
 
 
-def merge_dashed(text: str, spans: Sequence[Span]) -> tuple[str, list[Span]]:
-    """The inverse: neighbouring spans of consecutive numbers become `[first]-[last]` with one span, index None.
-
-    Spans that don't hold exactly one number are dropped."""
-    own = [(s, numbers(text[s[1] : s[2]])) for s in sorted(spans, key=lambda s: s[1])]
-    own = [(s, n[0]) for s, n in own if len(n) == 1]
+def merge_dashed(text: str, spans: Sequence[Span], others: Sequence[Span] = (), square: bool = True) -> tuple[str, list[Span], list[Span]]:
+    """The inverse: neighbouring spans of consecutive numbers, each in brackets, become `[first-last]` with one span, index
+    None. Spans that don't hold exactly one number are dropped; other spans, of references, move along."""
+    left, right = "[]" if square else "()"
+    own = [(s, n[0]) for s in sorted(spans, key=lambda s: s[1]) if len(n := numbers(text[s[1] : s[2]])) == 1]
     groups: list[list[tuple[Span, int]]] = []
     for s, n in own:
-        if groups and groups[-1][-1][1] + 1 == n and not text[groups[-1][-1][0][2] : s[1]].strip():
+        part, last = text[s[1] : s[2]], groups[-1][-1] if groups else None
+        if last and last[1] + 1 == n and not text[last[0][2] : s[1]].strip() and part[0] == left and part[-1] == right:
             groups[-1].append((s, n))
         else:
             groups.append([(s, n)])
-    out, new, at, done = [], [], 0, 0
-    for g in groups:
-        first, last = g[0][0], g[-1][0]
-        piece = text[first[1] : first[2]] if len(g) == 1 else f"{text[first[1] : first[2]]}-{text[last[1] : last[2]]}"
-        out += [text[at : first[1]], piece]
-        done += first[1] - at
-        new.append((first[0] if len(g) == 1 else None, done, done + len(piece)))
-        done += len(piece)
-        at = last[2]
-    out.append(text[at:])
-    return "".join(out), new
+    changes = [(g[0][0][1], g[-1][0][2], f"{left}{g[0][1]}-{g[-1][1]}{right}") for g in groups if len(g) > 1]
+    outer = [(g[0][0][0] if len(g) == 1 else None, g[0][0][1], g[-1][0][2]) for g in groups]
+    new, (cites, rest) = replace(text, changes, [outer, list(others)], "merge")
+    return new, cites, rest
+
+
+_BRACKETS = re.compile(rf"{ROUND}|{SQUARE}")
 
 
 def split_merged(text: str, spans: Sequence[Span], index_of: dict[int, int]) -> list[Span]:
-    """Spans without index over several numbers, as `[5,6,7]`, become one for each number."""
+    """Spans without index in which brackets with numbers stand, as `Lamma et al. [5,6,7]`: one span for each number.
+
+    The first begins at the bracket, each ends behind its comma, the last with the bracket."""
     out: list[Span] = []
     for i, s, e in spans:
-        found = list(re.finditer(r"\d+", text[s:e]))
-        if i is None and len(found) > 1:
-            out += [(index_of.get(int(m[0])), s + m.start(), s + m.end()) for m in found]
-        else:
+        found = list(_BRACKETS.finditer(text, s, e)) if i is None else []
+        for m in found:
+            at, parts = m.start(), m[0].split(",")
+            for k, part in enumerate(parts):
+                end = at + len(part) + (k < len(parts) - 1)
+                out.append((index_of.get(numbers(part)[0]), at, end))
+                at = end
+        if not found:
             out.append((i, s, e))
-    return out
+    return sorted(out, key=lambda s: s[1])
 
 
-def drop_suspicious(text: str, spans: Sequence[Span], max_id: int, most: int = 100) -> list[Span]:
+def drop_suspicious(text: str, spans: Sequence[Span], max_id: int = 1000, most: int = 100) -> list[Span]:
     """Without spans that have no index and not exactly one number, or a number over max_id, or a range of `most` or more."""
 
     def fine(span: Span) -> bool:
         if span[0] is not None:
             return True
         part = text[span[1] : span[2]]
-        if m := _DASHED.search(part):
-            lo, hi = (int(x) for x in m.groups() if x is not None)
-            return hi <= max_id and hi - lo < most
-        n = numbers(part)
-        return len(n) == 1 and n[0] <= max_id
+        if not _DASHED.search(part):
+            return len(n := numbers(part)) == 1 and n[0] <= max_id
+        ends = [numbers(x) for x in part.split("-")]
+        return len(ends) == 2 and all(len(n) == 1 and n[0] <= max_id for n in ends) and ends[1][0] - ends[0][0] < most
 
     return [s for s in spans if fine(s)]
 
 
 def snap(text: str, spans: Sequence[Span], pattern: re.Pattern) -> list[Span]:
     """Spans take the bounds of the match that they overlap; of several, the first's start and the last's end."""
-    out = list(uncross(spans))
+    out = sorted(spans, key=lambda s: s[1])
     for m in pattern.finditer(text):
         hit = [k for k, s in enumerate(out) if overlap(s, m.span())]
         if hit:
@@ -285,18 +291,76 @@ def add_harvard(text: str, spans: Sequence[Span], resolve: Callable[[list[str],
     return sorted(known + new, key=lambda s: s[1])
 
 
-def enhance(text: str, spans: Sequence[Span], style_: str, n_bib: int, most: int = 100) -> tuple[str, list[Span]]:
-    """Spans of one text repaired by its document's style."""
-    out = list(uncross(spans))
+def enhance(text: str, spans: Sequence[Span], style_: str, index: dict[int, int], max_id: int = 1000, most: int = 100, plain: bool = True) -> tuple[str, list[Span]]:
+    """Spans of one text repaired by its document's style and its map of numbers to entries; ranges and lists of numbers in
+    plain texts only (those without a headline)."""
+    out = list(spans)
     if style_.startswith("VANCOUVER"):
-        one = [(numbers(text[s:e])[0], i) for i, s, e in out if i is not None and len(numbers(text[s:e])) == 1]
-        index = vancouver_map(one, True)
-        out = drop_suspicious(text, split_merged(text, out, index), n_bib, most)
-        text, out = expand_dashed(text, out, index, most)
+        out = drop_suspicious(text, out, max(max_id, *index, 0), most)
+        if plain:
+            text, out = expand_dashed(text, out, index)
+            out = split_merged(text, out, index)
     p = {"HARVARD": HARVARD, "VANCOUVER_PARENTHESIS": ROUND, "VANCOUVER_SQUARE_BRACKETS": SQUARE}.get(style_)
     return text, snap(text, out, re.compile(p)) if p else out
 
 
+def enhanced(leaves: DataFrame, interpolate: bool = True, max_id: int = 1000, most: int = 100) -> DataFrame:
+    """leaves (doc_id, path, headline, text, spans) with text and citation spans repaired by the whole document's style and
+    numbering; spans are arrays of (index, start, end). A document's leaves meet in one row of an aggregate."""
+    leaf = F.struct("path", "headline", "text", "spans")
+    docs = leaves.groupBy("doc_id").agg(F.array_sort(F.collect_list(leaf), lambda x, y: F.when(x["path"] < y["path"], -1).when(x["path"] > y["path"], 1).otherwise(0)).alias("leaves"))
+    styles = citation_style(leaves)
+    kind = "array<struct<path: array<int>, headline: string, text: string, spans: array<struct<index: int, start: int, end: int>>>>"
+
+    @F.pandas_udf(kind)
+    def run(own: pd.Series, styles: pd.Series) -> pd.Series:
+        out = []
+        for rows, style_ in zip(own, styles, strict=True):
+            each = [[(None if x["index"] is None else int(x["index"]), int(x["start"]), int(x["end"])) for x in (r["spans"] if r["spans"] is not None else [])] for r in rows]
+            texts = [r["text"] or "" for r in rows]
+            found = [(n[0], i) for t, own_ in zip(texts, each, strict=True) for i, s, e in own_ if i is not None and len(n := numbers(t[s:e])) == 1]
+            index = vancouver_map(found, interpolate)
+            new = [enhance(t, own_, style_ or "UNKNOWN", index, max_id, most, r["headline"] is None) for r, t, own_ in zip(rows, texts, each, strict=True)]
+            out.append([{"path": list(r["path"]), "headline": r["headline"], "text": t, "spans": [dict(zip(("index", "start", "end"), x, strict=True)) for x in found_]} for r, (t, found_) in zip(rows, new, strict=True)])
+        return pd.Series(out)
+
+    both = docs.join(styles, "doc_id", "left").select("doc_id", F.explode(run("leaves", "style")).alias("r"))
+    return both.select("doc_id", "r.*")
+
+
+def harvard_spans(leaves: DataFrame, bib: DataFrame) -> DataFrame:
+    """Leaves (doc_id, path, text, spans) of all documents with citations by name added and resolved, for those documents
+    whose style is by name; the others stay.
+
+    A citation that no span overlaps becomes a span if one entry of bib (doc_id, pos, title, year, authors) has such an
+    author and year; a span without entry that holds one citation takes its entry. One word of a name is enough."""
+    from quillspark.operators.bibliography import lookup
+
+    named = citation_style(leaves).where("style = 'HARVARD'").select("doc_id")
+    own = leaves.join(named, "doc_id", "left_semi")
+    hit = "array<struct<start: int, end: int, authors: array<string>, year: int>>"
+
+    @F.pandas_udf(hit)
+    def find(text: pd.Series) -> pd.Series:
+        return pd.Series([[dict(zip(("start", "end", "authors", "year"), h, strict=True)) for h in harvard_hits(t or "")] for t in text])
+
+    hits = own.select("doc_id", "path", "spans", F.explode(find("text")).alias("h"))
+    met = F.filter("spans", lambda x: (x["start"] < F.col("h.end")) & (F.col("h.start") < x["end"]))
+    hits = hits.select("doc_id", "path", "h.*", met.alias("met")).where("size(met) = 0 or exists(met, x -> x.index is null)")
+    ask = hits.withColumn("query_id", F.struct("doc_id", "path", "start")).withColumn("title", F.lit(None).cast("string"))
+    found = lookup(ask, bib, author_threshold=1e-9).where("pos is not null").select("query_id.*", F.col("pos").cast("int").alias("pos"))
+    known = hits.join(found, ["doc_id", "path", "start"]).groupBy("doc_id", "path").agg(F.collect_list(F.struct("start", "end", "pos", F.size("met").alias("met"))).alias("known"))
+    count = hits.where("size(met) > 0").groupBy("doc_id", "path").agg(F.collect_list(F.struct("start", "end")).alias("all"))
+    inside = lambda x, y: (x["start"] < y["end"]) & (y["start"] < x["end"])
+    entry = lambda x: F.get(F.filter("known", lambda y: inside(x, y) & (y["met"] > 0)), F.lit(0))["pos"]
+    alone = lambda x: F.size(F.filter("all", lambda y: inside(x, y))) == 1
+    old = F.transform("spans", lambda x: F.struct(F.when(x["index"].isNull() & alone(x), entry(x)).otherwise(x["index"]).alias("index"), x["start"].alias("start"), x["end"].alias("end")))
+    new = F.transform(F.filter("known", lambda y: y["met"] == 0), lambda y: F.struct(y["pos"].alias("index"), y["start"].alias("start"), y["end"].alias("end")))
+    none = F.array().cast(f"array<{SPAN}>")
+    both = F.array_sort(F.concat(F.coalesce(old, F.coalesce("spans", none)), F.coalesce(new, none)), lambda x, y: F.when(x["start"] < y["start"], -1).when(x["start"] > y["start"], 1).otherwise(0))
+    return leaves.join(known, ["doc_id", "path"], "left").join(count, ["doc_id", "path"], "left").withColumn("known", F.coalesce("known", F.array().cast("array<struct<start: int, end: int, pos: int, met: int>>"))).withColumn("all", F.coalesce("all", F.array().cast("array<struct<start: int, end: int>>"))).withColumn("spans", both).drop("known", "all").select(*leaves.columns)
+
+
 def kernel(f: Callable[[str, list[Span]], tuple[str, list[Span]]]) -> Callable[[Column, Column], Column]:
     """A pandas UDF on (text, array of spans) from a kernel that returns both."""
 
@@ -316,7 +380,7 @@ def group(spans: DataFrame, by: list[str], text: str = "text") -> DataFrame:
     """Spans with group_no: consecutive ones with only non-word characters between them belong together."""
     w = Window.partitionBy(*by).orderBy("start", "end")
     gap = F.substring(F.col(text), F.lag("end").over(w) + 1, F.greatest(F.col("start") - F.lag("end").over(w), F.lit(0)))
-    return spans.withColumn("__new", F.coalesce(gap.rlike(r"\w").cast("int"), F.lit(1))).withColumn("group_no", F.sum("__new").over(w)).drop("__new")
+    return spans.withColumn("__new", F.coalesce(gap.rlike(r"(?U)\w").cast("int"), F.lit(1))).withColumn("group_no", F.sum("__new").over(w)).drop("__new")
 
 
 def dehyphenate(text: str, accept: Callable[[str, str], bool]) -> list[tuple[int, int, str]]:

@@ -7,7 +7,7 @@ one more than their highest child.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -108,10 +108,98 @@ def under(nodes: DataFrame, tops: DataFrame, proper: bool) -> DataFrame:
     return own.join(tops.select("doc_id", F.col("path").alias("top")).distinct(), ["doc_id", "top"], "left_semi").select("doc_id", "path").distinct()
 
 
+def relabel(paths: Sequence[tuple[int, ...]], steps: Sequence[tuple[str, Sequence[bool], int]]) -> list[tuple[tuple[int, ...], int] | None]:
+    """New path and height of each node of a tree (paths in pre-order) after steps, in order; None for nodes that are gone.
+
+    Steps: ("fail", flags, h) drops subtrees whose top, not the root and of height h at least, is flagged, unless the root
+    is no higher than h; ("bare", flags, 0) drops nodes without a flagged node in their subtree, but for the root; ("leaf",
+    flags, 0) drops flagged nodes with all below. Siblings close up at the end; a height is that of what is left."""
+    live = list(range(len(paths)))
+
+    def high() -> list[int]:
+        deep: dict[tuple[int, ...], int] = {}
+        for k in reversed(live):
+            p = paths[k]
+            own = deep.setdefault(p, len(p))
+            if p:
+                deep[p[:-1]] = max(own, deep.get(p[:-1], 0))
+        return [deep[paths[k]] - len(paths[k]) for k in live]
+
+    for kind, flags, least in steps:
+        if not live:
+            break
+        tall = high() if kind == "fail" else []
+        if kind == "fail" and tall[0] <= least:
+            continue
+        if kind == "bare":
+            full = {paths[k][:n] for k in live if flags[k] for n in range(len(paths[k]) + 1)}
+            live = [k for k in live if not paths[k] or paths[k] in full]
+            continue
+        keep, gone = [], None
+        for i, k in enumerate(live):
+            p = paths[k]
+            if gone is not None and p[: len(gone)] == gone:
+                continue
+            gone = None
+            if p and flags[k] and (kind == "leaf" or tall[i] >= least):
+                gone = p
+            else:
+                keep.append(k)
+        live = keep
+    new: dict[tuple[int, ...], tuple[int, ...]] = {}
+    kids: dict[tuple[int, ...], int] = {}
+    out: list[tuple[tuple[int, ...], int] | None] = [None] * len(paths)
+    for k, h in zip(live, high(), strict=True):
+        p = paths[k]
+        if p:
+            i = kids.get(p[:-1], 0)
+            kids[p[:-1]] = i + 1
+            new[p] = (*new[p[:-1]], i)
+        else:
+            new[p] = ()
+        out[k] = (new[p], h)
+    return out
+
+
+def surgery(nodes: DataFrame, steps: Sequence[tuple[str, Column, int]], spans: DataFrame | None = None):
+    """NODES after steps (see relabel; flags are columns of nodes), and SPANS, if given, at the new places of their nodes.
+
+    A document's nodes are brought together once; only its paths and flags go through Python."""
+    flags = [F.coalesce(c, F.lit(False)).alias(f"__f{i}") for i, (_, c, _) in enumerate(steps)]
+    extra = [c for c in nodes.columns if c not in ("doc_id", "path", "height")]
+    docs = nodes.select("*", *flags).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("path", *[F.col(f"__f{i}") for i in range(len(steps))], F.struct(*extra).alias("__own"))), _by_path).alias("__n"))
+    kinds = [(kind, least) for kind, _, least in steps]
+
+    @F.pandas_udf("array<struct<path: array<int>, height: int>>")
+    def run(paths: pd.Series, flags: pd.Series) -> pd.Series:
+        out = []
+        for ps, fs in zip(paths, flags, strict=True):
+            own = [(kind, f, least) for (kind, least), f in zip(kinds, fs, strict=True)]
+            got = relabel([tuple(p.tolist()) for p in ps], own)
+            out.append([None if x is None else {"path": list(x[0]), "height": x[1]} for x in got])
+        return pd.Series(out)
+
+    flag = lambda i: F.transform("__n", lambda x: x[f"__f{i}"])
+    packed = F.array(*[flag(i) for i in range(len(steps))]) if steps else F.array().cast("array<array<boolean>>")
+    placed = docs.withColumn("__at", run(F.transform("__n", lambda x: x["path"]), packed))
+    each = placed.select("doc_id", F.explode(F.arrays_zip("__n", "__at")).alias("z")).where("z.__at is not null")
+    new = each.select("doc_id", F.col("z.__at.path").alias("path"), F.col("z.__at.height").alias("height"), "z.__n.__own.*")
+    if "depth" in nodes.columns:
+        new = new.withColumn("depth", F.size("path"))
+    new = new.select(*nodes.columns)
+    if spans is None:
+        return new
+    moves = each.select("doc_id", F.col("z.__n.path").alias("path"), F.col("z.__at.path").alias("__new"))
+    return new, spans.join(moves, ["doc_id", "path"]).withColumn("path", F.col("__new")).select(*spans.columns)
+
+
+def _by_path(x: Column, y: Column) -> Column:
+    return F.when(x["path"] < y["path"], -1).when(x["path"] > y["path"], 1).otherwise(0)
+
+
 def heights(nodes: DataFrame) -> DataFrame:
-    """Nodes with height recomputed from depths: that of the deepest descendant less one's own."""
-    deep = nodes.select("doc_id", "depth", F.explode(F.concat(F.when(F.col("depth") > 0, ancestors(F.col("path"))).otherwise(F.array().cast("array<array<int>>")), F.array("path"))).alias("path")).groupBy("doc_id", "path").agg(F.max("depth").alias("deep"))
-    return nodes.drop("height").join(deep, ["doc_id", "path"]).withColumn("height", F.col("deep") - F.col("depth")).drop("deep").select(*nodes.columns)
+    """Nodes with heights, and siblings numbered from 0, as they are now."""
+    return surgery(nodes, [])
 
 
 def pre_order(nodes: DataFrame) -> DataFrame:
@@ -153,70 +241,83 @@ def get_part(nodes: DataFrame, pattern: str, most: int | None = None, min_depth:
     return free.withColumn("__r", F.row_number().over(Window.partitionBy("doc_id").orderBy("path"))).where(F.col("__r") <= most).drop("__r")
 
 
-def reindex(nodes: DataFrame) -> DataFrame:
-    """Paths made dense again after siblings were removed: each step becomes the rank among the siblings that are left."""
-    kids = nodes.where("depth > 0").withColumn("__p", parent(F.col("path")))
-    rank = kids.select("doc_id", F.col("path").alias("__a"), (F.row_number().over(Window.partitionBy("doc_id", "__p").orderBy("path")) - 1).alias("__i"))
-    steps = nodes.where("depth > 0").select("doc_id", "path", F.explode(F.concat(F.slice(ancestors(F.col("path")), 2, 10_000), F.array("path"))).alias("__a")).join(rank, ["doc_id", "__a"])
-    new = steps.groupBy("doc_id", "path").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.size("__a").alias("d"), "__i"))), lambda x: x["__i"]).alias("__new"))
-    return nodes.join(new, ["doc_id", "path"], "left").withColumn("path", F.coalesce("__new", F.array().cast("array<int>"))).drop("__new").select(*nodes.columns)
+def remove(nodes: DataFrame, paths: DataFrame, spans: DataFrame | None = None):
+    """Nodes (and spans) without the subtrees at paths (doc_id, path); siblings close up and heights follow."""
+    marked = nodes.join(paths.select("doc_id", "path", F.lit(True).alias("__x")).distinct(), ["doc_id", "path"], "left")
+    left = surgery(marked, [("leaf", F.col("__x"), 0)], spans)
+    return left.drop("__x") if spans is None else (left[0].drop("__x"), left[1])
 
 
-def remove(nodes: DataFrame, paths: DataFrame) -> DataFrame:
-    """Nodes without the subtrees at paths (doc_id, path); siblings close up and heights follow."""
-    return heights(reindex(nodes.join(under(nodes, paths, proper=False), ["doc_id", "path"], "left_anti")))
+def _moved(df: DataFrame, spot: DataFrame) -> DataFrame:
+    n = F.size("__at")
+    moves = (F.size("path") >= n) & (F.slice("path", F.lit(1), n - 1) == F.slice("__at", F.lit(1), n - 1)) & (F.get("path", n - 1) >= F.get("__at", n - 1))
+    moved = F.transform("path", lambda x, i: F.when(i == n - 1, x + 1).otherwise(x))
+    return df.join(spot, "doc_id", "left").withColumn("path", F.when(F.coalesce(moves, F.lit(False)), moved).otherwise(F.col("path"))).drop("__at")
 
 
-def insert(nodes: DataFrame, subtree: DataFrame, at: DataFrame) -> DataFrame:
-    """Nodes with subtree (NODES, rooted at []) put in at the paths of `at` (doc_id, path); later siblings move on."""
+def insert(nodes: DataFrame, subtree: DataFrame, at: DataFrame, spans: DataFrame | None = None, sub_spans: DataFrame | None = None):
+    """Nodes with subtree (NODES, rooted at []) put in at the paths of `at` (doc_id, path); later siblings move on. With
+    spans and sub_spans, the spans of both at their new places."""
+    spot = at.select("doc_id", F.col("path").alias("__at"))
+    put = lambda df: df.join(spot, "doc_id").withColumn("path", F.concat("__at", "path")).drop("__at")
+    both = _moved(nodes, spot).unionByName(put(subtree)).withColumn("depth", F.size("path"))
+    every = None if spans is None else _moved(spans, spot) if sub_spans is None else _moved(spans, spot).unionByName(put(sub_spans))
+    return surgery(both, [], every)
+
+
+def cut(nodes: DataFrame, at: DataFrame, spans: DataFrame | None = None):
+    """The subtrees at paths (doc_id, path), one a document, rooted at []; with spans, theirs too."""
     spot = at.select("doc_id", F.col("path").alias("__at"))
-    n = F.size("__at")
-    moves = (F.size("path") >= n) & (F.slice("path", F.lit(1), n - 1) == F.slice("__at", F.lit(1), n - 1)) & (F.element_at("path", n) >= F.element_at("__at", n))
-    moved = F.transform("path", lambda x, i: F.when(i == n - 1, x + 1).otherwise(x))
-    old = nodes.join(spot, "doc_id", "left").withColumn("path", F.when(F.coalesce(moves, F.lit(False)), moved).otherwise(F.col("path"))).drop("__at")
-    new = subtree.join(spot, "doc_id").withColumn("path", F.concat("__at", "path")).withColumn("depth", F.size("path")).drop("__at")
-    return heights(old.unionByName(new))
 
+    def below(df: DataFrame) -> DataFrame:
+        own = df.join(spot, "doc_id").where(F.slice("path", F.lit(1), F.size("__at")) == F.col("__at"))
+        return own.withColumn("path", F.slice("path", F.size("__at") + 1, F.greatest(F.size("path"), F.lit(1)))).drop("__at")
 
-def prune(nodes: DataFrame, keep: Column, min_height: int = 0) -> DataFrame:
-    """Nodes without subtrees whose top, of at least min_height by the original heights, fails `keep`; the root stays.
+    own = below(nodes).withColumn("depth", F.size("path"))
+    return own if spans is None else (own, below(spans))
+
+
+def prune(nodes: DataFrame, keep: Column, min_height: int = 0, spans: DataFrame | None = None):
+    """Nodes (and spans) without subtrees whose top, of at least min_height by the original heights, fails `keep`; the root
+    stays.
 
     Nothing happens to a document whose root is no higher than min_height."""
-    low = nodes.where((F.col("depth") == 0) & (F.col("height") <= min_height)).select("doc_id")
-    bad = nodes.where((F.col("depth") > 0) & (F.col("height") >= min_height) & ~F.coalesce(keep, F.lit(False))).join(low, "doc_id", "left_anti")
-    return remove(nodes, bad)
+    return surgery(nodes, [("fail", ~F.coalesce(keep, F.lit(False)), min_height)], spans)
 
 
-def prune_empty_headlines(nodes: DataFrame, min_height: int = 2) -> DataFrame:
-    return prune(nodes, F.col("headline") != "", min_height)
+def prune_empty_headlines(nodes: DataFrame, min_height: int = 2, spans: DataFrame | None = None):
+    return prune(nodes, F.col("headline") != "", min_height, spans)
 
 
-def prune_by_script(nodes: DataFrame, coverage: float, min_height: int = 2, share: Column | None = None) -> DataFrame:
+def prune_by_script(nodes: DataFrame, coverage: float, min_height: int = 2, share: Column | None = None, spans: DataFrame | None = None):
     """Keeps headlines of which at least `coverage` are plain Latin letters (or what `share` says)."""
-    return prune(nodes, (T.latin_share(F.col("headline")) if share is None else share) >= coverage, min_height)
+    return prune(nodes, (T.latin_share(F.col("headline")) if share is None else share) >= coverage, min_height, spans)
 
 
-def prune_textless(nodes: DataFrame) -> DataFrame:
+def prune_textless(nodes: DataFrame, spans: DataFrame | None = None):
     """Nodes with text somewhere below; the root stays."""
-    full = nodes.where(F.length("text") > 0)
-    live = full.select("doc_id", F.explode(F.concat(F.when(F.col("depth") > 0, ancestors(F.col("path"))).otherwise(F.array().cast("array<array<int>>")), F.array("path"))).alias("path")).distinct()
-    kept = nodes.join(live, ["doc_id", "path"], "left_semi").unionByName(nodes.where("depth = 0").join(live, ["doc_id", "path"], "left_anti"))
-    return heights(reindex(kept))
+    return surgery(nodes, [("bare", F.length("text") > 0, 0)], spans)
+
+
+def _named(names: list[str]) -> Column:
+    return F.col("text").isNotNull() & F.lower("headline").isin([n.lower() for n in names])
 
 
-def prune_named_text(nodes: DataFrame, names: list[str]) -> DataFrame:
+def prune_named_text(nodes: DataFrame, names: list[str], spans: DataFrame | None = None):
     """Without text leaves whose lower-case headline is one of names."""
-    bad = nodes.where(F.col("text").isNotNull() & (F.col("depth") > 0) & F.lower("headline").isin([n.lower() for n in names]))
-    return remove(nodes, bad)
+    return surgery(nodes, [("leaf", _named(names), 0)], spans)
 
 
-def prune_all(nodes: DataFrame, coverage: float | None = None, names: list[str] | None = None) -> DataFrame:
-    """Empty headlines, then foreign ones, then text-less parts, then named blocks."""
-    out = prune_empty_headlines(nodes)
+def prune_all(nodes: DataFrame, coverage: float | None = None, names: list[str] | None = None, spans: DataFrame | None = None):
+    """Empty headlines, then foreign ones, then text-less parts, then named blocks, all in one pass over each document."""
+    headline = F.coalesce("headline", F.lit(""))
+    steps = [("fail", headline == "", 2)]
     if coverage is not None:
-        out = prune_by_script(out, coverage)
-    out = prune_textless(out)
-    return prune_named_text(out, names) if names else out
+        steps.append(("fail", T.latin_share(headline) < coverage, 2))
+    steps.append(("bare", F.length("text") > 0, 0))
+    if names:
+        steps.append(("leaf", _named(names), 0))
+    return surgery(nodes, steps, spans)
 
 
 def abstract(nodes: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from quillspark.operators import bibliography as B
 from quillspark.operators import dedup, filters, tree
 from quillspark.operators import ids as I  # noqa: E741
 from quillspark.operators.search import search
+from quillspark.operators.spans import harvard_spans
+from quillspark.schema import SPAN
 from quillspark.sources import readers
 
 _SERIAL = r"\W*(?:(?:[0-9]+|[ivx]+|[a-z])(?:\.[0-9a-z]+)*[.:)]?\s+)?"
@@ -55,22 +57,25 @@ def related_work(nodes: DataFrame, spans: DataFrame, bib: DataFrame, available:
     """Targets cut out of documents that also have an abstract with text.
 
     `sections` (doc_id, path), `rest` (NODES without them, the abstract first), `target` (NODES of the sections, rooted),
-    `citations` (doc_id, citations: resolved ids cited in the section that are available (id)), `references` (id)."""
+    `rest_spans` and `target_spans` (SPANS at their nodes' new places), `citations` (doc_id, citations: resolved ids cited
+    in the section that are available (id)), `references` (id)."""
     abstracts = tree.abstract(nodes).select("doc_id", F.col("path").alias("__a"))
     at = related_work_sections(nodes).join(abstracts.select("doc_id"), "doc_id", "left_semi")
     own = nodes.join(at.select("doc_id").distinct(), "doc_id", "left_semi")
-    cut = F.slice("path", 2, 10_000)
-    target = own.join(at.withColumnRenamed("path", "__at"), "doc_id").where(F.slice("path", 1, 1) == F.col("__at")).withColumn("path", cut).withColumn("depth", F.col("depth") - 1).drop("__at")
+    target, target_spans = tree.cut(own, at, spans)
     inside = spans.where("kind = 'cit'").join(at.withColumnRenamed("path", "__at"), "doc_id").where(F.slice("path", 1, 1) == F.col("__at"))
     ids = inside.join(bib.where("id is not null").select("doc_id", F.col("pos").alias("index"), "id"), ["doc_id", "index"]).join(available.select("id").distinct(), "id", "left_semi")
     cites = at.select("doc_id").join(ids.groupBy("doc_id").agg(F.array_sort(F.collect_set("id")).alias("citations")), "doc_id", "left").withColumn("citations", F.coalesce("citations", F.array().cast("array<bigint>")))
-    moved = own.join(abstracts, "doc_id")
     head, first = F.get("path", F.lit(0)), F.get("__a", F.lit(0))
     place = F.when(head == first, F.lit(0)).when(head < first, head + 1).otherwise(head)
-    moved = moved.withColumn("path", F.when(F.size("path") > 0, F.concat(F.array(place), F.slice("path", 2, 10_000))).otherwise(F.col("path"))).drop("__a")
-    at2 = at.join(abstracts, "doc_id").select("doc_id", F.when(F.get("path", F.lit(0)) < first, F.array(F.get("path", F.lit(0)) + 1)).otherwise(F.col("path")).alias("path"))
+
+    def fronted(df: DataFrame) -> DataFrame:
+        rest = F.concat(F.array(place), F.slice("path", F.lit(2), F.greatest(F.size("path") - 1, F.lit(0))))
+        return df.join(abstracts, "doc_id").withColumn("path", F.when(F.size("path") > 0, rest).otherwise(F.col("path"))).drop("__a")
+
+    kept, kept_spans = tree.remove(fronted(own), fronted(at), fronted(spans.join(at.select("doc_id"), "doc_id", "left_semi")))
     refs = bib.join(at.select("doc_id"), "doc_id", "left_semi").where("id is not null").select("id").distinct().join(available.select("id"), "id", "left_semi")
-    return {"sections": at, "rest": tree.remove(moved, at2), "target": target, "citations": cites, "references": refs}
+    return {"sections": at, "rest": kept, "rest_spans": kept_spans, "target": target, "target_spans": target_spans, "citations": cites, "references": refs}
 
 
 def related_work_filter(reference_filter: DataFrame, targets: DataFrame, target_filter) -> DataFrame:
@@ -81,16 +86,47 @@ def related_work_filter(reference_filter: DataFrame, targets: DataFrame, target_
     return I.keep_ids(cut, ok)
 
 
-def back_from_related_work(rest: DataFrame, target: DataFrame, at: DataFrame, bib: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """NODES with the sections put back in, and citations from the whole bibliography."""
-    return tree.insert(rest, target, at), B.citations(bib)
+def back_from_related_work(rest: DataFrame, target: DataFrame, at: DataFrame, bib: DataFrame, rest_spans: DataFrame, target_spans: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """NODES and SPANS with the sections put back in, and citations from the whole bibliography."""
+    return *tree.insert(rest, target, at, rest_spans, target_spans), B.citations(bib)
+
+
+def back_to_related_work(nodes: DataFrame, at: DataFrame, spans: DataFrame) -> dict[str, DataFrame]:
+    """`rest` and `rest_spans` without the sections at known paths (doc_id, path), `target` and `target_spans` of them."""
+    target, inside = tree.cut(nodes, at, spans)
+    rest, left = tree.remove(nodes, at, spans)
+    return {"rest": rest, "rest_spans": left, "target": target, "target_spans": inside}
+
+
+def pruned(nodes: DataFrame, spans: DataFrame, bib: DataFrame, coverage: float | None = None, names: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """NODES, SPANS and bibliography after pruning: documents without text go, and what refers to them loses its id."""
+    left, moved = tree.prune_all(nodes, coverage, names, spans)
+    full = filters.passing(tree.has_text(left).withColumnRenamed("has_text", "passed"))
+    gone = nodes.where("depth = 0").select("doc_id").join(full, "doc_id", "left_anti").select(F.col("doc_id").alias("id"), F.lit(True).alias("__gone"))
+    cut_ = bib.join(full, "doc_id", "left_semi").join(gone, "id", "left").withColumn("id", F.when(F.col("__gone").isNull(), F.col("id"))).select(*bib.columns)
+    return left.join(full, "doc_id", "left_semi"), moved.join(full, "doc_id", "left_semi"), cut_
+
+
+def identified_spans(leaves: DataFrame, bib: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Leaves with citations by name added and resolved, and (doc_id, growth): how many more spans have an entry."""
+    new = harvard_spans(leaves, bib)
+    n = lambda df: df.groupBy("doc_id").agg(F.sum(F.size(F.filter("spans", lambda x: x["index"].isNotNull()))).alias("n"))
+    grown = n(new).join(n(leaves).withColumnRenamed("n", "old"), "doc_id").select("doc_id", (F.col("n") - F.col("old")).alias("growth"))
+    return new, grown
+
+
+def with_spans(nodes: DataFrame, spans: DataFrame) -> DataFrame:
+    """Leaves (doc_id, path, headline, text, spans) of NODES and citation SPANS."""
+    own = F.array_sort(F.collect_list(F.struct("pos", "index", "start", "end")))
+    rows = spans.where("kind = 'cit'").groupBy("doc_id", "path").agg(F.transform(own, lambda x: F.struct(x["index"].alias("index"), x["start"].alias("start"), x["end"].alias("end"))).alias("spans"))
+    return nodes.where("text is not null").join(rows, ["doc_id", "path"], "left").select("doc_id", "path", "headline", "text", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
 
 
-def back_to_related_work(nodes: DataFrame, at: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """NODES without the sections at known paths (doc_id, path), and the sections."""
-    cut = nodes.join(at.withColumnRenamed("path", "__at"), "doc_id").where(F.slice("path", F.lit(1), F.size("__at")) == F.col("__at"))
-    target = cut.withColumn("path", F.slice("path", F.size("__at") + 1, F.lit(10_000))).withColumn("depth", F.size("path")).drop("__at")
-    return tree.remove(nodes, at), target
+def without_spans(leaves: DataFrame, nodes: DataFrame, spans: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """NODES and SPANS with the texts and citation spans of leaves."""
+    new = leaves.select("doc_id", "path", F.posexplode("spans").alias("pos", "s")).select("doc_id", "path", F.lit("cit").alias("kind"), "pos", "s.*")
+    both = nodes.drop("text").join(leaves.select("doc_id", "path", "text"), ["doc_id", "path"], "left").select(*nodes.columns)
+    return both, spans.where("kind <> 'cit'").unionByName(new.select(*spans.columns))
 
 
 def extend(first: DataFrame, second: DataFrame, order: str, **how) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 
@@ -24,3 +27,18 @@ def local(cores: int | str = "*", partitions: int = 8, memory: str = "8g", **con
     b = SparkSession.builder.master(f"local[{cores}]").appName("quillspark")
     own = {"spark.sql.shuffle.partitions": str(partitions), "spark.driver.memory": memory, "spark.ui.enabled": "false", "spark.sql.session.timeZone": "UTC", "spark.ui.showConsoleProgress": "false"}
     return attach(b.config(map=own | conf).getOrCreate())
+
+
+def reliable(df: DataFrame) -> DataFrame:
+    """df computed once and checkpointed in the folder that the cluster names in spark.checkpoint.dir, so that it outlives
+    executors. Where none is named, a folder of our own, on a local master only."""
+    spark = df.sparkSession
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            if not spark.sparkContext.master.startswith("local["):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            named = tempfile.mkdtemp(prefix="quill-checkpoint")
+            atexit.register(shutil.rmtree, named, True)
+        spark.sparkContext.setCheckpointDir(named)
+    return df.checkpoint()

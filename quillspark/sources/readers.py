@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
+from pyspark.sql.types import _parse_datatype_string
 
 from quillspark.functions import text as T
 from quillspark.operators import ids as I  # noqa: E741
@@ -29,16 +31,31 @@ SCOPUS = "`dc:title` string, `prism:coverDate` string, `dc:creator` string"
 
 
 def json_lines(spark: SparkSession, path: str, schema: str = DOCUMENT) -> DataFrame:
-    """Rows of JSON lines, gzip or not; blank lines are skipped. Gzip can't be split: repartition afterwards where files are large."""
-    return spark.read.schema(schema).json(path)
+    """Rows of JSON lines, gzip or not; blank lines are skipped. Gzip can't be split: repartition afterwards where files are large.
+
+    A column `extra` gets the keys that the schema doesn't have, as a JSON object (null if there are none)."""
+    own = _parse_datatype_string(schema)
+    if "extra" not in own.names:
+        return spark.read.schema(schema).json(path)
+    known = [f for f in own.fields if f.name != "extra"]
+    line = F.from_json("value", T_.StructType(known))
+    every = F.from_json("value", "map<string, string>")
+    raw = F.map_filter("__all", lambda k, v: ~k.isin([f.name for f in known]))
+    quoted = F.transform(F.map_entries(raw), lambda e: F.concat(F.regexp_replace(F.to_json(F.array(e["key"])), r"^\[|\]$", ""), F.lit(":"), F.coalesce(F.when(e["value"].rlike(r"^(?:[\[{].*|-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false)$"), e["value"]).otherwise(F.regexp_replace(F.to_json(F.array(e["value"])), r"^\[|\]$", "")), F.lit("null"))))
+    rows = spark.read.text(path).where("trim(value) <> ''").select(line.alias("__r"), every.alias("__all"), "value")
+    extra = F.when(F.size(raw) > 0, F.concat(F.lit("{"), F.array_join(quoted, ","), F.lit("}")))
+    return rows.select("__r.*", extra.alias("extra")).select(*own.names)
 
 
 def numbered(df: DataFrame) -> DataFrame:
-    """df with row_pos, its position in file order: offsets of partitions plus positions in them, no single-task sort."""
-    own = df.withColumn("__m", F.monotonically_increasing_id())
-    part, within = F.shiftright("__m", 33), F.col("__m").bitwiseAND((1 << 33) - 1)
-    before = own.groupBy(part.alias("__p")).agg(F.count("*").alias("__n")).withColumn("__before", F.sum("__n").over(Window.orderBy("__p")) - F.col("__n"))
-    return own.withColumn("__p", part).join(F.broadcast(before), "__p").withColumn("row_pos", F.col("__before") + within).drop("__m", "__p", "__n", "__before")
+    """df, read from files, with row_pos, its position in the order of paths and of rows in them. No single-task sort.
+
+    Spark deals out files by size, so each block of a file is placed by its path and offset; ids within a block follow
+    each other in the task that reads it."""
+    own = df.select("*", F.col("_metadata.file_path").alias("__f"), F.col("_metadata.file_block_start").alias("__s"), F.monotonically_increasing_id().alias("__m"))
+    blocks = own.groupBy("__f", "__s").agg(F.count("*").alias("__n"), F.min("__m").alias("__first"))
+    before = blocks.withColumn("__before", F.sum("__n").over(Window.orderBy("__f", "__s")) - F.col("__n")).drop("__n")
+    return own.join(before, ["__f", "__s"]).withColumn("row_pos", F.col("__before") + F.col("__m") - F.col("__first")).drop("__f", "__s", "__m", "__before", "__first")
 
 
 def by_ids(df: DataFrame, ids: DataFrame) -> DataFrame:
@@ -79,9 +96,13 @@ def papers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def citation_graph(spark: SparkSession, path: str) -> DataFrame:
-    """(citing, cited) of one JSON object {"citing": [cited, ...]}."""
-    graph = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string, array<bigint>>").alias("g"))
-    return graph.select(F.explode("g").alias("citing", "c")).select(F.col("citing").cast("bigint").alias("citing"), F.explode("c").alias("cited"))
+    """(citing, cited) of JSON objects {"citing": [cited, ...], ...}, whether in one line or over many.
+
+    The files are read in parts that end with a list, so that one large object is spread over tasks."""
+    parts = spark.read.option("lineSep", "]").text(path)
+    key, list_ = F.regexp_extract("value", r'"(-?\d+)"\s*:\s*\[', 1), F.regexp_extract("value", r'"\s*:\s*\[([^\[]*)$', 1)
+    each = parts.select(key.try_cast("bigint").alias("citing"), F.explode(F.split(list_, ",")).alias("c"))
+    return each.select("citing", F.trim(F.regexp_replace("c", r"\s", "")).try_cast("bigint").alias("cited")).where("citing is not null and cited is not null")
 
 
 def mag(spark: SparkSession, path: str) -> DataFrame:

@@ -5,16 +5,33 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as T
 from quillspark.operators import ids as I  # noqa: E741
 
 
+#: Columns that hold trees as JSON text, and unknown keys of a document as a JSON object.
+TREES, EXTRA = ("hierarchy", "related_work"), "extra"
+
+
 def as_json(df: DataFrame) -> DataFrame:
-    """One column `value`: each row as compact JSON; null fields are kept."""
-    return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    """One column `value`: each row as compact JSON. Null fields are kept, trees are objects, extra keys come last."""
+    plain = [F.col(f"`{c}`") for c in df.columns if c not in (*TREES, EXTRA)]
+    value = F.to_json(F.struct(*plain), {"ignoreNullFields": "false"})
+    for c in df.columns:
+        if c in TREES:
+            value = F.concat(_open(value), F.lit(f',"{c}":'), F.coalesce(F.col(c), F.lit("null")), F.lit("}"))
+    if EXTRA in df.columns:
+        more = F.trim(F.col(EXTRA))
+        value = F.when(F.coalesce(F.length(more), F.lit(0)) > 2, F.concat(_open(value), F.lit(","), F.substring(more, 2, 1 << 30))).otherwise(value)
+    return df.select(value.alias("value"))
+
+
+def _open(value: Column) -> Column:
+    """A JSON object without its last brace."""
+    return F.regexp_replace(value, r"\}$", "")
 
 
 def from_json(df: DataFrame, schema: str, column: str = "value") -> DataFrame:
@@ -22,7 +39,8 @@ def from_json(df: DataFrame, schema: str, column: str = "value") -> DataFrame:
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "error") -> None:
-    df.write.mode(mode).option("ignoreNullFields", "false").json(path)
+    """JSON lines that any reader of the format understands: see as_json."""
+    as_json(df).write.mode(mode).text(path)
 
 
 def write_indexed(rows: Iterable[tuple[int, dict]], path: str) -> None:

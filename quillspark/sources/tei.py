@@ -9,15 +9,17 @@ import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspark.operators.ids import dense_ids
 from quillspark.operators.spans import corpus_joins, rejoin, sentences
 from quillspark.schema import BIB
+from quillspark.session import reliable
 
 NS = "{http://www.tei-c.org/ns/1.0}"
 XML_ID = "{http://www.w3.org/XML/1998/namespace}id"
-_TITLE = re.compile(r"\W?\s*\b(?:arxiv|corr|doi|math|archive number)\W{0,3}\s*(?:abs/|pr/|number)?\W{0,2}\s*[0-9].*$", re.I | re.S)
+_TITLE = re.compile(r"\W?\s*(?:archive number|arxiv|corr|doi|math)[.,:]?\s*(?:abs/|pr/|number)?\s*[0-9].*", re.I)
 
 
 def year_of(date: str | None, now: int | None = None) -> int | None:
@@ -165,11 +167,17 @@ def _parse_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out.assign(year=out["year"].astype("Int32"))
 
 
-def directory(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of all .xml files below path that parse and have a title and an author; id is their rank by path."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.xml").load(path).select("path", "content")
+def documents(files: DataFrame) -> DataFrame:
+    """Documents of XML files (path, content) that parse and have a title and an author."""
     joins = corpus_joins(files.mapInPandas(_paragraphs, "path string, text string"), "path")
-    own = files.join(joins, "path", "left").mapInPandas(_parse_all, COLUMNS)
-    # paths are narrow and few beside texts; numbering them is the only ordered step
-    nth = own.select("path").withColumn("id", (F.row_number().over(Window.orderBy("path")) - 1).cast("bigint"))
-    return own.join(nth, "path")
+    return files.select("path", "content").join(joins, "path", "left").mapInPandas(_parse_all, COLUMNS)
+
+
+def directory(spark: SparkSession, path: str) -> DataFrame:
+    """Documents of all .xml files below path that parse and have a title and an author; id is their rank by path.
+
+    Files are parsed once, into a checkpoint; only paths are numbered."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.xml").load(path)
+    own = reliable(documents(files.select("path", "content")))
+    nth = dense_ids(own.select(F.col("path").alias("id")))
+    return own.join(nth.select(F.col("old").alias("path"), F.col("new").alias("id")), "path")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quillspark.functions import similarity as M
 from quillspark.functions import text as T
 from quillspark.operators import bibliography as B
-from quillspark.operators import filters, multilevel, search, spans, tree
+from quillspark.operators import dedup, filters, multilevel, search, spans, tree
 from quillspark.operators import ids as I  # noqa: E741
 from quillspark.plans import jobs
 from quillspark.sources import readers, sinks, tei
@@ -22,7 +22,12 @@ def test_normalize(spark):
     n = T.normalize_string(F.col("s"))
     assert one(spark, n, s="Žluťoučký  kůň-2011 Timmermann") == "zlutoucky kun 201 timerman"
     assert one(spark, n, s="日本") == "日本"
-    assert one(spark, T.clean_title(F.col("s")), s="A study. arXiv:1234.5 [cs]") == "A study"
+    for raw, clean in {
+        "A study. arXiv:1234.5 [cs]": "A study", "Waves of light, CoRR, abs/1505.1": "Waves of light", "Random maps, math.PR/1506.03806. [47] , more": "Random maps", "Fever in civets, Archive Number: 2012.1. Mail": "Fever in civets",
+        "A map Doi: 10.1109/X. 58. Another, with words": "A map", "What doi means and where": "What doi means and where", "Model 3.0 of 122.333": "Model 3.0 of 122.333", "Aftermath 2": "After", "é DOI 10.1": "é", "x math 5\ny": "x\ny",
+    }.items():
+        assert one(spark, T.clean_title(F.col("s")), s=raw) == clean
+    assert one(spark, n, s="Щедрая Юность") == "shchedraia iunost " and one(spark, n, s="Ψυχή και ΘΕΟΣ") == "psukhe kai theos"
     assert one(spark, T.dedup_authors(F.array(F.lit("J. Doe"), F.lit("Doe J"), F.lit("Ann Lee"))), s="") == ["J. Doe", "Ann Lee"]
 
 
@@ -74,13 +79,24 @@ def test_similar_sets_are_complete(spark, t):
 
 
 def test_spans():
-    assert spans.expand_dashed("a [3-5] b [1]-[2]", [(None, 2, 7)], {3: 0, 1: 9})[0] == "a [3][4][5] b [1][2]"
+    text, own = spans.expand_dashed("a [3-5] b [1]-[2] (7-9) [1-2]", [(None, 2, 7), (9, 10, 13), (0, 14, 17)], {3: 0, 1: 9})
+    assert text == "a [3][4][5] b [1][2] (7-9) [1-2]" and own == [(0, 2, 5), (None, 5, 8), (None, 8, 11), (9, 14, 17), (None, 17, 20)]
+    assert spans.expand_dashed("war (1990-1995) [2-4]", [(None, 4, 15)], {}) == ("war (1990-1995) [2-4]", [(None, 4, 15)])
+    for spaced in ("(3) - (5)", "(3)-(5)"):
+        assert spans.expand_dashed(f"x {spaced}.", [(None, 2, 5)], {4: 1})[0] == "x (3)(4)(5)."
+    back, cites, refs = spans.merge_dashed("x [7] [1][2][3] y [5][4] z", [(6, 2, 5), (0, 6, 9), (1, 9, 12), (2, 12, 15), (4, 18, 21), (3, 21, 24)], [(None, 16, 17), (0, 25, 26)])
+    assert back == "x [7] [1-3] y [5][4] z" and cites == [(6, 2, 5), (None, 6, 11), (4, 14, 17), (3, 17, 20)] and refs == [(None, 12, 13), (0, 21, 22)]
+    assert spans.merge_dashed("(1)(2) 3 4", [(0, 0, 3), (1, 3, 6), (2, 7, 8), (None, 7, 10)], (), False) == ("(1-2) 3 4", [(None, 0, 5), (2, 6, 7)], [])
     text, own, _ = spans.normalize("x [1] y", [(3, 2, 5)], [])
     assert text == "x [CITE:3] y" and own == [(3, 2, 10)]
     assert spans.fix_boundaries("see (Doe, 2001 ) now", [(1, 4, 14)]) == [(1, 4, 16)]
     assert spans.uncross([(1, 0, 9), (2, 5, 12)]) == [(1, 0, 5), (2, 5, 12)]
     assert spans.vancouver_map([(1, 0), (4, 3)], True) == {1: 0, 2: 1, 3: 2, 4: 3}
-    assert spans.split_merged("[5,6]", [(None, 0, 5)], {5: 4}) == [(4, 1, 2), (None, 3, 4)]
+    assert spans.vancouver_map([(1, 0), (1, 5), (4, 8), (6, 9)], True) == {1: 5, 2: 6, 3: 7, 4: 8, 6: 9}
+    assert spans.split_merged("As in [5, 6] and", [(None, 0, 12), (2, 13, 16)], {5: 4}) == [(4, 6, 9), (None, 9, 12), (2, 13, 16)]
+    assert spans.split_merged("no list 5,6", [(None, 0, 11)], {5: 4}) == [(None, 0, 11)]
+    assert spans.drop_suspicious("[1-300] [1-3] [2-2000] x y", [(None, 0, 7), (None, 8, 13), (None, 14, 22), (None, 23, 24), (0, 25, 26)]) == [(None, 8, 13), (0, 25, 26)]
+    assert spans.snap("see (Doe, 2001) and", [(1, 5, 8), (2, 10, 13)], __import__("re").compile(spans.HARVARD)) == [(1, 4, 8), (2, 10, 15)]
     assert spans.drop_suspicious("[99] [1]", [(None, 0, 4), (None, 5, 8)], 10) == [(None, 5, 8)]
     assert spans.add_harvard("As (Doe, 2001) and Lee (1999) say", [(None, 3, 14)], lambda a, y: {2001: 0, 1999: 1}[y]) == [(0, 3, 14), (1, 19, 29)]
     with pytest.raises(ValueError):
@@ -123,6 +139,190 @@ def test_tree(nodes):
     assert filters.has_headline(nodes, "2 Rel", 1, 1, 1).first().passed
 
 
+TREE = {"headline": "T", "content": [
+    {"headline": "", "content": [section("Lost", "gone [1]"), section("Lost too", "more")]},
+    {"headline": "2 Kept", "content": [section("2.1 Sub", "kept [2] text"), {"headline": "Void", "content": []}, section("Метод", "x [3]"), {"headline": "figure", "content": {"text": "fig", "citations": [], "references": [{"index": 0, "start": 0, "end": 3}]}}]},
+    section("Abstract", "short [4]"), section("3 Related Work", "as said [5]"), section("4 End", "end [6]"),
+]}
+
+
+@pytest.fixture(scope="module")
+def cited(spark):
+    """Nodes and spans of a tree whose texts cite `[n]` with index n."""
+
+    def mark(t):
+        import re
+
+        if isinstance(t["content"], dict):
+            t["content"]["citations"] = [{"index": int(m[1]), "start": m.start(), "end": m.end()} for m in re.finditer(r"\[(\d)\]", t["content"]["text"])]
+        else:
+            for c in t["content"]:
+                mark(c)
+        return t
+
+    docs = spark.createDataFrame([(1, json.dumps(mark(json.loads(json.dumps(TREE)))))], "doc_id bigint, hierarchy string")
+    return tree.flatten(docs).cache(), tree.flatten_spans(docs).cache()
+
+
+def consistent(nodes, spans_):
+    """Every span's text names its index; heights and depths are right; the indexes."""
+    texts = {tuple(r.path): r.text for r in nodes.collect()}
+    rows = [(tuple(r.path), r.kind, r["index"], r.start, r.end) for r in spans_.collect()]
+    for path, kind, index, start, end in rows:
+        assert texts[path][start:end] == (f"[{index}]" if kind == "cit" else "fig")
+    for r in nodes.collect():
+        below = [len(p) for p in texts if p[: len(r.path)] == tuple(r.path)]
+        assert r.depth == len(r.path) and r.height == max(below) - r.depth
+        assert not r.path or (*r.path[:-1], r.path[-1] - 1) in texts or not r.path[-1]
+    return sorted(i for _, k, i, _, _ in rows if k == "cit")
+
+
+def test_spans_follow_trees(spark, cited):
+    nodes_, spans_ = cited
+    assert consistent(nodes_, spans_) == [1, 2, 3, 4, 5, 6]
+    at = spark.createDataFrame([(1, [1, 0])], "doc_id bigint, path array<int>")
+    assert consistent(*tree.remove(nodes_, at, spans_)) == [1, 3, 4, 5, 6]
+    assert consistent(*tree.prune_empty_headlines(nodes_, spans=spans_)) == [2, 3, 4, 5, 6]
+    assert consistent(*tree.prune_by_script(nodes_, 0.2, 1, spans=spans_)) == [2, 4, 5, 6]
+    left, moved = tree.prune_textless(nodes_, spans_)
+    assert consistent(left, moved) == [1, 2, 3, 4, 5, 6] and left.where("headline = 'Void'").isEmpty()
+    left, moved = tree.prune_named_text(nodes_, ["Figure"], spans_)
+    assert consistent(left, moved) == [1, 2, 3, 4, 5, 6] and moved.where("kind = 'ref'").isEmpty()
+    every = tree.prune_all(nodes_, 0.2, ["figure"], spans_)
+    assert consistent(*every) == [2, 3, 4, 5, 6] and [r.headline for r in every[0].where("depth = 1").orderBy("path").collect()] == ["2 Kept", "Abstract", "3 Related Work", "4 End"]
+    back = json.loads(tree.rebuild(*every).first().hierarchy)["content"][0]["content"][0]["content"][0]["content"]
+    assert back == {"text": "kept [2] text", "citations": [{"index": 2, "start": 5, "end": 8}], "references": []}
+    sub, inside = tree.cut(nodes_, at, spans_)
+    assert consistent(sub, inside) == [2] and sub.where("depth = 0").first().headline == "2.1 Sub"
+    rest, left = tree.remove(nodes_, at, spans_)
+    whole, all_ = tree.insert(rest, sub, at, left, inside)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(whole.select(*nodes_.columns)) == key(nodes_) and key(all_.select(*spans_.columns)) == key(spans_)
+
+
+def test_related_work_round_trip(spark, cited):
+    nodes_, spans_ = cited
+    bib = spark.createDataFrame([(1, i, 50 + i if i != 4 else None, f"B{i}", 2000, ["A B"]) for i in range(7)], "doc_id bigint, pos int, id bigint, title string, year int, authors array<string>")
+    out = jobs.related_work(nodes_, spans_, bib, spark.createDataFrame([(55,), (51,)], "id bigint"))
+    assert [r.path for r in out["sections"].collect()] == [[3]] and out["citations"].first().citations == [55]
+    assert consistent(out["rest"], out["rest_spans"]) == [1, 2, 3, 4, 6] and consistent(out["target"], out["target_spans"]) == [5]
+    assert [r.headline for r in out["rest"].where("depth = 1").orderBy("path").collect()] == ["Abstract", "", "2 Kept", "4 End"]
+    back, spans2, cites = jobs.back_from_related_work(out["rest"], out["target"], out["sections"], bib, out["rest_spans"], out["target_spans"])
+    assert consistent(back, spans2) == [1, 2, 3, 4, 5, 6] and cites.first().citations == [50, 51, 52, 53, 55, 56]
+    assert [r.headline for r in back.where("depth = 1").orderBy("path").collect()] == ["Abstract", "", "2 Kept", "3 Related Work", "4 End"]
+    again = jobs.back_to_related_work(back, out["sections"], spans2)
+    assert consistent(again["rest"], again["rest_spans"]) == [1, 2, 3, 4, 6] and consistent(again["target"], again["target_spans"]) == [5]
+
+
+def test_pruned_documents(spark, cited):
+    nodes_, spans_ = cited
+    empty = tree.flatten(spark.createDataFrame([(9, json.dumps({"headline": "E", "content": [section("", "")]}))], "doc_id bigint, hierarchy string"))
+    bib = spark.createDataFrame([(1, 0, 9, "E", 2000, ["A"]), (1, 1, 1, "T", 2000, ["A"]), (9, 0, 1, "T", 2000, ["A"])], "doc_id bigint, pos int, id bigint, title string, year int, authors array<string>")
+    left, moved, cut = jobs.pruned(nodes_.unionByName(empty), spans_, bib, 0.2, ["figure"])
+    assert {r.doc_id for r in left.collect()} == {1} and consistent(left, moved) == [2, 3, 4, 5, 6]
+    assert sorted((r.doc_id, r.pos, r.id) for r in cut.collect()) == [(1, 0, None), (1, 1, 1)] or {(r.doc_id, r.pos, r.id) for r in cut.collect()} == {(1, 0, None), (1, 1, 1)}
+
+
+def test_enhanced_and_harvard(spark):
+    rows = [(1, [0], None, "As [1] and [3-5], see [2, 3]. [900]", [(0, 3, 6), (None, 11, 16), (None, 22, 28), (None, 30, 35)]), (1, [1], None, "again [4]", [(3, 6, 9)]), (2, [0], None, "As Lee (1999) and (Roe, 2001) say (Poe, 2005)", [(None, 19, 28)]), (3, [0], None, None, None)]
+    leaves = spark.createDataFrame(rows, "doc_id bigint, path array<int>, headline string, text string, spans array<struct<index: int, start: int, end: int>>")
+    got = {(r.doc_id, tuple(r.path)): (r.text, [tuple(s) for s in r.spans]) for r in spans.enhanced(leaves).collect()}
+    assert got[1, (0,)] == ("As [1] and [3][4][5], see [2, 3]. [900]", [(0, 3, 6), (2, 11, 14), (3, 14, 17), (None, 17, 20), (None, 34, 39)]) and got[1, (1,)] == ("again [4]", [(3, 6, 9)])
+    bib = spark.createDataFrame([(2, 0, None, "x", 1999, ["Ann Lee"]), (2, 1, None, "y", 2001, ["Bob Roe"]), (1, 0, None, "z", 1999, ["Ann Lee"])], "doc_id bigint, pos int, id bigint, title string, year int, authors array<string>")
+    new, grown = jobs.identified_spans(leaves, bib)
+    got = {(r.doc_id, tuple(r.path)): [tuple(s) for s in r.spans or []] for r in new.collect()}
+    assert got[2, (0,)] == [(0, 3, 13), (1, 19, 28)] and got[1, (1,)] == [(3, 6, 9)]
+    assert {r.doc_id: r.growth for r in grown.collect()}[2] == 2
+
+
+def brute_greedy(papers, match):
+    """The rule in its own words, paper by paper, over all pairs."""
+    of, heads = {}, []
+    for x in sorted(papers):
+        y = min((y for y in papers if y != x and match(x, y)), key=lambda y: (-match(x, y), y), default=None)
+        if y is None:
+            of[x] = x
+        elif x in of:
+            of[y] = of[x]
+        elif y in of:
+            of[x] = of[y]
+        else:
+            h = min((h for h in heads if match(x, h)), key=lambda h: (-match(x, h), h), default=None)
+            if h is None:
+                heads.append(x)
+            of[x] = of[y] = x if h is None else h
+    return of
+
+
+@pytest.mark.parametrize("t, years, authors", [(1.0, 0, True), (0.6, 1, True), (0.6, 2, False)])
+def test_dedup_greedy(spark, t, years, authors):
+    import random
+
+    rng = random.Random(6)
+    papers = {i: (" ".join(sorted(set(rng.choices(["red", "blue", "fish", "bird", "tree"], k=rng.randrange(1, 5))))), rng.choice([None, 2000, 2001, 2003]), rng.choice([["Ann Lee"], ["A. Lee", "Bo Roe"], ["Bo Roe"], []])) for i in range(70)}
+    names = lambda a: ({*a.lower().replace(".", "").split()}, {*[w[0] for w in a.lower().split()[:-1]], a.lower().split()[-1]})
+    inside = lambda a, b: a <= b or b <= a
+
+    def match(x, y):
+        (s, p, a), (u, q, b) = papers[x], papers[y]
+        s, u = set(s.split()), set(u.split())
+        i = len(s & u)
+        if not i or (p and q and abs(p - q) > years):
+            return 0
+        j, c = i / len(s | u), i / min(len(s), len(u))
+        if 2 * j * c / (j + c) < t - 1e-9:
+            return 0
+        if authors and not any(inside(f, g) or inside(f, h) or inside(k, g) for f, k in map(names, a) for g, h in map(names, b)):
+            return 0
+        return round(2 * j * c / (j + c), 9)
+
+    key = {i: (frozenset(p[0].split()), p[1], frozenset(map(str, p[2]))) for i, p in papers.items()}
+    first = {i: i if authors and not papers[i][2] else min(j for j in papers if key[j] == key[i]) for i in papers}
+    of = brute_greedy({x for x in first.values()}, match)
+    want = {i: of.get(f, f) for i, f in first.items()}
+    rows = [(i, *p) for i, p in papers.items()]
+    got = dedup.deduplicate(spark.createDataFrame(rows, "id bigint, title string, year int, authors array<string>"), t, years, authors)
+    assert {r.id: r.representative for r in got.collect()} == want and len(set(want.values())) < 60
+
+
+def test_json_lines_keep_trees_and_extra_keys(spark, tmp_path):
+    docs = [{"id": 1, "title": 'A "b" é', "hierarchy": {"headline": None, "content": []}, "origin": "x", "flag": True, "score": 1.5, "more": {"a": [1]}, "citations": [3]}, {"id": 2, "title": None, "hierarchy": None}]
+    (tmp_path / "in.jsonl").write_text("\n\n".join(json.dumps(d) for d in docs))
+    own = readers.json_lines(spark, str(tmp_path / "in.jsonl"))
+    assert json.loads(own.where("id = 1").first().extra) == {"origin": "x", "flag": True, "score": 1.5, "more": {"a": [1]}} and own.where("id = 2").first().extra is None
+    sinks.write_json_lines(own, str(tmp_path / "out"))
+    back = {d["id"]: d for r in spark.read.text(str(tmp_path / "out")).collect() for d in [json.loads(r.value)]}
+    assert back[1]["hierarchy"] == docs[0]["hierarchy"] and back[1]["title"] == docs[0]["title"] and back[1]["more"] == {"a": [1]} and back[1]["flag"] is True and back[2]["hierarchy"] is None
+    for d in docs:
+        assert {k: back[d["id"]][k] for k in d} == d
+    import gzip
+
+    (tmp_path / "z.json.gz").write_bytes(gzip.compress((tmp_path / "in.jsonl").read_bytes()))
+    assert sorted(map(str, readers.json_lines(spark, str(tmp_path / "z.json.gz")).collect())) == sorted(map(str, own.collect()))
+
+
+def test_row_positions_follow_files(spark, tmp_path):
+    sizes, at = [3, 400, 1, 50, 0, 7], 0
+    for k, n in enumerate(sizes):
+        (tmp_path / f"{k}.json").write_text("".join(json.dumps({"id": at + i, "title": "x" * (900 if k % 2 else 3)}) + "\n" for i in range(n)))
+        at += n
+    for schema in ("id bigint, title string", "id bigint, title string, extra string"):
+        got = readers.numbered(readers.json_lines(spark, str(tmp_path), schema)).collect()
+        assert len(got) == at and all(r.id == r.row_pos for r in got)
+    assert sorted(r.id for r in readers.slice_rows(readers.numbered(readers.json_lines(spark, str(tmp_path), "id bigint, title string")), 2, 6).collect()) == [2, 3, 4, 5]
+
+
+def test_graph_over_lines(spark, tmp_path):
+    (tmp_path / "g.json").write_text(json.dumps({str(i): list(range(i % 4)) for i in range(20)}, indent=2))
+    assert {tuple(r) for r in readers.citation_graph(spark, str(tmp_path / "g.json")).collect()} == {(i, j) for i in range(20) for j in range(i % 4)}
+
+
+def test_similarity_links(spark):
+    titles = ["red fish blue tree", "Fish red, blue tree", "red fish blue", "bird", "", None, "red fish blue bird tree", "bird"]
+    got = {r.id: (r.class_id, r.class_size, r.n_links) for r in search.similarity_links(spark.createDataFrame(list(enumerate(titles)), "id bigint, title string"), 0.75).collect()}
+    assert got == {0: (0, 2, 3), 1: (0, 2, 3), 2: (2, 1, 3), 3: (3, 2, 1), 4: (4, 1, 0), 5: (5, 1, 0), 6: (6, 1, 3), 7: (3, 2, 1)}
+
+
 def test_related_work(spark, nodes):
     spans_ = spark.createDataFrame([(7, [2, 0], "cit", 0, 0, 0, 2)], "doc_id bigint, path array<int>, kind string, pos int, index int, start int, end int")
     bib = spark.createDataFrame([(7, 0, 5, "B", 2000, ["A B"])], "doc_id bigint, pos int, id bigint, title string, year int, authors array<string>")

@@ -40,10 +40,10 @@ def brute_sentences(text):
     return [(a + len(p) - len(p.lstrip()), a + len(p.rstrip())) for a, b in [*out, (first, len(text))] if (p := text[a:b]).strip()]
 
 
-def test_document_sentences(spark):
+def test_sentences(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = {}
-    for r in catalog.queries()["document_sentences"](spark, SF).collect():
+    for r in catalog.queries()["sentence_split"](spark, SF).collect():
         assert texts[r.doc_id][r.start : r.end] == r.sentence
         got.setdefault(r.doc_id, []).append((r.start, r.end))
     assert {d: sorted(x) for d, x in got.items()} == {d: x for d, t in texts.items() if (x := brute_sentences(t))}
