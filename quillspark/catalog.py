@@ -616,8 +616,11 @@ def sentence_split(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    from quillspark import catalog_papers  # noqa: F401  registers its queries
+
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_sql)

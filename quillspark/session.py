@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,16 +31,31 @@ def local(cores: int | str = "*", partitions: int = 8, memory: str = "8g", **con
     return attach(b.config(map=own | conf).getOrCreate())
 
 
+_own_dir: list[str] = []
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir. Where none is named, one of our own, on a local master
+    only: executors of a cluster wouldn't share it."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if not _own_dir:
+        _own_dir.append(tempfile.mkdtemp(prefix="quill"))
+        atexit.register(shutil.rmtree, _own_dir[0], True)
+    return "file://" + _own_dir[0]
+
+
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/quill-{tag}-{uuid.uuid4().hex}"
+
+
 def reliable(df: DataFrame) -> DataFrame:
-    """df computed once and checkpointed in the folder that the cluster names in spark.checkpoint.dir, so that it outlives
-    executors. Where none is named, a folder of our own, on a local master only."""
+    """df computed once and checkpointed in the shared folder, so that it outlives executors."""
     spark = df.sparkSession
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named:
-            if not spark.sparkContext.master.startswith("local["):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            named = tempfile.mkdtemp(prefix="quill-checkpoint")
-            atexit.register(shutil.rmtree, named, True)
-        spark.sparkContext.setCheckpointDir(named)
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
