@@ -55,8 +55,8 @@ def tree_remove_spans(spark: SparkSession, d: str) -> DataFrame:
     return moved.select("doc_id", _path(), "index", "start", "end")
 
 
-@_register(f"""with {_TREE}, at as (select doc_id from nodes where depth = 0 and height = 2), o as (select n.doc_id, case when top is null then '' when top >= 1 then (top + 1) || substr(path, length(top::varchar) + 1) else path end as path, n.height, n.headline, n.text from nodes n)
-select * from o union all select doc_id, '1', 1, 'NEW', null from at union all select doc_id, '1.0', 0, null, 'new text' from at""")
+@_register(f"""with {_TREE}, places as (select doc_id from nodes where depth = 0 and height = 2), o as (select n.doc_id, case when top is null then '' when top >= 1 then (top + 1) || substr(path, length(top::varchar) + 1) else path end as path, n.height, n.headline, n.text from nodes n)
+select * from o union all select doc_id, '1', 1, 'NEW', null from places union all select doc_id, '1.0', 0, null, 'new text' from places""")
 def tree_insert(spark: SparkSession, d: str) -> DataFrame:
     """A section put in as the second one of each document that has any."""
     nodes = _nodes(spark, d)
@@ -180,8 +180,9 @@ def filter_features_spans(spark: SparkSession, d: str) -> DataFrame:
     return f.select("doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("n_citations", "known_citations", "n_authors", "top_sections", "top_headlines", "citation_spans", "resolved_spans", "citation_groups", "resolved_groups", "bib_entries", "bib_with_id")])
 
 
-@_register(f"""with {_TREE}, {_COUNTS} select 'documents' as metric, (select count(*) from l)::bigint as count union all select 'total_citation_spans', (select sum(citation_spans) from c)::bigint union all select 'total_bib_entries', (select 3 * count(*) from l)::bigint union all select 'total_bib_with_id', (select 2 * count(*) from l)::bigint union all select 'total_n_citations', 0 union all select 'total_nonempty_headlines', 0""")
+@_register(f"""with {_TREE}, {_COUNTS} select 'documents' as metric, (select count(*) from l)::bigint as count union all select 'total_citation_spans', (select sum(citation_spans) from c)::bigint union all select 'total_bib_entries', (select 3 * count(*) from l)::bigint union all select 'total_bib_with_id', (select 2 * count(*) from l)::bigint union all select 'total_n_citations', 0 union all select 'total_nonempty_headlines', 0 union all select 'year', (select count(*) from l)::bigint""")
 def documents_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Totals; a null value of year counts the documents without one."""
     nodes = _nodes(spark, d)
     docs = _t(spark, d, "documents").select("doc_id", F.lit(None).cast("int").alias("year"), F.array("lang").alias("authors"), F.array().cast("array<bigint>").alias("citations"))
     return stats.documents_stats(docs, nodes, _leaf_spans(nodes), _three(nodes)).where("value is null and metric not like 'style%'").select("metric", "count")
@@ -237,9 +238,9 @@ def identify_references(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", F.array_join(F.transform("ids", lambda x: F.coalesce(x.cast("string"), F.lit("-"))), " ").alias("ids"))
 
 
-_IDENTIFIED = f"""{_BEST}, e as (select a.id // 10 as doc_id, a.id % 10 as pos, case when a.id % 9 = 0 then a.id % 3 end as known, best.id as new from a left join best on best.probe_id = a.id),
-n as (select doc_id, new, min(pos) as pos from e where known is null and new <> doc_id and not exists (select 1 from e t where t.doc_id = e.doc_id and t.known = e.new) group by 1, 2),
-i as (select e.doc_id, e.pos, coalesce(known, n.new) as id from e left join n on n.doc_id = e.doc_id and n.pos = e.pos)"""
+_IDENTIFIED = f"""{_BEST}, en as (select a.id // 10 as doc_id, a.id % 10 as pos, case when a.id % 9 = 0 then a.id % 3 end as known, best.id as new from a left join best on best.probe_id = a.id),
+n as (select doc_id, new, min(pos) as pos from en where known is null and new <> doc_id and not exists (select 1 from en t where t.doc_id = en.doc_id and t.known = en.new) group by 1, 2),
+i as (select en.doc_id, en.pos, coalesce(known, n.new) as id from en left join n on n.doc_id = en.doc_id and n.pos = en.pos and en.known is null and en.new = n.new)"""
 
 
 @_register(f"{_IDENTIFIED} select * from i")
@@ -263,7 +264,7 @@ def mag_mapping(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_register(f"""with {_tokens_cte('d', 'documents', 'doc_id')}, s as (select id, {_SETS} as a from d), n as (select id, len(a) as n, least(2, len(a)) as m from s)
-select id, round(case when n > 0 then 1.0 else 0 end, 6) as whole, round(case when n > 0 then 2 * (m / n) / (m / n + 1) else 0 end, 6) as part from n""")
+select id, (case when n > 0 then 1 else 0 end)::double as whole, round(case when n > 0 then 2 * (m / n) / (m / n + 1) else 0 end, 6) as part from n""")
 def one_to_many(spark: SparkSession, d: str) -> DataFrame:
     own = _titled(spark, d).withColumn("a", T.token_set(F.col("title")))
     s = own.select("id", M.one_to_many(F.col("a"), F.array("a", F.slice("a", 1, 2))).alias("s"))

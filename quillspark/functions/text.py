@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -127,8 +128,6 @@ def dedup_authors(authors: Column) -> Column:
 
 def names_covered(pattern: str):
     """A pandas UDF: share of characters whose Unicode name matches pattern; 0 for an empty or null text."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def share(s: pd.Series) -> pd.Series:
         import re
