@@ -165,6 +165,8 @@ def ids_passing(spark: SparkSession, d: str) -> DataFrame:
     return filters.passing(filters.number_of_sections(_nodes(spark, d), 3, 10, 1))
 
 
+_PER_TEXT = r"""pt as (select doc_id, count(text) as sentences, coalesce(sum(len(list_filter(string_split_regex(text, '\s+'), lambda x: x <> ''))), 0) as words, coalesce(sum(length(text)), 0) as chars, coalesce(sum(length(text)), 0) + coalesce(sum(length(headline)), 0) as headed from nodes group by 1)"""
+
 _COUNTS = f"""{_GROUPS}, c as (select doc_id, count(*) as citation_spans, count(*) filter (where index <> 1) as resolved_spans from spans group by 1), gc as (select doc_id, count(*) as citation_groups, count(*) filter (where known) as resolved_groups from grouped group by 1),
 t as (select doc_id, count(*) as top_sections, count(*) filter (where headline <> '') as top_headlines from nodes where depth = 1 group by 1)"""
 
@@ -180,12 +182,34 @@ def filter_features_spans(spark: SparkSession, d: str) -> DataFrame:
     return f.select("doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("n_citations", "known_citations", "n_authors", "top_sections", "top_headlines", "citation_spans", "resolved_spans", "citation_groups", "resolved_groups", "bib_entries", "bib_with_id")])
 
 
-@_register(f"""with {_TREE}, {_COUNTS} select 'documents' as metric, (select count(*) from l)::bigint as count union all select 'total_citation_spans', (select sum(citation_spans) from c)::bigint union all select 'total_bib_entries', (select 3 * count(*) from l)::bigint union all select 'total_bib_with_id', (select 2 * count(*) from l)::bigint union all select 'total_n_citations', 0 union all select 'total_nonempty_headlines', 0 union all select 'year', (select count(*) from l)::bigint""")
+_STATS = f"""with {_TREE}, {_COUNTS}, {_PER_TEXT},
+top as (select doc_id, top, count(*) filter (where depth = 2) as n from nodes where depth > 0 group by 1, 2),
+u as (select 'text_part_chars' as metric, length(text) as value from nodes where text is not null union all select 'text_parts_per_top_section', n from top union all select 'sentences', sentences from pt union all select 'words', words from pt union all select 'chars', chars from pt union all select 'chars_with_headlines', headed from pt
+union all select 'citation_spans', coalesce(citation_spans, 0) from l left join c using (doc_id) union all select 'n_citations', doc_id % 3 from l union all select 'all_known', (citation_spans is null or citation_spans = resolved_spans)::int from l left join c using (doc_id) union all select 'uncited', (doc_id % 3 > 0)::int from l)"""
+
+
+@_register(f"""{_STATS} select metric, value::bigint as value, count(*) as count from u where metric not in ('all_known', 'uncited') group by 1, 2 union all select 'documents', null, count(*) from l union all select 'total_citation_spans', null, sum(citation_spans)::bigint from c union all select 'total_bib_entries', null, 3 * count(*) from l union all select 'total_bib_with_id', null, 2 * count(*) from l
+union all select 'total_n_citations', null, sum(doc_id % 3)::bigint from l union all select 'with_all_known_citations', null, sum(value)::bigint from u where metric = 'all_known' union all select 'with_non_referenced_citations', null, sum(value)::bigint from u where metric = 'uncited' union all select 'year', null, count(*) from l union all select 'field_' || lang, null, count(*) from documents group by 1""")
 def documents_stats(spark: SparkSession, d: str) -> DataFrame:
-    """Totals; a null value of year counts the documents without one."""
+    """Totals and histograms; citations 1 and 2 are none that a span refers to."""
+    nodes = _nodes(spark, d)
+    cites = F.filter(F.sequence(F.lit(1), F.lit(2)).cast("array<bigint>"), lambda x: x <= F.col("doc_id") % 3)
+    docs = _t(spark, d, "documents").select("doc_id", F.lit(None).cast("int").alias("year"), F.array("lang").alias("authors"), cites.alias("citations"), F.array(F.upper("lang"), "lang").alias("fields_of_study"))
+    shown = ["text_part_chars", "text_parts_per_top_section", "sentences", "words", "chars", "chars_with_headlines", "citation_spans", "n_citations", "documents", "total_citation_spans", "total_bib_entries", "total_bib_with_id", "total_n_citations", "with_all_known_citations", "with_non_referenced_citations", "year"]
+    return stats.documents_stats(docs, nodes, _leaf_spans(nodes), _three(nodes)).where(F.col("metric").isin(shown) | F.col("metric").startswith("field_")).select("metric", "value", "count")
+
+
+@_register(f"""with {_TREE}, {_SPANNED}, rb as (select doc_id, top, j, s, index <> 1 as known, index = 0 as multi from spans), rk as (select doc_id, avg(known::int) as known_fraction, avg(multi::int) as m from rb group by 1), rp as (select doc_id, avg(known::int) as kp, avg(multi::int) as mp from (select doc_id, top, bool_or(known) as known, bool_or(multi) as multi from rb group by 1, 2) group by 1),
+rw as (select doc_id, sum(len(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> ''))) as n, count(text) as parts, max(case when depth = 0 and height = 2 then len(list_filter(string_split_regex(headline, '\\s+'), lambda x: x <> '')) end) as h from nodes group by 1)
+select l.doc_id, round(coalesce(known_fraction, 0), 6) as known_fraction, round(coalesce(kp, 0), 6) as known_paragraph_fraction, round(coalesce(mp, 0), 6) as multi_paragraph_fraction, 0.0::double as unknown_entry_fraction, round((2 / 3)::double, 6) as known_entry_fraction, 1.0::double as multi_cited_fraction, (coalesce(n, 0) + coalesce(h, 0))::bigint as target_words, parts as target_text_parts from l left join rk using (doc_id) left join rp using (doc_id) left join rw using (doc_id)""")
+def review_features(spark: SparkSession, d: str) -> DataFrame:
+    """How well citations are covered: entry 7 has several sections, entry 9 one."""
     nodes = _nodes(spark, d)
-    docs = _t(spark, d, "documents").select("doc_id", F.lit(None).cast("int").alias("year"), F.array("lang").alias("authors"), F.array().cast("array<bigint>").alias("citations"))
-    return stats.documents_stats(docs, nodes, _leaf_spans(nodes), _three(nodes)).where("value is null and metric not like 'style%'").select("metric", "count")
+    docs = nodes.where("depth = 0").select("doc_id", F.array(F.lit(7)).cast("array<bigint>").alias("citations"))
+    tops = spark.createDataFrame([(7, 3), (9, 1)], "doc_id bigint, n bigint")
+    f = stats.review_features(docs, nodes, _leaf_spans(nodes), _three(nodes), tops)
+    shares = ["known_fraction", "known_paragraph_fraction", "multi_paragraph_fraction", "unknown_entry_fraction", "known_entry_fraction", "multi_cited_fraction"]
+    return f.select("doc_id", *[F.round(c, 6).alias(c) for c in shares], "target_words", "target_text_parts")
 
 
 _FIVE = "sections paragraphs sentences words chars".split()

@@ -12,7 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from quillspark.schema import SPAN
 
@@ -47,6 +47,13 @@ def citation_style(leaves: DataFrame) -> DataFrame:
     return per.select("doc_id", style({n: F.coalesce(F.col(n), F.lit(0)) for n in STYLES}).alias("style"))
 
 
+@F.pandas_udf(ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])))
+def citation_places(text: pd.Series, style: pd.Series) -> pd.Series:
+    """Where texts have what looks like a citation in that style; nothing for other styles and null texts."""
+    forms = {n: re.compile(p) for n, p in STYLES.items()}
+    return pd.Series([[{"start": m.start(), "end": m.end()} for m in forms[s].finditer(t)] if s in forms and t else [] for t, s in zip(text, style, strict=True)])
+
+
 def overlap(a: Sequence, b: Sequence) -> bool:
     return a[-2] < b[-1] and b[-2] < a[-1]
 

@@ -308,13 +308,14 @@ def prune_named_text(nodes: DataFrame, names: list[str], spans: DataFrame | None
     return surgery(nodes, [("leaf", _named(names), 0)], spans)
 
 
-def prune_all(nodes: DataFrame, coverage: float | None = None, names: list[str] | None = None, spans: DataFrame | None = None):
+def prune_all(nodes: DataFrame, coverage: float | None = None, names: list[str] | None = None, spans: DataFrame | None = None, empty: bool = True, textless: bool = True):
     """Empty headlines, then foreign ones, then text-less parts, then named blocks, all in one pass over each document."""
     headline = F.coalesce("headline", F.lit(""))
-    steps = [("fail", headline == "", 2)]
+    steps = [("fail", headline == "", 2)] if empty else []
     if coverage is not None:
         steps.append(("fail", T.latin_share(headline) < coverage, 2))
-    steps.append(("bare", F.length("text") > 0, 0))
+    if textless:
+        steps.append(("bare", F.length("text") > 0, 0))
     if names:
         steps.append(("leaf", _named(names), 0))
     return surgery(nodes, steps, spans)

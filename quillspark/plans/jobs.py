@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.functions import text as T
 from quillspark.operators import bibliography as B
-from quillspark.operators import dedup, filters, tree
+from quillspark.operators import dedup, filters, multilevel, tree
 from quillspark.operators import ids as I  # noqa: E741
 from quillspark.operators.search import search
 from quillspark.operators.spans import harvard_spans
@@ -165,7 +166,7 @@ def enhance_mag_with_core(mag: DataFrame, core: DataFrame, core_bib: DataFrame,
     refs = search(entries, mag, **how).where("id is not null").select(F.col("probe_id.doc_id").alias("core"), F.col("id").alias("ref"))
     more = refs.join(as_mag, "core").groupBy("id").agg(F.collect_set("ref").alias("more"))
     kept = fresh.join(rep.where("id = representative").select("id"), "id", "left_semi").select(F.col("id").alias("representative"), "title", "year", "authors").join(number, "representative").select(F.col("new_id").alias("id"), "title", "year", "authors", F.array().cast("array<bigint>").alias("references"))
-    both = mag.select("id", "title", "year", "authors", "references").unionByName(kept)
+    both = mag.unionByName(kept, allowMissingColumns=True)
     empty = F.array().cast("array<bigint>")
     return both.join(more, "id", "left").withColumn("references", F.array_sort(F.array_union(F.coalesce("references", empty), F.coalesce("more", empty)))).drop("more")
 
@@ -206,3 +207,142 @@ def convert_s2orc_old(raw: DataFrame) -> DataFrame:
     docs = readers.s2orc_old(raw)
     return convert(docs, tree.flatten(docs.withColumnRenamed("id", "doc_id")))
 
+
+
+def parts(docs: DataFrame, column: str = "hierarchy") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """NODES, SPANS and bibliography of documents (id, hierarchy, bibliography)."""
+    flat = docs.withColumnRenamed("id", "doc_id")
+    return tree.flatten(flat, column), tree.flatten_spans(flat, column), B.explode(flat)
+
+
+def _tree(docs: DataFrame, nodes: DataFrame, spans: DataFrame, column: str = "hierarchy") -> DataFrame:
+    """docs that still have nodes, with the trees of them."""
+    new = tree.rebuild(nodes, spans).select(F.col("doc_id").alias("id"), F.col("hierarchy").alias("__tree"))
+    return docs.drop(column).join(new, "id").withColumnRenamed("__tree", column)
+
+
+def _bibliography(docs: DataFrame, bib: DataFrame, cited: bool = True) -> DataFrame:
+    """docs with new bibliographies and, if cited, the citations that follow from them."""
+    new = B.collect(bib)
+    if cited:
+        new = new.join(B.citations(bib), "doc_id")
+    out = docs.drop(*[c for c in new.columns if c != "doc_id"]).join(new.withColumnRenamed("doc_id", "id"), "id", "left")
+    for c in ("bibliography", "citations") if cited else ("bibliography",):
+        out = out.withColumn(c, F.coalesce(c, F.array().cast(docs.schema[c].dataType)))
+    return out
+
+
+def pruned_documents(docs: DataFrame, coverage: float | None = None, names: list[str] | None = None, empty: bool = True, textless: bool = True, cut: bool = False) -> DataFrame:
+    """Documents after the pruning steps asked for; those without text left go, with cut also from citations and entries."""
+    nodes, spans, bib = parts(docs)
+    left, moved = tree.prune_all(nodes, coverage, names, spans, empty, textless)
+    full = filters.passing(tree.has_text(left).withColumnRenamed("has_text", "passed"))
+    kept = full.withColumnRenamed("doc_id", "id")
+    out = _tree(I.discard_documents(docs, kept) if cut else I.keep_ids(docs, kept), left, moved)
+    return out.select(*docs.columns)
+
+
+def leveled_documents(docs: DataFrame, discard: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Documents with trees of several levels, and the ids (id) of those where levels were found."""
+    new = multilevel.restructure(docs.withColumnRenamed("id", "doc_id"), discard).withColumnRenamed("doc_id", "id")
+    return docs.drop("hierarchy").join(new.drop("established"), "id").select(*docs.columns), new.where("established").select("id")
+
+
+def related_work_documents(docs: DataFrame, references: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Reviews, whose trees lack the section that became `related_work`, and the references that they name."""
+    nodes, spans, bib = parts(docs)
+    out = related_work(nodes, spans, bib, references)
+    at = out["sections"].select(F.col("doc_id").alias("id"), F.col("path").alias("related_work_orig_path"))
+    own = docs.drop("citations").join(at, "id").join(out["citations"].withColumnRenamed("doc_id", "id"), "id")
+    own = _tree(_tree(own, out["rest"], out["rest_spans"]), out["target"], out["target_spans"], "related_work")
+    return own.select(*docs.columns, "related_work", "related_work_orig_path"), I.keep_ids(references, out["references"])
+
+
+def documents_from_related_work(reviews: DataFrame) -> DataFrame:
+    """Whole documents of reviews: the section is back at its place, citations are those of the bibliography."""
+    nodes, spans, bib = parts(reviews)
+    target, inside, _ = parts(reviews, "related_work")
+    at = reviews.select(F.col("id").alias("doc_id"), F.col("related_work_orig_path").alias("path"))
+    whole, moved, cites = back_from_related_work(nodes, target, at, bib, spans, inside)
+    out = _tree(reviews.drop("citations", "related_work", "related_work_orig_path"), whole, moved).join(cites.withColumnRenamed("doc_id", "id"), "id", "left")
+    return out.withColumn("citations", F.coalesce("citations", F.array().cast("array<bigint>"))).select(*[c for c in reviews.columns if not c.startswith("related_work")])
+
+
+def documents_to_related_work(docs: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Whole documents cut again at the places that reviews of the same ids have."""
+    own = docs.join(reviews.select("id", "related_work_orig_path"), "id")
+    nodes, spans, _ = parts(own)
+    out = back_to_related_work(nodes, own.select(F.col("id").alias("doc_id"), F.col("related_work_orig_path").alias("path")), spans)
+    return _tree(_tree(own, out["rest"], out["rest_spans"]), out["target"], out["target_spans"], "related_work").select(*docs.columns, "related_work", "related_work_orig_path")
+
+
+def identified_bibliographies(docs: DataFrame, papers: DataFrame, **how) -> DataFrame:
+    """Documents whose unknown bibliography entries got ids of papers, and the citations that follow."""
+    return _bibliography(docs, B.identify(B.explode(docs.withColumnRenamed("id", "doc_id")), papers, **how)).select(*docs.columns)
+
+
+def documents_with_spans(docs: DataFrame) -> DataFrame:
+    """Documents with citations by name found in their texts and resolved by their bibliographies."""
+    nodes, spans, bib = parts(docs)
+    leaves, _ = identified_spans(with_spans(nodes, spans), bib)
+    return _tree(docs, *without_spans(leaves, nodes, spans)).select(*docs.columns)
+
+
+def enriched_documents(docs: DataFrame, edges: DataFrame, papers: DataFrame, key: str = "id", **how) -> DataFrame:
+    """Documents whose bibliographies have the papers that a graph names for them. The graph's ids are in column `key` of
+    docs and papers."""
+    named = papers.where(F.col(key).isNotNull()).select(F.col(key).alias("cited"), F.col("id").alias("__id"))
+    own = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("citing"), F.col("id").alias("__doc"))
+    e = edges.join(own, "citing").join(named, "cited").select(F.col("__doc").alias("citing"), F.col("__id").alias("cited")).where("citing <> cited")
+    bib = B.enrich_from_graph(B.explode(docs.withColumnRenamed("id", "doc_id")), e, papers, **how)
+    return _bibliography(docs, bib).select(*docs.columns)
+
+
+def enhanced_with_mag(docs: DataFrame, mapping: DataFrame, mag: DataFrame, just_references: bool = False, title_threshold: float = 0.75) -> DataFrame:
+    """Documents merged with their MAG records (mapping: id, mag_id): fields as in enhance_with_mag unless just_references;
+    references that are documents themselves become citations, and all references are merged into the bibliography."""
+    out = docs.withColumn("authors", T.dedup_authors(F.coalesce("authors", F.array().cast("array<string>")))) if just_references else B.enhance_with_mag(docs, mapping, mag)
+    to_doc = mapping.where("mag_id is not null").groupBy(F.col("mag_id").alias("ref")).agg(F.max("id").alias("id"))
+    refs = mapping.select(F.col("id").alias("doc_id"), F.col("mag_id").alias("__m")).join(mag.select(F.col("id").alias("__m"), F.posexplode("references").alias("key", "ref")), "__m")
+    records = refs.join(mag.select(F.col("id").alias("ref"), "title", "year", "authors"), "ref").join(to_doc, "ref", "left").select("doc_id", "key", "id", "title", "year", "authors")
+    bib = B.merge_records(B.explode(docs.withColumnRenamed("id", "doc_id")), records, author_threshold=1e-9, title_threshold=title_threshold)
+    more = records.where("id is not null").groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("id").alias("__more"))
+    none = F.array().cast("array<bigint>")
+    out = _bibliography(out, bib, cited=False).join(more, "id", "left")
+    return out.withColumn("citations", F.array_sort(F.array_union(F.coalesce("citations", none), F.coalesce("__more", none)))).select(*docs.columns)
+
+
+def filtered_related_work(reviews: DataFrame, references: DataFrame, reference_filter: DataFrame, **bounds) -> tuple[DataFrame, DataFrame]:
+    """Reviews and references that pass. Bounds are (least, most) pairs: cit, cit_frac, group_frac, sec, par, multi; and
+    abstract, the text parts that an abstract needs (0: none is needed)."""
+    kept = I.keep_ids(references, filters.passing(reference_filter).withColumnRenamed("doc_id", "id"))
+    tops = parts(kept)[0].where("depth = 1").groupBy("doc_id").agg(F.count("*").alias("n"))
+    bound = lambda k: bounds.get(k) or (None, None)
+
+    def passed(cut: DataFrame) -> DataFrame:
+        docs = cut.withColumnRenamed("id", "doc_id")
+        nodes, spans, bib = parts(cut, "related_work")
+        edges = docs.select(F.col("doc_id").alias("citing"), F.explode("citations").alias("cited"))
+        multi = bound("multi")
+        own = [
+            filters.number_of_citations(docs, *bound("cit")), filters.citations_fraction(docs, spans, bib, *bound("cit_frac")), filters.citation_groups_fraction(nodes, spans, bib, *bound("group_frac")),
+            filters.number_of_sections(nodes, *bound("sec")), filters.text_parts_in_sections(nodes, *bound("par"), whole=True), filters.cited_multi_section(edges, docs, tops, multi[0] or 0.0, 1.0 if multi[1] is None else multi[1]),
+        ]
+        if bounds.get("abstract"):
+            own.append(filters.has_headline(parts(cut)[0], T.ABSTRACT, bounds["abstract"], 1, 1))
+        return filters.combined(*own)
+
+    return related_work_filter(reference_filter, reviews, passed), kept
+
+
+def extracted(lines: DataFrame) -> DataFrame:
+    """Lines (value) of the parts of a download, in order of corpusid; lines that aren't JSON are an error."""
+    key = F.get_json_object("value", "$.corpusid").cast("bigint")
+    bad = F.raise_error(F.concat(F.lit("no corpusid in: "), F.substring("value", 1, 80)))
+    return lines.where("trim(value) <> ''").select(F.coalesce(key, bad.cast("bigint")).alias("corpusid"), "value").orderBy("corpusid").select("value")
+
+
+def extracted_graph(lines: DataFrame) -> DataFrame:
+    """(citing, cited array) of lines of citations (citingcorpusid, citedcorpusid); those without both ends are dropped."""
+    at = lambda k: F.get_json_object("value", f"$.{k}").try_cast("bigint")
+    return I.citation_graph(lines.select(at("citingcorpusid").alias("citing"), at("citedcorpusid").alias("cited")))
