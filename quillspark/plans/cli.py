@@ -19,6 +19,7 @@ from quillspark.operators import ids as I  # noqa: E741
 from quillspark.operators import search as S
 from quillspark.plans import jobs
 from quillspark.schema import RELATED_WORK
+from quillspark.session import reliable
 from quillspark.sources import readers, sinks, tei
 
 Args = argparse.Namespace
@@ -113,6 +114,7 @@ def convert_core(spark: SparkSession, a: Args) -> Results:
     to_s2 = none.select("id", F.col("id").alias("s2orc_id"))
     if a.s2orc:
         to_s2 = S.to_mapping(S.search(probes, readers.papers(spark, a.s2orc), **_how(a))).select(F.col("probe_id").alias("id"), F.col("id").alias("s2orc_id"))
+    to_mag, to_s2 = reliable(to_mag), reliable(to_s2)
     docs = jobs.convert_core(own, papers, to_mag, mag, to_s2, **_how(a))
     if a.mag:
         refs = mag.join(to_mag.withColumnRenamed("id", "doc_id"), mag["id"] == F.col("mag_id")).select(F.col("doc_id").alias("id"), "references")
@@ -121,7 +123,7 @@ def convert_core(spark: SparkSession, a: Args) -> Results:
         more = readers.mag_to_core(refs, same, back).withColumnRenamed("citations", "__more")
         none_ = F.array().cast("array<bigint>")
         docs = docs.join(more, "id", "left").withColumn("citations", F.array_sort(F.array_union(F.coalesce("citations", none_), F.coalesce("__more", none_)))).drop("__more")
-    full = jobs.convert(docs, tree.flatten(docs.withColumnRenamed("id", "doc_id")))
+    full = jobs.convert(docs)
     out = {a.result: full.drop("path")}
     if a.omitted:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.xml").load(a.original).select("path")

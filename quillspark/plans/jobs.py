@@ -12,6 +12,7 @@ from quillspark.operators import ids as I  # noqa: E741
 from quillspark.operators.search import search
 from quillspark.operators.spans import harvard_spans
 from quillspark.schema import SPAN
+from quillspark.session import reliable
 from quillspark.sources import readers
 
 _SERIAL = r"\W*(?:(?:[0-9]+|[ivx]+|[a-z])(?:\.[0-9a-z]+)*[.:)]?\s+)?"
@@ -20,11 +21,15 @@ BACKGROUND = rf"(?i){_SERIAL}background\W*$"
 INTRODUCTION = rf"(?i){_SERIAL}introduction\W*$"
 
 
-def convert(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Full records with dense ids, citations cut to them and translated."""
+def convert(docs: DataFrame) -> DataFrame:
+    """Full records with dense ids, citations cut to them and translated.
+
+    Documents are needed three times, so what parses and assembles them runs once, into a checkpoint."""
+    docs = reliable(docs)
+    nodes = tree.flatten(docs.withColumnRenamed("id", "doc_id"))
     ok = filters.passing(filters.full_record(docs.withColumnRenamed("id", "doc_id"), nodes)).withColumnRenamed("doc_id", "id")
     kept = I.discard_documents(docs, ok)
-    new = I.dense_ids(ok)
+    new = reliable(I.dense_ids(ok))
     cited = kept.select("id", F.explode("citations").alias("old")).join(new, "old").groupBy("id").agg(F.array_sort(F.collect_set("new")).alias("c"))
     out = kept.join(cited, "id", "left").withColumn("citations", F.coalesce("c", F.array().cast("array<bigint>"))).drop("c")
     return out.withColumnRenamed("id", "old").join(new, "old").withColumnRenamed("new", "id").drop("old").select(*docs.columns)
@@ -200,12 +205,12 @@ def last(df: DataFrame, order: str) -> DataFrame:
 
 def convert_s2orc(meta: DataFrame, full: DataFrame) -> DataFrame:
     docs = readers.s2orc(meta, full)
-    return convert(docs, tree.flatten(docs.withColumnRenamed("id", "doc_id")))
+    return convert(docs)
 
 
 def convert_s2orc_old(raw: DataFrame) -> DataFrame:
     docs = readers.s2orc_old(raw)
-    return convert(docs, tree.flatten(docs.withColumnRenamed("id", "doc_id")))
+    return convert(docs)
 
 
 
