@@ -4,7 +4,8 @@ A line is compared in its normal form: lower case, runs of blanks, tabs, form fe
 trimmed. Documents count as distinct by their content, so the copies of one text count once and are left to
 near-duplicate removal. Two 64-bit hashes stand for a line, two for a document. Counting aggregates (line, document)
 pairs before lines, so a line of very many documents burdens no single task. Positions to drop come back to the texts by
-a join on the document's hashes; adaptive execution splits the partition of a text with very many copies.
+a join on the document's hashes, in which the texts stream past a table of positions and aren't sorted; adaptive execution
+splits the partition of a text with very many copies.
 
 Defined results: a line of blanks only is neither counted nor dropped; a null text stays null, with 0 lines dropped; a
 text all of whose lines go becomes empty; repeated rows and null ids, of whatever type, stay; an empty table gives an
@@ -46,7 +47,7 @@ def deduplicate(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
     d1, d2, gone = (fresh(docs, c) for c in ("d1", "d2", "drop"))
     keyed = docs.withColumns(dict(zip((d1, d2), _pair(text, "__d"), strict=True)))
     kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains(gone, i)), "\n")
-    return keyed.join(drop.toDF(d1, d2, gone), [d1, d2], "left").select(
+    return keyed.join(drop.toDF(d1, d2, gone).hint("shuffle_hash"), [d1, d2], "left").select(
         *[F.when(F.col(gone).isNull(), text).otherwise(kept).alias(c) if c.lower() == "text" else F.col(f"`{c}`") for c in docs.columns],
         F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).alias(free(docs, "lines_dropped")),
     )
