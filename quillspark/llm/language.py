@@ -77,11 +77,13 @@ class Compressors:
         return self.langs[order[0]], lead, lead >= margin and (plain - best) / len(data) >= gain
 
 
-def _classify(dicts: dict[str, bytes], margin: float, gain: float):
+def _classify(dicts: dict[str, bytes], margin: float, gain: float, column: str = "__text"):
+    """Judges the texts of a column; of the name __text, it isn't returned."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = Compressors(dicts)
-        for b in (part.slice(lo, hi - lo) for part in batches for lo, hi in text_slices(part, "__text", 4 << 20)):
-            got = [z.judge(t.as_py(), margin, gain) for t in b.column("__text")]
+        for b in (part.slice(lo, hi - lo) for part in batches for lo, hi in text_slices(part, column, 4 << 20)):
+            got = [z.judge(t.as_py(), margin, gain) for t in b.column(column)]
             lang, lead, ok = zip(*got, strict=True) if got else ((), (), ())
             names = [n for n in b.schema.names if n != "__text"]
             cols = [b.column(n) for n in names]
@@ -103,6 +105,10 @@ def accepted(docs: DataFrame, dicts: dict[str, bytes] | None = None, margin: flo
 
     dicts = dictionaries(docs) if dicts is None else dicts
     place = [f"c{i}" for i in range(len(docs.columns))]
-    packed = docs.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(docs.columns, place, strict=True)], F.col("text").cast("string").alias("__text"))
-    schema = T.StructType([*packed.schema.fields[:-1], T.StructField("language", T.StringType()), T.StructField("margin", T.DoubleType()), T.StructField("accepted", T.BooleanType())])
-    return packed.mapInArrow(_classify(dicts, margin, gain), schema).where("accepted").select(*[F.col(p).alias(c) for c, p in zip(docs.columns, place, strict=True)])
+    at = place[[c.lower() for c in docs.columns].index("text")]
+    packed = docs.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(docs.columns, place, strict=True)])
+    if not isinstance(packed.schema[at].dataType, T.StringType):
+        packed, at = packed.withColumn("__text", F.col(at).cast("string")), "__text"
+    kept = [f for f in packed.schema.fields if f.name != "__text"]
+    schema = T.StructType([*kept, T.StructField("language", T.StringType()), T.StructField("margin", T.DoubleType()), T.StructField("accepted", T.BooleanType())])
+    return packed.mapInArrow(_classify(dicts, margin, gain, at), schema).where("accepted").select(*[F.col(p).alias(c) for c, p in zip(docs.columns, place, strict=True)])
