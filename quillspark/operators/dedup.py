@@ -77,7 +77,7 @@ def deduplicate(papers: DataFrame, threshold: float = 1.0, max_year_diff: int =
     matches form components, in each of which papers are gone through in order of id (see greedy)."""
     names = F.coalesce("authors", F.array().cast("array<string>"))
     keyed = papers.select("id", "title", "year", "authors", T.token_set(F.col("title")).alias("__t"), F.array_sort(F.array_distinct(T.author_sets(names))).alias("__a"))
-    alone = (F.size("__t") == 0) | (F.size("__a") == 0 if match_authors else F.lit(False))
+    alone = (F.coalesce(F.size("__t"), F.lit(0)) < 1) | (F.size("__a") == 0 if match_authors else F.lit(False))
     keyed = keyed.withColumn("__own", F.when(alone, F.col("id")))
     parts = ("__t", F.coalesce("year", F.lit(-(1 << 31))), "__a", F.coalesce(F.col("__own").cast("string"), F.lit("")))
     keyed = keyed.withColumn("__k", F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(1), *parts).alias("b")))

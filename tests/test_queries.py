@@ -3,6 +3,7 @@
 import pytest
 
 from quillspark import catalog
+from quillspark.operators import dedup
 from tests.oracle import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -22,6 +23,26 @@ def test_query(spark, con, name):
         assert compare(spark, con, SF, query, sql) is None
 
 
+def test_dedup_greedy_keeps_sources_apart(spark, tmp_path):
+    """Sources that are alike as names, null ones, texts without a title."""
+    import duckdb
+
+    sources = ["src1", "src11", "src11", "SRC1", None, None, "", "", "  ", "A b", "b a", "a", "a-b", "Ann Lee", "A. Lee", "ß", "ss", "日本", "日", "src1"]
+    rows = [(i, "Red fish" if i % 2 else "fish, red\nmore", s) for i, s in enumerate(sources)]
+    rows += [(100 + i, t, s) for i, (t, s) in enumerate((t, s) for t in (None, "", "!!!", "\nred fish") for s in ("src1", "src1", None, None))]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    own = duckdb.connect()
+    own.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert compare(spark, own, str(tmp_path), catalog.queries()["dedup_greedy"], catalog.oracle_sql()["dedup_greedy"]) is None
+
+
+@pytest.mark.parametrize("years, authors", [(0, True), (0, False)])
+def test_null_titles_stand_alone(spark, years, authors):
+    papers = spark.createDataFrame([(1, None, 2000, ["Ann Lee"]), (2, None, 2000, ["Ann Lee"]), (3, "", 2000, ["Ann Lee"]), (4, "red", 2000, ["Ann Lee"]), (5, "Red", 2000, ["Ann Lee"])], "id bigint, title string, year int, authors array<string>")
+    got = {r.id: r.representative for r in dedup.deduplicate(papers, 1.0, years, authors).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 4}
+
+
 def brute_sentences(text):
     """Character by character: . ! or ?, closing marks, blanks, then a capital, a digit or an opening mark."""
     out, first, i = [], 0, 0
