@@ -80,8 +80,7 @@ def citations_fraction(docs: DataFrame, spans: DataFrame, bib: DataFrame, least:
 
 def citation_groups_fraction(nodes: DataFrame, spans: DataFrame, bib: DataFrame, least: float | None, most: float | None) -> DataFrame:
     """Share of citation groups with a resolved member; 0 without spans."""
-    own = resolved(spans, bib).join(nodes.where("text is not null").select("doc_id", "path", "text"), ["doc_id", "path"])
-    groups = group(own, ["doc_id", "path"]).groupBy("doc_id", "path", "group_no").agg(F.bool_or("known").alias("known"))
+    groups = group(resolved(spans, bib), ["doc_id", "path"], nodes.where("text is not null").select("doc_id", "path", "text")).groupBy("doc_id", "path", "group_no").agg(F.bool_or("known").alias("known"))
     share = groups.groupBy("doc_id").agg(F.avg(F.col("known").cast("int")).alias("f"))
     return _docs(nodes).join(share, "doc_id", "left").select("doc_id", between(F.coalesce("f", F.lit(0.0)), least, most).alias("passed"))
 

@@ -6,13 +6,17 @@ A span is (index or None, start, end), end exclusive, in code points.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections.abc import Callable, Iterator, Sequence
+from functools import cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from quillspark.schema import SPAN
 
@@ -383,11 +387,39 @@ def kernel(f: Callable[[str, list[Span]], tuple[str, list[Span]]]) -> Callable[[
     return run
 
 
-def group(spans: DataFrame, by: list[str], text: str = "text") -> DataFrame:
-    """Spans with group_no: consecutive ones with only non-word characters between them belong together."""
-    w = Window.partitionBy(*by).orderBy("start", "end")
-    gap = F.substring(F.col(text), F.lag("end").over(w) + 1, F.greatest(F.col("start") - F.lag("end").over(w), F.lit(0)))
-    return spans.withColumn("__new", F.coalesce(gap.rlike(r"(?U)\w").cast("int"), F.lit(1))).withColumn("group_no", F.sum("__new").over(w)).drop("__new")
+@cache
+def _word_codes() -> np.ndarray:
+    """Which code points are letters, marks, numbers or _."""
+    return np.array([unicodedata.category(chr(c))[0] in "LMN" or c == 95 for c in range(sys.maxunicode + 1)])
+
+
+@F.arrow_udf(ArrayType(LongType()))
+def group_numbers(text: pa.Array, start: pa.Array, end: pa.Array) -> pa.Array:
+    """Numbers of the groups of spans, of arrays of starts and ends in their order: a span with only non-word characters
+    between it and the one before belongs to that one's group. Each text is looked at once."""
+    sizes, out = np.fromiter((len(x) for x in start), np.int64, len(start)), []
+    for t, s, e in zip(text, start, end, strict=True):
+        if not len(s):
+            continue
+        codes = np.frombuffer((t.as_py() or "").encode("utf-32-le", "surrogatepass"), np.uint32)
+        words = np.concatenate([[0], np.cumsum(_word_codes()[codes])])
+        lo = np.minimum(e.values.to_numpy()[:-1], len(codes))
+        hi = np.clip(s.values.to_numpy()[1:], lo, len(codes))
+        out.append(np.cumsum(np.concatenate([[1], words[hi] > words[lo]])))
+    values = np.concatenate(out) if out else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values, pa.int64()))
+
+
+def group(spans: DataFrame, by: list[str], texts: DataFrame, text: str = "text") -> DataFrame:
+    """Spans with group_no: consecutive ones with only non-word characters between them belong together.
+
+    texts: (by, text); spans of no text are left out. A text meets the array of its spans once."""
+    rest = [c for c in spans.columns if c not in by]
+    own = spans.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("start", "end", *[c for c in rest if c not in ("start", "end")]))).alias("__s"))
+    at = lambda c: F.transform("__s", lambda x: x[c].cast("int"))
+    both = own.join(texts.select(*by, F.col(text).alias("__t")), by).select(*by, "__s", group_numbers(F.col("__t"), at("start"), at("end")).alias("group_no"))
+    each = both.select(*by, F.explode(F.arrays_zip("__s", "group_no")).alias("z"))
+    return each.select(*by, *[F.col("z.__s")[c].alias(c) for c in rest], "z.group_no")
 
 
 def dehyphenate(text: str, accept: Callable[[str, str], bool]) -> list[tuple[int, int, str]]:

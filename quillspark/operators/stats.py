@@ -64,7 +64,7 @@ def features(docs: DataFrame, nodes: DataFrame, spans: DataFrame, bib: DataFrame
     per_top = leaf.groupBy("doc_id", F.slice("path", 1, 1).alias("t")).agg(F.count("*").alias("n")).groupBy("doc_id").agg(F.min("n").alias("min_parts"), F.max("n").alias("max_parts"))
     cites = resolved(spans, bib)
     frac = cites.groupBy("doc_id").agg(F.count("*").alias("citation_spans"), F.count_if("known").alias("resolved_spans"))
-    grouped = group(cites.join(leaf.select("doc_id", "path", "text"), ["doc_id", "path"]), ["doc_id", "path"]).groupBy("doc_id", "path", "group_no").agg(F.bool_or("known").alias("known"))
+    grouped = group(cites, ["doc_id", "path"], leaf.select("doc_id", "path", "text")).groupBy("doc_id", "path", "group_no").agg(F.bool_or("known").alias("known"))
     grouped = grouped.groupBy("doc_id").agg(F.count("*").alias("citation_groups"), F.count_if("known").alias("resolved_groups"))
     entries = bib.groupBy("doc_id").agg(F.count("*").alias("bib_entries"), F.count("id").alias("bib_with_id"))
     size = lambda c: F.coalesce(F.size(c), F.lit(0)).alias(f"n_{c}")
@@ -87,9 +87,9 @@ def review_features(docs: DataFrame, nodes: DataFrame, spans: DataFrame, bib: Da
     leaf = nodes.where("text is not null").select("doc_id", "path", "text")
     multi = tops.select(F.col("doc_id").alias("id"), (F.col("n") > 1).alias("multi"))
     entry = bib.where("id is not null").select("doc_id", F.col("pos").alias("index"), "id").join(multi, "id", "left").select("doc_id", "index", F.lit(True).alias("known"), F.coalesce("multi", F.lit(False)).alias("multi"))
-    cites = spans.where("kind = 'cit'").join(entry, ["doc_id", "index"], "left").join(leaf, ["doc_id", "path"]).fillna(False, ["known", "multi"])
+    cites = spans.where("kind = 'cit'").join(entry, ["doc_id", "index"], "left").join(leaf.select("doc_id", "path"), ["doc_id", "path"]).fillna(False, ["known", "multi"])
     per_cite = cites.groupBy("doc_id").agg(F.avg(F.col("known").cast("int")).alias("known_fraction"), F.avg(F.col("index").isNull().cast("int")).alias("unknown_entry_fraction"))
-    per_group = group(cites, ["doc_id", "path"]).groupBy("doc_id", "path", "group_no").agg(F.bool_or("known").alias("known"), F.bool_or("multi").alias("multi")).groupBy("doc_id").agg(F.avg(F.col("known").cast("int")).alias("known_group_fraction"), F.avg(F.col("multi").cast("int")).alias("multi_group_fraction"))
+    per_group = group(cites, ["doc_id", "path"], leaf).groupBy("doc_id", "path", "group_no").agg(F.bool_or("known").alias("known"), F.bool_or("multi").alias("multi")).groupBy("doc_id").agg(F.avg(F.col("known").cast("int")).alias("known_group_fraction"), F.avg(F.col("multi").cast("int")).alias("multi_group_fraction"))
     paragraph = F.when(F.size("path") > 0, tree.parent(F.col("path"))).otherwise(F.col("path"))
     per_par = cites.groupBy("doc_id", paragraph.alias("p")).agg(F.bool_or("known").alias("known"), F.bool_or("multi").alias("multi")).groupBy("doc_id").agg(F.avg(F.col("known").cast("int")).alias("known_paragraph_fraction"), F.avg(F.col("multi").cast("int")).alias("multi_paragraph_fraction"))
     entries = bib.groupBy("doc_id").agg((F.count("id") / F.count("*")).alias("known_entry_fraction"))

@@ -36,6 +36,22 @@ def test_dedup_greedy_keeps_sources_apart(spark, tmp_path):
     assert compare(spark, own, str(tmp_path), catalog.queries()["dedup_greedy"], catalog.oracle_sql()["dedup_greedy"]) is None
 
 
+def on(spark, tmp_path, name, texts):
+    """A query on documents of these texts, compared with its SQL."""
+    import duckdb
+
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    own = duckdb.connect()
+    own.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    return compare(spark, own, str(tmp_path), catalog.queries()[name], catalog.oracle_sql()[name])
+
+
+def test_citation_groups(spark, tmp_path):
+    """Marks, numbers and signs in gaps; texts don't travel with their spans."""
+    assert on(spark, tmp_path, "citation_groups", ["", "a", "abc ... def _ ,,, ", None, "²  ½ é e\u0301 日本 🙂🙂🙂🙂 ۴ ... " * 9, "\u203f .,;:-" * 30, "word. " * 500]) is None
+    assert "Exchange" not in catalog.queries()["citation_groups"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("years, authors", [(0, True), (0, False)])
 def test_null_titles_stand_alone(spark, years, authors):
     papers = spark.createDataFrame([(1, None, 2000, ["Ann Lee"]), (2, None, 2000, ["Ann Lee"]), (3, "", 2000, ["Ann Lee"]), (4, "red", 2000, ["Ann Lee"]), (5, "Red", 2000, ["Ann Lee"])], "id bigint, title string, year int, authors array<string>")
