@@ -46,6 +46,12 @@ def on(spark, tmp_path, name, texts):
     return compare(spark, own, str(tmp_path), catalog.queries()[name], catalog.oracle_sql()[name])
 
 
+@pytest.mark.parametrize("name", ["identify_citation_spans", "enhance_spans"])
+def test_phones_are_no_citations(spark, tmp_path, name):
+    """Telephone numbers in documents of one sentence don't outweigh its citations."""
+    assert on(spark, tmp_path, name, ["T\nCall +1 (988) 555-2485", "T\nCall +1 (988) 555-2485 or (20) 555-1234 now.", "T\nOne +1 (1) 2 only.", "T", "T\n+1 (988) 555-2485 (988) 555-2485 (988) 555-2485"]) is None
+
+
 def test_citation_groups(spark, tmp_path):
     """Marks, numbers and signs in gaps; texts don't travel with their spans."""
     assert on(spark, tmp_path, "citation_groups", ["", "a", "abc ... def _ ,,, ", None, "²  ½ é e\u0301 日本 🙂🙂🙂🙂 ۴ ... " * 9, "\u203f .,;:-" * 30, "word. " * 500]) is None
