@@ -429,3 +429,41 @@ def test_stream(spark, tmp_path):
     (tmp_path / "in" / "a.json").write_text('{"id": 1, "title": "A"}\n{"id": 1, "title": "B"}\n{"id": 2, "title": "C"}')
     ingest.append(ingest.once(ingest.papers(spark, str(tmp_path / "in"))), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(60)
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("t", [0.3, 0.75])
+@pytest.mark.parametrize("same", [False, True])
+def test_joined_sets(monkeypatch, t, same):
+    """The kernel of the blocked join against brute force, where it counts all words and where it looks for candidates."""
+    import random
+
+    import numpy as np
+
+    from quillspark.operators import setjoin
+
+    rnd = random.Random(7)
+    for words, at_once in ((6, 3), (40, 50), (4000, 2_000_000)):
+        monkeypatch.setattr(setjoin, "AT_ONCE", at_once)
+        a = [{rnd.randrange(-words, words) * 98765432101 for _ in range(rnd.randint(1, 30))} for _ in range(60)]
+        b = a if same else [{*rnd.sample(sorted(x), max(1, len(x) - 2)), 5} for x in a] + [{1}, {7}]
+        flat = lambda x: (np.array([w for s in x for w in s], np.int64), np.array([len(s) for s in x]))
+        got = [(i, j, s) for x in setjoin.joined(*flat(a), *flat(b), t, same) for i, j, s in zip(*(y.tolist() for y in x), strict=True)]
+        want = {}
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                n = len(x & y)
+                if n and (i < j or not same):
+                    jac, cont = n / len(x | y), n / min(len(x), len(y))
+                    if (s := 2 * jac * cont / (jac + cont)) >= t - 1e-9:
+                        want[i, j] = pytest.approx(s)
+        assert {(i, j): s for i, j, s in got} == want and len(got) == len(want)
+
+
+def test_similarity_join_shuffles_no_candidates(spark):
+    """Titles that share words but don't match never leave a worker as pairs."""
+    name = lambda i: "q".join(str(i))  # noqa: E731  runs of a digit would be one
+    left = spark.createDataFrame([(i, f"common words w{name(i)} x{name(i)} y{name(i)}") for i in range(300)], "left_id bigint, title string")
+    right = left.withColumnRenamed("left_id", "right_id")
+    plan = search.similarity_join(left, right, 0.6)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+    assert search.similarity_join(left, right, 0.6).count() == 300 and search.similarity_join(left, right, 0.3).count() == 90000
