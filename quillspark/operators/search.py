@@ -81,16 +81,25 @@ def years_compatible(a: Column, b: Column, d: int) -> Column:
     return a.isNull() | b.isNull() | (F.abs(a - b) <= d)
 
 
-def prefix_candidates(probes: DataFrame, papers: DataFrame, k: int = K, block: int = 8) -> DataFrame:
+#: Lengths on which titles and their beginnings meet: a beginning on the largest that it has.
+CUTS = (*range(1, 13), 16, 24, 32, 48, 64, 96, 128, 192, 256)
+
+
+def prefix_candidates(probes: DataFrame, papers: DataFrame, k: int = K) -> DataFrame:
     """(probe_id, id): at most k papers whose normal title begins with the probe's, smallest id first.
 
-    Titles meet on their first `block` characters; probes shorter than that meet on as many as they have."""
-    p = probes.select("probe_id", T.normalize_string(F.col("title")).alias("pt")).where("pt <> ''").withColumn("cut", F.least(F.length("pt"), F.lit(block)))
-    t = papers.select("id", T.normalize_string(F.col("title")).alias("tt")).where("tt <> ''")
-    cuts = F.explode(F.sequence(F.lit(1), F.least(F.length("tt"), F.lit(block)))).alias("cut")
-    met = p.withColumn("key", F.left("pt", F.lit(block))).join(t.select("id", "tt", cuts).withColumn("key", F.left("tt", F.col("cut"))), ["cut", "key"]).where(F.startswith("tt", "pt"))
-    w = Window.partitionBy("probe_id").orderBy("id")
-    return met.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).select("probe_id", "id")
+    Equal probes meet papers once, and of each one's papers a partition passes on the first k only."""
+    p = probes.select("probe_id", T.normalize_string(F.col("title")).alias("pt")).where("pt <> ''")
+    cut = F.array_max(F.filter(F.array(*map(F.lit, CUTS)), lambda c: c <= F.length("pt"))).alias("cut")
+    q = p.select("pt").distinct().select("pt", cut)
+    used = q.groupBy("cut").agg(F.max(F.length("pt")).alias("n")).collect()
+    longest, cuts = max([r["n"] for r in used], default=1), sorted(r["cut"] for r in used)
+    t = papers.select("id", F.left(T.normalize_string(F.col("title")), F.lit(longest)).alias("tt")).where("tt <> ''")
+    each = t.select("id", "tt", F.explode(F.filter(F.array(*map(F.lit, cuts)).cast("array<int>"), lambda c: c <= F.length("tt"))).alias("cut"))
+    met = each.withColumn("key", F.left("tt", F.col("cut"))).join(q.withColumn("key", F.left("pt", F.col("cut"))), ["cut", "key"]).where(F.startswith("tt", "pt"))
+    w = Window.partitionBy("pt").orderBy("id")
+    best = met.select("pt", "id").withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).groupBy("pt").agg(F.collect_list("id").alias("ids"))
+    return p.join(best, "pt").select("probe_id", F.explode("ids").alias("id"))
 
 
 def _with_names(df: DataFrame, p: str) -> DataFrame:

@@ -467,3 +467,46 @@ def test_similarity_join_shuffles_no_candidates(spark):
     plan = search.similarity_join(left, right, 0.6)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "Generate" not in plan
     assert search.similarity_join(left, right, 0.6).count() == 300 and search.similarity_join(left, right, 0.3).count() == 90000
+
+
+def test_prefix_candidates_of_equal_titles(spark):
+    """Equal probes and papers by the thousand, beginnings of all lengths, against brute force; equal probes meet once."""
+    titles = ["same words here now"] * 3000 + ["sa", "same wo", "same words h", "same words here", "s", "same words here now and then", "x" * 5, "zebra ab", "!!!", ""]
+    rows = spark.createDataFrame(list(enumerate(titles)), "id bigint, title string")
+    probes = rows.where("id >= 2990").withColumnRenamed("id", "probe_id")
+    got = {}
+    for r in search.prefix_candidates(probes, rows, 5).collect():
+        got.setdefault(r.probe_id, []).append(r.id)
+    norm = dict(rows.select("id", T.normalize_string(F.col("title"))).collect())
+    want = {p: x for p in range(2990, len(titles)) if norm[p] and (x := [i for i in norm if norm[i].startswith(norm[p])][:5])}
+    assert {p: sorted(x) for p, x in got.items()} == want
+    met = search.prefix_candidates(rows.withColumnRenamed("id", "probe_id"), rows, 5)
+    assert met.count() == sum(len([i for i in norm if norm[i].startswith(n)][:5]) for n in norm.values() if n and n != norm[0]) + 3000 * 5
+
+
+def test_best_of():
+    """The kernel of the top k in small steps against a full sort, with many equal scores."""
+    import numpy as np
+
+    from quillspark.functions.similarity import best_of
+
+    rnd = np.random.default_rng(3)
+    for k in (1, 4, 11):
+        q, c, ids = rnd.integers(-2, 3, (30, 4)) * 0.1, rnd.integers(-2, 3, (200, 4)) * 0.1, rnd.permutation(200)
+        i, own, score = best_of(q, ((ids[p], c[p]) for p in np.array_split(np.arange(200), 3)), k, rows=7, columns=13)
+        full = np.einsum("ij,kj->ik", q, c)
+        for x in range(30):
+            best = np.lexsort((ids, -full[x]))[:k]
+            assert own[i == x].tolist() == ids[best].tolist() and score[i == x] == pytest.approx(full[x][best])
+    assert [len(x) for x in best_of(rnd.random((5, 4)), iter([(np.arange(2), rnd.random((2, 4)))]), 3)] == [10, 10, 10]
+
+
+def test_names_are_looked_up_once(spark, monkeypatch):
+    import unicodedata
+
+    import pandas as pd
+
+    asked = []
+    monkeypatch.setattr(unicodedata, "name", lambda c, d, own=unicodedata.name: asked.append(c) or own(c, d))
+    assert T.names_covered("LATIN .*LETTER").func(pd.Series(["aé1 " * 50, "", None, "aa\x00"])).round(6).tolist() == [0.5, 0.0, 0.0, 0.666667]
+    assert len(asked) == len(set(asked))
