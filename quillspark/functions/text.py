@@ -39,7 +39,11 @@ def let(value: Column, f) -> Column:
 
 
 def fold(s: Column) -> Column:
-    """Latin letters without their marks; Cyrillic and Greek ones in Latin."""
+    """Latin letters without their marks; Cyrillic and Greek ones in Latin. ASCII stays as it is, and is told by its bytes."""
+    return let(s, lambda x: F.when(F.octet_length(x) == F.length(x), x).otherwise(_unmarked(x)))
+
+
+def _unmarked(s: Column) -> Column:
     for a, b in LIGATURES:
         s = F.replace(s, F.lit(a), F.lit(b))
     return let(F.translate(s, FOLD_FROM, FOLD_TO), lambda x: F.when(x.rlike("[\u0370-\u052f]"), romanised(x)).otherwise(x))
@@ -132,8 +136,11 @@ def names_covered(pattern: str):
     def share(s: pd.Series) -> pd.Series:
         import re
         import unicodedata
+        from collections import Counter
 
         p = re.compile(pattern)
-        return s.map(lambda t: sum(bool(p.search(unicodedata.name(c, ""))) for c in t) / len(t) if t else 0.0)
+        known: dict[str, bool] = {}  # each character's name is looked up once
+        fits = lambda c: known[c] if c in known else known.setdefault(c, bool(p.search(unicodedata.name(c, ""))))
+        return s.map(lambda t: sum(n for c, n in Counter(t).items() if fits(c)) / len(t) if t else 0.0)
 
     return share
