@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from quillspark.schema import SPAN
+from quillspark.session import sliced
 
+_SPANS = pa.list_(pa.struct({"index": pa.int32(), "start": pa.int32(), "end": pa.int32()}))
 Span = tuple[int | None, int, int]
 
 _NUM = r"\s*\d+\s*"
@@ -331,18 +333,15 @@ def enhanced(leaves: DataFrame, interpolate: bool = True, max_id: int = 1000, mo
     styles = citation_style(leaves, bare=False)
     kind = "array<struct<path: array<int>, headline: string, text: string, spans: array<struct<index: int, start: int, end: int>>>>"
 
-    @F.pandas_udf(kind)
-    def run(own: pd.Series, styles: pd.Series) -> pd.Series:
-        out = []
-        for rows, style_ in zip(own, styles, strict=True):
-            each = [[(None if x["index"] is None else int(x["index"]), int(x["start"]), int(x["end"])) for x in (r["spans"] if r["spans"] is not None else [])] for r in rows]
-            texts = [r["text"] or "" for r in rows]
-            found = [(n[0], i) for t, own_ in zip(texts, each, strict=True) for i, s, e in own_ if i is not None and len(n := numbers(t[s:e])) == 1]
-            index = vancouver_map(found, interpolate)
-            new = [enhance(t, own_, style_ or "UNKNOWN", index, max_id, most, r["headline"] is None) for r, t, own_ in zip(rows, texts, each, strict=True)]
-            out.append([{"path": list(r["path"]), "headline": r["headline"], "text": t, "spans": [dict(zip(("index", "start", "end"), x, strict=True)) for x in found_]} for r, (t, found_) in zip(rows, new, strict=True)])
-        return pd.Series(out)
+    def one(rows: list[dict], style_: str | None) -> list[dict]:
+        each = [[(x["index"], x["start"], x["end"]) for x in r["spans"] or []] for r in rows]
+        texts = [r["text"] or "" for r in rows]
+        found = [(n[0], i) for t, own in zip(texts, each, strict=True) for i, s, e in own if i is not None and len(n := numbers(t[s:e])) == 1]
+        index = vancouver_map(found, interpolate)
+        new = [enhance(t, own, style_ or "UNKNOWN", index, max_id, most, r["headline"] is None) for r, t, own in zip(rows, texts, each, strict=True)]
+        return [{"path": r["path"], "headline": r["headline"], "text": t, "spans": [dict(zip(("index", "start", "end"), x, strict=True)) for x in got]} for r, (t, got) in zip(rows, new, strict=True)]
 
+    run = sliced(one, kind, pa.list_(pa.struct({"path": pa.list_(pa.int32()), "headline": pa.string(), "text": pa.string(), "spans": _SPANS})))
     both = docs.join(styles, "doc_id", "left").select("doc_id", F.explode(run("leaves", "style")).alias("r"))
     return both.select("doc_id", "r.*")
 
@@ -381,18 +380,13 @@ def harvard_spans(leaves: DataFrame, bib: DataFrame) -> DataFrame:
 
 
 def kernel(f: Callable[[str, list[Span]], tuple[str, list[Span]]]) -> Callable[[Column, Column], Column]:
-    """A pandas UDF on (text, array of spans) from a kernel that returns both."""
+    """An Arrow UDF on (text, array of spans) from a kernel that returns both."""
 
-    @F.pandas_udf("struct<text: string, spans: array<struct<index: int, start: int, end: int>>>")
-    def run(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t, s in zip(text, spans, strict=True):
-            own = [(None if x["index"] is None else int(x["index"]), int(x["start"]), int(x["end"])) for x in (s if s is not None else [])]
-            new, out = f(t or "", own)
-            rows.append((new, [dict(zip(("index", "start", "end"), x, strict=True)) for x in out]))
-        return pd.DataFrame(rows, columns=["text", "spans"])
+    def one(text: str | None, own: list[dict] | None) -> dict:
+        new, out = f(text or "", [(x["index"], x["start"], x["end"]) for x in own or []])
+        return {"text": new, "spans": [dict(zip(("index", "start", "end"), x, strict=True)) for x in out]}
 
-    return run
+    return sliced(one, "struct<text: string, spans: array<struct<index: int, start: int, end: int>>>", pa.struct({"text": pa.string(), "spans": _SPANS}))
 
 
 @cache

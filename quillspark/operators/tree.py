@@ -9,12 +9,13 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as T
 from quillspark.schema import NODES, SPANS
+from quillspark.session import SLICE, sliced
 
 
 def walk(tree: dict, path: tuple[int, ...] = ()) -> tuple[list[tuple], list[tuple], int]:
@@ -33,22 +34,25 @@ def walk(tree: dict, path: tuple[int, ...] = ()) -> tuple[list[tuple], list[tupl
 
 
 def _flat(what: int, column: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = (["path", "depth", "height", "headline", "text"], ["path", "kind", "pos", "index", "start", "end"])[what]
+        kinds = [pa.int64(), pa.list_(pa.int32()), *((pa.int32(), pa.int32(), pa.string(), pa.string()), (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32()))[what]]
         for b in batches:
-            rows = [(d, *r) for d, t in zip(b["doc_id"], b[column], strict=True) if t for r in walk(json.loads(t))[what]]
-            yield pd.DataFrame(rows, columns=["doc_id", *names]).astype({"doc_id": "int64"} | ({"index": "Int32"} if what else {}))
+            for lo in range(0, b.num_rows, SLICE):
+                part = b.slice(lo, SLICE).to_pydict()
+                rows = [(d, *r) for d, t in zip(part["doc_id"], part[column], strict=True) if t for r in walk(json.loads(t))[what]]
+                yield pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["doc_id", *names])
 
     return run
 
 
 def flatten(docs: DataFrame, column: str = "hierarchy") -> DataFrame:
     """NODES of documents (doc_id, hierarchy as JSON)."""
-    return docs.select("doc_id", column).mapInPandas(_flat(0, column), NODES)
+    return docs.select("doc_id", column).mapInArrow(_flat(0, column), NODES)
 
 
 def flatten_spans(docs: DataFrame, column: str = "hierarchy") -> DataFrame:
-    return docs.select("doc_id", column).mapInPandas(_flat(1, column), SPANS)
+    return docs.select("doc_id", column).mapInArrow(_flat(1, column), SPANS)
 
 
 def build(nodes: list[tuple], spans: dict[tuple, dict[str, list]] | None = None) -> dict | None:
@@ -76,19 +80,19 @@ def rebuild(nodes: DataFrame, spans: DataFrame | None = None) -> DataFrame:
     else:
         n = n.join(spans.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("path", "kind", "pos", "index", "start", "end"))).alias("spans")), "doc_id", "left")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def one(ns: list[dict], ss: list[dict] | None) -> str:
+        own: dict[tuple, dict[str, list]] = {}
+        for s in ss or []:
+            own.setdefault(tuple(s["path"]), {}).setdefault(s["kind"], []).append({k: s[k] for k in ("index", "start", "end")})
+        return json.dumps(build([(x["path"], x["headline"], x["text"]) for x in ns], own), ensure_ascii=False, separators=(",", ":"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for ns, ss in zip(b["nodes"], b["spans"], strict=True):
-                own: dict[tuple, dict[str, list]] = {}
-                for s in ss if ss is not None else []:
-                    index = s["index"]
-                    own.setdefault(tuple(int(x) for x in s["path"]), {}).setdefault(s["kind"], []).append({"index": None if index is None or index != index else int(index), "start": int(s["start"]), "end": int(s["end"])})
-                rows = [([int(i) for i in x["path"]], x["headline"], x["text"]) for x in ns]
-                out.append(json.dumps(build(rows, own), ensure_ascii=False, separators=(",", ":")))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "hierarchy": out})
+            for lo in range(0, b.num_rows, SLICE):
+                part = b.slice(lo, SLICE).to_pydict()
+                yield pa.record_batch([pa.array(part["doc_id"], pa.int64()), pa.array(map(one, part["nodes"], part["spans"]), pa.string())], ["doc_id", "hierarchy"])
 
-    return n.mapInPandas(run, "doc_id bigint, hierarchy string")
+    return n.select("doc_id", "nodes", "spans").mapInArrow(run, "doc_id bigint, hierarchy string")
 
 
 def parent(path: Column) -> Column:
@@ -170,14 +174,11 @@ def surgery(nodes: DataFrame, steps: Sequence[tuple[str, Column, int]], spans: D
     docs = nodes.select("*", *flags).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("path", *[F.col(f"__f{i}") for i in range(len(steps))], F.struct(*extra).alias("__own"))), _by_path).alias("__n"))
     kinds = [(kind, least) for kind, _, least in steps]
 
-    @F.pandas_udf("array<struct<path: array<int>, height: int>>")
-    def run(paths: pd.Series, flags: pd.Series) -> pd.Series:
-        out = []
-        for ps, fs in zip(paths, flags, strict=True):
-            own = [(kind, f, least) for (kind, least), f in zip(kinds, fs, strict=True)]
-            got = relabel([tuple(p.tolist()) for p in ps], own)
-            out.append([None if x is None else {"path": list(x[0]), "height": x[1]} for x in got])
-        return pd.Series(out)
+    def one(paths: list[list[int]], flags: list[list[bool]]) -> list[dict | None]:
+        own = [(kind, f, least) for (kind, least), f in zip(kinds, flags, strict=True)]
+        return [None if x is None else {"path": x[0], "height": x[1]} for x in relabel([tuple(p) for p in paths], own)]
+
+    run = sliced(one, "array<struct<path: array<int>, height: int>>", pa.list_(pa.struct({"path": pa.list_(pa.int32()), "height": pa.int32()})))
 
     flag = lambda i: F.transform("__n", lambda x: x[f"__f{i}"])
     packed = F.array(*[flag(i) for i in range(len(steps))]) if steps else F.array().cast("array<array<boolean>>")

@@ -7,9 +7,12 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 
@@ -59,3 +62,18 @@ def reliable(df: DataFrame) -> DataFrame:
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
+
+
+#: Documents of a batch that are Python objects at the same time.
+SLICE = 50
+
+
+def sliced(f: Callable, kind: str, arrow: pa.DataType) -> Callable:
+    """An Arrow UDF of `kind` (and `arrow`, which is the same) from f on plain values; of a batch only SLICE rows are Python objects."""
+
+    @F.arrow_udf(kind)
+    def run(first: pa.Array, second: pa.Array) -> pa.Array:
+        parts = [pa.array([f(x, y) for x, y in zip(first.slice(lo, SLICE).to_pylist(), second.slice(lo, SLICE).to_pylist(), strict=True)], arrow) for lo in range(0, len(first), SLICE)]
+        return pa.concat_arrays(parts) if parts else pa.array([], arrow)
+
+    return run
