@@ -395,21 +395,22 @@ def _word_codes() -> np.ndarray:
     return np.array([unicodedata.category(chr(c))[0] in "LMN" or c == 95 for c in range(sys.maxunicode + 1)])
 
 
+def group_places(text: str, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Numbers of the groups of spans in their order: a span with only non-word characters between it and the one before
+    belongs to that one's group. The text is looked at once."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    words = np.concatenate([[0], np.cumsum(_word_codes()[codes])])
+    lo = np.minimum(end[:-1], len(codes))
+    hi = np.clip(start[1:], lo, len(codes))
+    return np.cumsum(np.concatenate([[1], words[hi] > words[lo]]))
+
+
 @F.arrow_udf(ArrayType(LongType()))
 def group_numbers(text: pa.Array, start: pa.Array, end: pa.Array) -> pa.Array:
-    """Numbers of the groups of spans, of arrays of starts and ends in their order: a span with only non-word characters
-    between it and the one before belongs to that one's group. Each text is looked at once."""
-    sizes, out = np.fromiter((len(x) for x in start), np.int64, len(start)), []
-    for t, s, e in zip(text, start, end, strict=True):
-        if not len(s):
-            continue
-        codes = np.frombuffer((t.as_py() or "").encode("utf-32-le", "surrogatepass"), np.uint32)
-        words = np.concatenate([[0], np.cumsum(_word_codes()[codes])])
-        lo = np.minimum(e.values.to_numpy()[:-1], len(codes))
-        hi = np.clip(s.values.to_numpy()[1:], lo, len(codes))
-        out.append(np.cumsum(np.concatenate([[1], words[hi] > words[lo]])))
-    values = np.concatenate(out) if out else np.empty(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values, pa.int64()))
+    """group_places of texts with arrays of starts and ends."""
+    out = [group_places(t.as_py() or "", s.values.to_numpy(), e.values.to_numpy()) if len(s) else np.empty(0, np.int64) for t, s, e in zip(text, start, end, strict=True)]
+    at = np.concatenate([[0], np.cumsum([len(x) for x in out], dtype=np.int64)])
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *out]), pa.int64()))
 
 
 def group(spans: DataFrame, by: list[str], texts: DataFrame, text: str = "text") -> DataFrame:
@@ -418,7 +419,7 @@ def group(spans: DataFrame, by: list[str], texts: DataFrame, text: str = "text")
     texts: (by, text); spans of no text are left out. A text meets the array of its spans once."""
     rest = [c for c in spans.columns if c not in by]
     own = spans.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("start", "end", *[c for c in rest if c not in ("start", "end")]))).alias("__s"))
-    at = lambda c: F.transform("__s", lambda x: x[c].cast("int"))
+    at = lambda c: F.col("__s")[c].cast("array<int>")  # noqa: E731  a lambda in the arguments may keep Spark from taking the UDF out
     both = own.join(texts.select(*by, F.col(text).alias("__t")), by).select(*by, "__s", group_numbers(F.col("__t"), at("start"), at("end")).alias("group_no"))
     each = both.select(*by, F.explode(F.arrays_zip("__s", "group_no")).alias("z"))
     return each.select(*by, *[F.col("z.__s")[c].alias(c) for c in rest], "z.group_no")

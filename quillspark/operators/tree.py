@@ -180,9 +180,9 @@ def surgery(nodes: DataFrame, steps: Sequence[tuple[str, Column, int]], spans: D
 
     run = sliced(one, "array<struct<path: array<int>, height: int>>", pa.list_(pa.struct({"path": pa.list_(pa.int32()), "height": pa.int32()})))
 
-    flag = lambda i: F.transform("__n", lambda x: x[f"__f{i}"])
+    flag = lambda i: F.col("__n")[f"__f{i}"]
     packed = F.array(*[flag(i) for i in range(len(steps))]) if steps else F.array().cast("array<array<boolean>>")
-    placed = docs.withColumn("__at", run(F.transform("__n", lambda x: x["path"]), packed))
+    placed = docs.withColumn("__at", run(F.col("__n")["path"], packed))
     each = placed.select("doc_id", F.explode(F.arrays_zip("__n", "__at")).alias("z")).where("z.__at is not null")
     new = each.select("doc_id", F.col("z.__at.path").alias("path"), F.col("z.__at.height").alias("height"), "z.__n.__own.*")
     if "depth" in nodes.columns:
