@@ -81,6 +81,31 @@ def years_compatible(a: Column, b: Column, d: int) -> Column:
     return a.isNull() | b.isNull() | (F.abs(a - b) <= d)
 
 
+#: Pairs that a task of band_join compares, about.
+PAIRS = 20_000_000
+
+
+def band_join(p: DataFrame, q: DataFrame, by: str, py: str, qy: str, d: int) -> DataFrame:
+    """All pairs of rows of p and q that agree in `by` and whose years are compatible; columns of both, `by` once.
+
+    A key has pairs without number, so its rows of p are parted by year and by chance, those of q are copied to each part,
+    and there are as many tasks as the pairs need, whatever few bytes the tables have."""
+    n = lambda df, c: df.groupBy(by).agg(F.count("*").alias(c))
+    keys, pairs = n(p, "__a").join(n(q, "__b"), by).agg(F.count("*"), F.coalesce(F.sum(F.col("__a") * F.col("__b")), F.lit(0))).first()
+    tasks = int(min(20_000, max(1, pairs // PAIRS + 1)))
+    parts = int(min(256, -(-4 * tasks // max(1, keys))))
+    p = p.withColumn("__s", F.pmod(F.xxhash64(*[F.col(c) for c in p.columns]), F.lit(parts)).cast("int"))
+    q = q.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+
+    def met(a: DataFrame, b: DataFrame, *on: str) -> DataFrame:
+        keys = [by, "__s", *on]
+        return a.repartition(tasks, *keys).join(b.repartition(tasks, *keys).hint("shuffle_hash"), keys).drop("__s", *on)
+
+    near = q.where(F.col(qy).isNotNull()).withColumn("__y", F.explode(F.sequence(F.col(qy).cast("bigint") - d, F.col(qy).cast("bigint") + d)))
+    dated = met(p.where(F.col(py).isNotNull()).withColumn("__y", F.col(py).cast("bigint")), near, "__y")
+    return dated.unionByName(met(p, q.where(F.col(qy).isNull()))).unionByName(met(p.where(F.col(py).isNull()), q.where(F.col(qy).isNotNull())))
+
+
 #: Lengths on which titles and their beginnings meet: a beginning on the largest that it has.
 CUTS = (*range(1, 13), 16, 24, 32, 48, 64, 96, 128, 192, 256)
 
