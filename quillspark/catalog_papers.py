@@ -13,7 +13,7 @@ from quillspark.operators import filters, search, spans, stats, tree
 from quillspark.operators import ids as I  # noqa: E741
 from quillspark.plans import jobs
 from quillspark.schema import BIB, SPAN
-from quillspark.session import scratch
+from quillspark.session import reliable, scratch
 from quillspark.sources import readers, sinks, tei
 
 _WORD = r"[\p{L}\p{M}\p{N}_]"
@@ -408,7 +408,7 @@ def tei_scan(spark: SparkSession, d: str) -> DataFrame:
         F.lit("</analytic></biblStruct></sourceDesc></fileDesc></teiHeader><text><body><div><head>H</head><p>As "), cite, F.lit(' says.</p></div></body><back><div><listBibl><biblStruct xml:id="b0"><analytic><title>Old work</title>' + name.format("B", "C") + '</analytic><monogr><imprint><date type="published" when="1999"/></imprint></monogr></biblStruct></listBibl></div></back></text></TEI>'),
     )
     got = tei.documents(_t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("path"), F.encode(xml, "UTF-8").alias("content")))
-    found = got.withColumn("doc_id", F.col("path").cast("bigint"))
+    found = reliable(got.withColumn("doc_id", F.col("path").cast("bigint")))  # parsed once for both uses
     n = tree.flatten_spans(found).groupBy("doc_id").agg(F.count("*").cast("int").alias("citations"))
     b = F.get("bibliography", F.lit(0))
     return found.join(n, "doc_id", "left").select("doc_id", "title", "year", F.array_join("authors", "|").alias("authors"), b["title"].alias("bib_title"), b["year"].alias("bib_year"), F.coalesce("citations", F.lit(0)).alias("citations"))

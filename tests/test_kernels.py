@@ -510,3 +510,22 @@ def test_names_are_looked_up_once(spark, monkeypatch):
     monkeypatch.setattr(unicodedata, "name", lambda c, d, own=unicodedata.name: asked.append(c) or own(c, d))
     assert T.names_covered("LATIN .*LETTER").func(pd.Series(["aé1 " * 50, "", None, "aa\x00"])).round(6).tolist() == [0.5, 0.0, 0.0, 0.666667]
     assert len(asked) == len(set(asked))
+
+
+def test_band_join_parts_hot_keys(spark, monkeypatch):
+    """One key, years known and unknown on both sides, against brute force, in as many tasks as the pairs need."""
+    monkeypatch.setattr(search, "PAIRS", 1000)
+    a = [(i, 2000 + i % 9 if i % 5 else None, i % 11 // 10) for i in range(150)]
+    b = [(i, 2000 + i % 7 if i % 4 else None, i % 7 // 6) for i in range(80)]
+    met = search.band_join(spark.createDataFrame(a, "probe int, py int, k int"), spark.createDataFrame(b, "id int, qy int, k int"), "k", "py", "qy", 2).select("probe", "id")
+    want = sorted((i, j) for i, x, k in a for j, y, m in b if k == m and (x is None or y is None or abs(x - y) <= 2))
+    assert sorted(map(tuple, met.collect())) == want
+    assert met.rdd.getNumPartitions() > 8
+    none = spark.createDataFrame([], "id int, qy int, k int")
+    assert search.band_join(spark.createDataFrame(a, "probe int, py int, k int"), none, "k", "py", "qy", 2).count() == 0
+
+
+def test_tei_without_content(spark):
+    """Files without content, or in batches that leave nothing, give no documents."""
+    files = spark.createDataFrame([("1", None), ("2", b"<x/>"), ("3", b"no")], "path string, content binary")
+    assert tei.documents(files).count() == 0
